@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions.jsontext import absent_keys, is_json, json_elements
 from strata.model import REQUIRED_FIELDS
 
-# Reasons that concern a whole payload rather than one record in it.
-PAYLOAD_REASONS = ("null_payload", "empty_payload", "not_json")
+
+VERDICT = ("reject_reason", "missing", "bad_payload")
 
 
 class RejectedInput(RuntimeError):
@@ -42,7 +42,8 @@ def split_payload(payloads: DataFrame, body: str = "body") -> DataFrame:
     """One row per record: ``raw`` replaces the body, ``payload_reason`` is added.
 
     An array gives its elements, anything else is a list of one. A payload that
-    holds no records keeps one row, so its source is not lost from the counts.
+    holds no records keeps one row, so its source is not lost from the counts. A
+    ``reject_reason`` from :func:`check_envelope` is carried on.
     """
     text = F.col(body)
     elements = json_elements(text)
@@ -51,23 +52,24 @@ def split_payload(payloads: DataFrame, body: str = "body") -> DataFrame:
         .when(F.size(elements) == 0, F.lit("empty_payload"))
         .when(~is_json(text), F.lit("not_json"))
     )
+    if "reject_reason" in payloads.columns:
+        reason = F.coalesce("reject_reason", reason)
     return (
         payloads.withColumns(
             {"payload_reason": reason, "_items": F.coalesce(elements, F.array(text))}
         )
-        .drop(body)
+        .drop(body, "reject_reason")
         .withColumn("raw", F.explode_outer("_items"))
         .drop("_items")
     )
 
 
-def check_records(
-    records: DataFrame, required: Sequence[str] = REQUIRED_FIELDS, raw: str = "raw"
-) -> DataFrame:
-    """Add ``reject_reason`` (NULL if valid) and ``missing``, the absent keys."""
-    absent = absent_keys(F.col(raw), required)
+def check_records(records: DataFrame, required: Sequence[str] = REQUIRED_FIELDS) -> DataFrame:
+    """Judge split payloads: ``reject_reason`` (NULL if valid), ``missing``, the
+    absent keys, and ``bad_payload``, which is not a record but a whole payload."""
+    absent = absent_keys(F.col("raw"), required)
     reason = F.coalesce(
-        F.col("payload_reason") if "payload_reason" in records.columns else F.lit(None),
+        "payload_reason",
         F.when(absent.isNull(), F.lit("not_object")).when(
             F.size(absent) > 0, F.lit("missing_fields")
         ),
@@ -76,12 +78,13 @@ def check_records(
         {
             "reject_reason": reason,
             "missing": F.when(reason == "missing_fields", F.array_join(absent, ",")),
+            "bad_payload": F.col("payload_reason").isNotNull(),
         }
     ).drop("payload_reason")
 
 
 def valid_records(checked: DataFrame) -> DataFrame:
-    return checked.filter(F.col("reject_reason").isNull()).drop("reject_reason", "missing")
+    return checked.filter(F.col("reject_reason").isNull()).drop(*VERDICT)
 
 
 def rejected_records(checked: DataFrame) -> DataFrame:
@@ -89,14 +92,14 @@ def rejected_records(checked: DataFrame) -> DataFrame:
 
 
 def source_counts(checked: DataFrame, by: str = "source") -> DataFrame:
-    """Per source: bad payloads, and records received, valid and discarded."""
-    reason = F.col("reject_reason")
-    bad_payload: Column = F.coalesce(reason.isin(*PAYLOAD_REASONS), F.lit(False))
+    """Per source: records received, valid and discarded, and bad payloads."""
+    bad, reason = F.col("bad_payload"), F.col("reject_reason")
     return checked.groupBy(by).agg(
-        F.count_if(bad_payload).alias("bad_payloads"),
-        F.count_if(~bad_payload).alias("received"),
+        F.count_if(~bad).alias("received"),
         F.count_if(reason.isNull()).alias("valid"),
-        F.count_if(~bad_payload & reason.isNotNull()).alias("discarded"),
+        F.count_if(~bad & reason.isNotNull()).alias("discarded"),
+        F.count_if(bad).alias("bad_payloads"),
+        F.min(F.when(bad, reason)).alias("problem"),
     )
 
 
@@ -113,6 +116,6 @@ def expect_valid_per_source(
     for source in sorted({*required, *counts}):
         seen = counts.get(source, {})
         if whole_payloads and seen.get("bad_payloads", 0):
-            raise RejectedInput(f"{source}: {seen['bad_payloads']} payload(s) null, empty or not JSON")
+            raise RejectedInput(f"{source}: {seen['bad_payloads']} bad, as in {seen['problem']}")
         if not seen.get("valid", 0):
-            raise RejectedInput(f"{source}: no valid record among {seen.get('received', 0)} received")
+            raise RejectedInput(f"{source}: none of {seen.get('received', 0)} records is valid")

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Mapping
-from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,65 +16,36 @@ from strata.operators.bronze import Batch, to_bronze, with_fields
 from strata.operators.increment import newer_than, next_high_water
 from strata.operators.upsert import choose_write, upsert
 from strata.plans import quotes
+from strata.plans.quotes import Months
 from strata.session import require_session, scratch_dir
 from strata.sources import state, tables
-from strata.sources.landing import landed_payloads
+from strata.sources.landing import landed_payloads, landed_responses
 
-Months = list[tuple[int, int]]
+logger = logging.getLogger(__name__)
 
 
-@dataclass(frozen=True)
 class Lake:
     """Where the tables of one lake are."""
 
-    root: str
-
-    def _at(self, name: str) -> str:
-        return f"{self.root.rstrip('/')}/{name}"
-
-    @property
-    def bronze(self) -> str:
-        return self._at("bronze/quotes")
-
-    @property
-    def silver(self) -> str:
-        return self._at("silver/quotes")
-
-    @property
-    def latest(self) -> str:
-        return self._at("gold/latest")
-
-    @property
-    def daily(self) -> str:
-        return self._at("gold/daily_metrics")
-
-    @property
-    def gap(self) -> str:
-        return self._at("gold/official_gap")
-
-    @property
-    def quarantine(self) -> str:
-        return self._at("quarantine/quotes")
-
-    @property
-    def state(self) -> str:
-        return self._at("metadata/extract_state")
-
-    @property
-    def progress(self) -> str:
-        return self._at("metadata/progress")
+    def __init__(self, root: str) -> None:
+        root = root.rstrip("/")
+        self.bronze = f"{root}/bronze/quotes"
+        self.silver = f"{root}/silver/quotes"
+        self.latest = f"{root}/gold/latest"
+        self.daily = f"{root}/gold/daily_metrics"
+        self.gap = f"{root}/gold/official_gap"
+        self.quarantine = f"{root}/quarantine/quotes"
+        self.state = f"{root}/metadata/extract_state"
+        self.progress = f"{root}/metadata/progress"
 
 
 def read_bronze(spark: SparkSession, lake: Lake, months: Months | None = None) -> DataFrame:
     stored = tables.read_table(spark, lake.bronze, model.BRONZE_STORED)
-    return (stored if months is None else stored.filter(quotes.in_months(months))).select(
-        *model.BRONZE.names
-    )
+    return stored.filter(quotes.in_months(months)).select(*model.BRONZE.names)
 
 
 def read_silver(spark: SparkSession, lake: Lake, months: Months | None = None) -> DataFrame:
-    stored = tables.read_table(spark, lake.silver, model.SILVER)
-    return stored if months is None else stored.filter(quotes.in_months(months))
+    return tables.read_table(spark, lake.silver, model.SILVER).filter(quotes.in_months(months))
 
 
 def stage_records(spark: SparkSession, payloads: DataFrame, stage: str) -> DataFrame:
@@ -91,39 +62,48 @@ def stage_records(spark: SparkSession, payloads: DataFrame, stage: str) -> DataF
 
 def count_sources(records: DataFrame) -> dict[str, dict[str, int]]:
     """Counts per source; one row per configured source reaches the driver."""
-    return {
-        row.source: row.asDict() for row in validate.source_counts(records).collect()
-    }
+    counts = {row.source: row.asDict() for row in validate.source_counts(records).collect()}
+    logger.info("records per source: %s", counts)
+    return counts
 
 
-def quarantine(records: DataFrame, lake: Lake, batch: Batch) -> None:
-    (
-        validate.rejected_records(records)
-        .select("source", "endpoint", "raw", "reject_reason", "missing")
-        .withColumn("batch_id", F.lit(batch.batch_id))
-        .write.mode("append")
-        .partitionBy("batch_id")
-        .parquet(lake.quarantine)
-    )
+def quarantine(
+    records: DataFrame, sources: Mapping[str, Mapping[str, int]], lake: Lake, batch: Batch
+) -> None:
+    """Keep what was rejected, and why, beside the tables."""
+    if any(seen["discarded"] or seen["bad_payloads"] for seen in sources.values()):
+        (
+            validate.rejected_records(records)
+            .select("source", "endpoint", "raw", "reject_reason", "missing")
+            .withColumn("batch_id", F.lit(batch.batch_id))
+            .write.mode("append")
+            .partitionBy("batch_id")
+            .parquet(lake.quarantine)
+        )
 
 
 def load_bronze(
     spark: SparkSession, records: DataFrame, lake: Lake, batch: Batch, stage: str
 ) -> Months | None:
-    """Write the batch; returns the months it touched, None if all were replaced."""
+    """Write the batch; returns the months it touched, None if all were rewritten.
+
+    A merge is staged whole before it replaces months in place: raw rows cannot be
+    derived again, and the staged copy lets the next run finish an interrupted one.
+    """
     incoming = quotes.with_months(to_bronze(records, batch))
-    if choose_write(batch.mode, tables.table_exists(spark, lake.bronze)) == "overwrite":
-        state.save_progress(spark, lake.progress, batch.batch_id, "loading")
+    months, merging = None, None
+    if choose_write(batch.mode, tables.table_exists(spark, lake.bronze)) == "merge":
+        months = quotes.months_of(incoming)
+        stored = tables.read_table(spark, lake.bronze, model.BRONZE_STORED)
+        incoming = upsert(stored.filter(quotes.in_months(months)), incoming, model.MERGE_KEYS)
+    if months is not None:
+        merging = f"{stage}/merged"
+        incoming.write.parquet(merging)
+    state.save_progress(spark, lake.progress, batch.batch_id, "loading", merging)
+    if merging:
+        _replace_months(spark, lake, merging)
+    else:
         tables.overwrite_table(incoming, lake.bronze, model.BRONZE_LAYOUT)
-        state.save_progress(spark, lake.progress, batch.batch_id, "bronze")
-        return None
-    months = quotes.months_of(incoming)
-    stored = tables.read_table(spark, lake.bronze, model.BRONZE_STORED)
-    merged = upsert(stored.filter(quotes.in_months(months)), incoming, model.MERGE_KEYS)
-    path = f"{stage}/merged"
-    merged.write.partitionBy(*model.BRONZE_LAYOUT).parquet(path)
-    state.save_progress(spark, lake.progress, batch.batch_id, "loading", merging=path)
-    _replace_months(spark, lake, path)
     state.save_progress(spark, lake.progress, batch.batch_id, "bronze")
     return months
 
@@ -197,7 +177,7 @@ def refresh_tables(spark: SparkSession, lake: Lake, months: Months | None = None
 def run_pipeline(
     spark: SparkSession,
     mode: str,
-    landing: Mapping[str, str],
+    landing: Mapping[str, str] | str,
     lake_root: str,
     whole_payloads: bool = True,
     endpoints: Mapping[str, str] = model.ENDPOINTS,
@@ -206,10 +186,12 @@ def run_pipeline(
 ) -> dict[str, int]:
     """Load the landed snapshot and return row counts.
 
-    ``full`` replaces Bronze; ``incremental`` merges the records newer than the
-    stored mark. Input that fails the checks stops the run before any write to
-    the tables. An incremental run without new records leaves them alone, unless
-    an earlier run stopped before the marts were done.
+    ``landing`` names a path of bodies per source, or one path of responses that
+    carry source, status and content type. ``full`` replaces Bronze;
+    ``incremental`` merges the records newer than the stored mark. Input that
+    fails the checks stops the run before any write to the tables. An incremental
+    run without new records leaves them alone, unless an earlier run stopped
+    before the marts were done.
     """
     choose_write(mode, True)  # an unknown mode fails before any work
     require_session(spark)
@@ -218,10 +200,17 @@ def run_pipeline(
     batch = Batch(mode, **{name: value for name, value in given.items() if value is not None})
     stage = scratch_dir(spark, "stage")
 
-    payloads = landed_payloads(spark, landing, whole_payloads, endpoints)
+    if isinstance(landing, str):
+        required, whole_payloads = endpoints, True
+        payloads = validate.check_envelope(landed_responses(spark, landing)).select(
+            "source", "endpoint", "body", "reject_reason"
+        )
+    else:
+        required = landing
+        payloads = landed_payloads(spark, landing, whole_payloads, endpoints)
     records = stage_records(spark, payloads, stage)
     sources = count_sources(records)
-    validate.expect_valid_per_source(sources, landing, whole_payloads)
+    validate.expect_valid_per_source(sources, required, whole_payloads)
 
     up_to_date = finish_interrupted(spark, lake) if mode == "incremental" else True
     quoted_at = parse_utc(F.col(model.QUOTE_TIME_FIELD))
@@ -232,8 +221,7 @@ def run_pipeline(
     months = None
     if reached.records:
         months = load_bronze(spark, fresh, lake, batch, stage)
-        if any(seen["valid"] < seen["received"] for seen in sources.values()):
-            quarantine(records, lake, batch)
+        quarantine(records, sources, lake, batch)
     state.save_state(
         spark, lake.state, reached.high_water, mode, reached.records, batch.ingested_at
     )

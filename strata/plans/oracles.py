@@ -227,7 +227,9 @@ SELECT source,
   count(*) FILTER (reject_reason IS NULL OR reject_reason IN ('not_object', 'missing_fields'))
     AS received,
   count(*) FILTER (reject_reason IS NULL) AS valid,
-  count(*) FILTER (reject_reason IN ('not_object', 'missing_fields')) AS discarded
+  count(*) FILTER (reject_reason IN ('not_object', 'missing_fields')) AS discarded,
+  min(reject_reason) FILTER (reject_reason IN ('null_payload', 'empty_payload', 'not_json'))
+    AS problem
 FROM outcomes GROUP BY 1""",
     "valid_records": f"WITH {PAYLOADS} SELECT event_id, source, raw, {TEXTS} FROM good",
     "rejected_records": f"""WITH {PAYLOADS}

@@ -10,6 +10,9 @@ from strata.functions.times import parse_utc
 from strata.operators import clean, marts
 from strata.operators.rank import latest_per_key
 
+Months = list[tuple[int, int]]
+MOST_MONTHS = 600
+
 
 def with_months(bronze: DataFrame) -> DataFrame:
     """Add the stored layout of Bronze: year and month of the quote time."""
@@ -118,13 +121,20 @@ def official_gap(latest: DataFrame) -> DataFrame:
     ).select(*model.GAP.names)
 
 
-def months_of(df: DataFrame) -> list[tuple[int, int]]:
-    """The distinct (year, month) pairs: a list the calendar bounds, not the data."""
-    return sorted((row.year, row.month) for row in df.select("year", "month").distinct().collect())
+def months_of(df: DataFrame) -> Months | None:
+    """The distinct (year, month) pairs; None, for all, if they are too many to list.
+
+    The calendar bounds them, but stray dates over thousands of years would make
+    a filter larger than it is worth.
+    """
+    found = df.select("year", "month").distinct().limit(MOST_MONTHS + 1).collect()
+    return sorted((row.year, row.month) for row in found) if len(found) <= MOST_MONTHS else None
 
 
-def in_months(months: list[tuple[int, int]]) -> Column:
+def in_months(months: Months | None) -> Column:
     """A filter on the partition columns alone, so it prunes folders."""
+    if months is None:
+        return F.lit(True)
     by_year: dict[int, list[int]] = {}
     for year, month in months:
         by_year.setdefault(year, []).append(month)

@@ -24,7 +24,9 @@ def _read_row(spark: SparkSession, root: str, schema: T.StructType) -> Row | Non
 
 
 def _write_row(spark: SparkSession, root: str, schema: T.StructType, values: tuple) -> None:
-    row = spark.createDataFrame([values], schema).coalesce(1)
+    row = spark.range(0, 1, 1, numPartitions=1).select(
+        *[F.lit(v).cast(f.dataType).alias(f.name) for f, v in zip(schema, values, strict=True)]
+    )
     overwrite_table(row, root, fmt="json")
 
 

@@ -58,8 +58,7 @@ def stream_pipeline(
         validate.expect_valid_per_source(sources, whole_payloads=whole_payloads)
         fresh = validate.valid_records(records)
         months = load_bronze(session, fresh, lake, batch, stage)
-        if any(seen["valid"] < seen["received"] for seen in sources.values()):
-            quarantine(records, lake, batch)
+        quarantine(records, sources, lake, batch)
         rebuilt_whole = rebuilt_whole or months is None
         touched.update(months or ())
         loaded += sum(seen["valid"] for seen in sources.values())
