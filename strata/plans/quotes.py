@@ -89,7 +89,7 @@ def latest_from_daily(valid: DataFrame, daily: DataFrame) -> DataFrame:
     candidates = valid.filter(in_months(months_of(last_day))).join(
         last_day, last_day.columns, "left_semi"
     )
-    return latest_quotes(candidates)
+    return latest_quotes(candidates.select(*valid.columns))
 
 
 def daily_metrics(valid: DataFrame) -> DataFrame:
