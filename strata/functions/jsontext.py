@@ -9,8 +9,12 @@ from pyspark.sql import functions as F
 
 
 def json_elements(body: Column) -> Column:
-    """The texts of a JSON array's elements; NULL unless the text is an array."""
-    return F.from_json(body, "array<string>")
+    """The texts of a JSON array's elements; NULL unless the text is an array.
+
+    Only text that opens an array is parsed: a failed parse costs far more than
+    a good one, and most bodies may be lone objects.
+    """
+    return F.when(F.ltrim(body).startswith("["), F.from_json(body, "array<string>"))
 
 
 def is_json(body: Column) -> Column:

@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from strata.functions.jsontext import json_texts
 from strata.model import BRONZE, REQUIRED_FIELDS
 
+OWN_LINEAGE = ("origen_datos", "endpoint")
+
 
 @dataclass(frozen=True)
 class Batch:
@@ -23,10 +25,22 @@ class Batch:
 
 
 def with_fields(records: DataFrame, raw: str = "raw") -> DataFrame:
-    """Add the source's fields as text columns, all from one parse."""
-    return records.withColumn("_texts", json_texts(F.col(raw), REQUIRED_FIELDS)).select(
-        "*", "_texts.*"
-    ).drop("_texts")
+    """Add the source's fields as text columns, all from one parse.
+
+    A record that did not come with a source or endpoint may name them itself.
+    """
+    own = F.col("_texts")
+    return (
+        records.withColumn("_texts", json_texts(F.col(raw), (*REQUIRED_FIELDS, *OWN_LINEAGE)))
+        .withColumns(
+            {
+                "source": F.coalesce("source", own["origen_datos"]),
+                "endpoint": F.coalesce("endpoint", own["endpoint"]),
+                **{name: own[name] for name in REQUIRED_FIELDS},
+            }
+        )
+        .drop("_texts")
+    )
 
 
 def to_bronze(fields: DataFrame, batch: Batch, raw: str = "raw") -> DataFrame:

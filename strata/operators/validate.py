@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
+from typing import Any
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -45,8 +46,7 @@ def split_payload(payloads: DataFrame, body: str = "body") -> DataFrame:
     holds no records keeps one row, so its source is not lost from the counts. A
     ``reject_reason`` from :func:`check_envelope` is carried on.
     """
-    text = F.col(body)
-    elements = json_elements(text)
+    text, elements = F.col(body), F.col("_elements")
     reason = (
         F.when(text.isNull() | (F.trim(text) == "null"), F.lit("null_payload"))
         .when(F.size(elements) == 0, F.lit("empty_payload"))
@@ -55,10 +55,9 @@ def split_payload(payloads: DataFrame, body: str = "body") -> DataFrame:
     if "reject_reason" in payloads.columns:
         reason = F.coalesce("reject_reason", reason)
     return (
-        payloads.withColumns(
-            {"payload_reason": reason, "_items": F.coalesce(elements, F.array(text))}
-        )
-        .drop(body, "reject_reason")
+        payloads.withColumn("_elements", json_elements(text))
+        .withColumns({"payload_reason": reason, "_items": F.coalesce(elements, F.array(text))})
+        .drop(body, "reject_reason", "_elements")
         .withColumn("raw", F.explode_outer("_items"))
         .drop("_items")
     )
@@ -67,20 +66,28 @@ def split_payload(payloads: DataFrame, body: str = "body") -> DataFrame:
 def check_records(records: DataFrame, required: Sequence[str] = REQUIRED_FIELDS) -> DataFrame:
     """Judge split payloads: ``reject_reason`` (NULL if valid), ``missing``, the
     absent keys, and ``bad_payload``, which is not a record but a whole payload."""
-    absent = absent_keys(F.col("raw"), required)
-    reason = F.coalesce(
-        "payload_reason",
-        F.when(absent.isNull(), F.lit("not_object")).when(
-            F.size(absent) > 0, F.lit("missing_fields")
-        ),
+    absent = F.col("_absent")
+    return (
+        records.withColumn("_absent", absent_keys(F.col("raw"), required))
+        .withColumn(
+            "reject_reason",
+            F.coalesce(
+                "payload_reason",
+                F.when(absent.isNull(), F.lit("not_object")).when(
+                    F.size(absent) > 0, F.lit("missing_fields")
+                ),
+            ),
+        )
+        .withColumns(
+            {
+                "missing": F.when(
+                    F.col("reject_reason") == "missing_fields", F.array_join(absent, ",")
+                ),
+                "bad_payload": F.col("payload_reason").isNotNull(),
+            }
+        )
+        .drop("payload_reason", "_absent")
     )
-    return records.withColumns(
-        {
-            "reject_reason": reason,
-            "missing": F.when(reason == "missing_fields", F.array_join(absent, ",")),
-            "bad_payload": F.col("payload_reason").isNotNull(),
-        }
-    ).drop("payload_reason")
 
 
 def valid_records(checked: DataFrame) -> DataFrame:
@@ -99,23 +106,25 @@ def source_counts(checked: DataFrame, by: str = "source") -> DataFrame:
         F.count_if(reason.isNull()).alias("valid"),
         F.count_if(~bad & reason.isNotNull()).alias("discarded"),
         F.count_if(bad).alias("bad_payloads"),
-        F.min(F.when(bad, reason)).alias("problem"),
     )
 
 
 def expect_valid_per_source(
-    counts: Mapping[str, Mapping[str, int]],
+    counts: Mapping[str, Mapping[str, Any]],
     required: Iterable[str] = (),
     whole_payloads: bool = True,
 ) -> None:
     """Raise unless every source brought a valid record.
 
     Where a body is one whole response, one bad response spoils the source; where
-    each line is a record of its own, a bad line is only discarded.
+    each line is a record of its own, a bad line is only discarded. A count of bad
+    payloads comes with a ``problem``, the reason of one of them.
     """
     for source in sorted({*required, *counts}):
         seen = counts.get(source, {})
         if whole_payloads and seen.get("bad_payloads", 0):
-            raise RejectedInput(f"{source}: {seen['bad_payloads']} bad, as in {seen['problem']}")
+            raise RejectedInput(
+                f"{source}: {seen['bad_payloads']} bad payloads, one is: {seen['problem']}"
+            )
         if not seen.get("valid", 0):
             raise RejectedInput(f"{source}: none of {seen.get('received', 0)} records is valid")

@@ -5,6 +5,7 @@ from __future__ import annotations
 import logging
 from collections.abc import Mapping
 from datetime import datetime
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -60,15 +61,19 @@ def stage_records(spark: SparkSession, payloads: DataFrame, stage: str) -> DataF
     return spark.read.schema(checked.schema).parquet(path)
 
 
-def count_sources(records: DataFrame) -> dict[str, dict[str, int]]:
+def count_sources(records: DataFrame) -> dict[str, dict[str, Any]]:
     """Counts per source; one row per configured source reaches the driver."""
     counts = {row.source: row.asDict() for row in validate.source_counts(records).collect()}
+    for source, seen in counts.items():
+        if seen["bad_payloads"]:
+            bad = records.filter(F.col("bad_payload") & (F.col("source") == source))
+            seen["problem"] = bad.select("reject_reason").first()[0]
     logger.info("records per source: %s", counts)
     return counts
 
 
 def quarantine(
-    records: DataFrame, sources: Mapping[str, Mapping[str, int]], lake: Lake, batch: Batch
+    records: DataFrame, sources: Mapping[str, Mapping[str, Any]], lake: Lake, batch: Batch
 ) -> None:
     """Keep what was rejected, and why, beside the tables."""
     if any(seen["discarded"] or seen["bad_payloads"] for seen in sources.values()):

@@ -243,6 +243,7 @@ def _payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(
         "event_id",
         F.when(F.col("event_id") % 3 == 0, "dolares").otherwise("cotizaciones").alias("source"),
+        F.lit("/v1").alias("endpoint"),
         body.alias("body"),
     )
 

@@ -34,15 +34,18 @@ def flagged_quotes(bronze: DataFrame) -> DataFrame:
 
 
 def build_silver(bronze: DataFrame) -> DataFrame:
-    """One row per quote key, the newest ingested, valid or not."""
+    """One row per quote key, the newest ingested, valid or not.
+
+    The key ends in the quote time, so ranking within both is the same; it lets
+    the sort compare a number before it compares texts with a common start.
+    """
     newest = [
         F.col("ingested_at").desc_nulls_last(),
         F.col("batch_id").desc_nulls_last(),
         F.col("raw_json").desc_nulls_last(),
     ]
-    return latest_per_key(flagged_quotes(bronze), ["quote_key"], newest).select(
-        *model.SILVER.names
-    )
+    silver = latest_per_key(flagged_quotes(bronze), ["quoted_at", "quote_key"], newest)
+    return silver.select(*model.SILVER.names)
 
 
 def valid_quotes(silver: DataFrame) -> DataFrame:

@@ -152,8 +152,10 @@ def test_envelope(spark):
 
 
 def test_bronze_projection(spark):
-    body = '{"moneda":"USD","casa":"bolsa","nombre":"Dólar","compra":1450.50,"venta":null,' \
+    body = (
+        '{"moneda":"USD","casa":"bolsa","nombre":"Dólar","compra":1450.50,"venta":null,'
         '"fechaActualizacion":"2026-09-05T20:56:00.000Z","extra":{"a":[1,2]}}'
+    )
     batch = Batch("full", "b9")
     valid = validate.valid_records(checked(spark, ("dolares", f"[{body}]")))
     row = to_bronze(with_fields(valid), batch).first()
@@ -164,3 +166,14 @@ def test_bronze_projection(spark):
     assert (row.origen_datos, row.endpoint) == ("dolares", "/v1/dolares")
     assert (row.modo_extraccion, row.batch_id) == ("full", "b9")
     assert row.fecha_ingesta == batch.ingested_at.isoformat()
+
+
+def test_record_names_its_own_lineage_where_the_landing_did_not(spark):
+    body = json.dumps(quote(endpoint="/v2/x", origen_datos="own"))
+    split = validate.split_payload(payloads(spark, ("unlisted", body), (None, body)))
+    valid = validate.valid_records(validate.check_records(split))
+    rows = to_bronze(with_fields(valid), Batch("full")).orderBy("origen_datos").collect()
+    assert [(row.origen_datos, row.endpoint) for row in rows] == [
+        ("own", "/v2/x"),
+        ("unlisted", "/v2/x"),
+    ]
