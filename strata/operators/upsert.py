@@ -25,18 +25,23 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFra
     source rows match one target row. Columns of only one side are kept, NULL
     where the other side has none.
 
-    Hot keys: the source is reduced to one row per key and the target's keys to
-    distinct ones before their shuffles; the two sides that must stay whole are
-    the left sides of their joins, which adaptive execution can split.
+    Hot keys: the source is reduced to one row per key, and the target to its
+    distinct keys, before they are shuffled. The sides that must stay whole are
+    the left sides of their joins, where adaptive execution splits hot keys. It
+    does so only if both sides are shuffled for the join itself, hence the
+    grouping by columns and the join by struct.
     """
     columns = target.columns + [c for c in source.columns if c not in target.columns]
-    old = target.withColumn("_key", F.struct(*keys))
-    new = source.withColumn("_key", F.struct(*keys))
+    key = F.struct(*keys).alias("_key")
+    old, new = target.select("*", key), source.select("*", key)
 
-    per_key = new.groupBy("_key").agg(
-        F.count("*").alias("_matches"),
-        F.first(F.struct(*source.columns)).alias("_row"),
+    row = F.struct(*source.columns)
+    per_key = (
+        source.groupBy(*keys)
+        .agg(F.count("*").alias("_matches"), F.first(row).alias("_row"))
+        .select(key, "_matches", "_row")
     )
+    known = target.select(*keys).distinct().select(key)
     ambiguous = F.raise_error(
         F.concat(F.lit("several source rows match the key "), F.to_json("_key"))
     )
@@ -53,7 +58,7 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFra
         .filter(F.when(F.col("_matches") > 1, ambiguous.cast("boolean")).otherwise(F.lit(True)))
         .select(*values)
     )
-    inserted = new.join(old.select("_key").distinct(), "_key", "left_anti").drop("_key")
+    inserted = new.join(known, "_key", "left_anti").drop("_key")
     return updated.unionByName(inserted, allowMissingColumns=True)
 
 

@@ -90,21 +90,43 @@ def test_against_a_row_by_row_merge(spark, target, source):
     assert Counter(tuple(row) for row in twice.collect()) == expected
 
 
-def test_hot_keys_are_reduced_before_they_meet(spark):
-    """No broadcast allowed: a third of each side shares one key."""
-    hot = F.when(F.col("id") % 3 == 0, F.lit(None)).otherwise(F.col("id").cast("string"))
-    target = spark.range(6000).select(hot.alias("a"), F.lit("x").alias("b"), F.lit(0).alias("v"))
-    source = spark.range(3000, 9000).filter("id % 3 <> 0").select(
-        F.col("id").cast("string").alias("a"), F.lit("x").alias("b"), F.lit(1).alias("v")
+@pytest.fixture
+def small_thresholds(spark):
+    """No broadcasts, and skew handling already at test size."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.shuffle.partitions": "16",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "16k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "128k",
+    }
+    before = {name: spark.conf.get(name) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    yield
+    for name, value in before.items():
+        spark.conf.set(name, value)
+
+
+def spread(hot):
+    """Keys and values from an id; where ``hot``, all share one key with a NULL."""
+    return (
+        F.when(F.expr(hot), F.lit(None)).otherwise(F.col("id").cast("string")).alias("a"),
+        F.lit("x").alias("b"),
+        F.sha2(F.col("id").cast("string"), 256).alias("v"),
     )
-    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        merged = upsert(target, source, KEYS)
-        plan = merged._jdf.queryExecution().executedPlan().toString()
-        assert "NestedLoop" not in plan and "Cartesian" not in plan
-        assert plan.count("SortMergeJoin") == 2
-        counts = {row.v: row.n for row in merged.groupBy("v").agg(F.count("*").alias("n")).collect()}
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
-    assert counts == {0: 2000 + 2000, 1: 4000}
+
+
+@pytest.mark.parametrize(
+    ("hot_target", "hot_source"), [("id % 3 = 0", "false"), ("false", "id % 3 = 0")]
+)
+def test_a_hot_key_is_split(spark, small_thresholds, hot_target, hot_source):
+    """A third of one side shares a key: its join partition is split, not one task."""
+    target = spark.range(0, 60_000, 1, 8).select(*spread(hot_target))
+    source = spark.range(30_000, 90_000, 1, 8).select(*spread(hot_source))
+    merged = upsert(target, source, KEYS)
+    assert len(merged.collect()) == 60_000 + 40_000  # 20,000 matched
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    final = plan[: plan.index("== Initial Plan ==")]
+    assert "NestedLoop" not in final and "Cartesian" not in final
+    assert "SortMergeJoin(skew=true)" in final
