@@ -118,14 +118,22 @@ def daily_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quotes.daily_metrics(_valid(spark, sf_dir))
 
 
+def _stored(df: DataFrame) -> DataFrame:
+    """Write and read back: the gap reads its input twice, this computes it once."""
+    root = scratch_dir(df.sparkSession, "stored")
+    tables.overwrite_table(df, root)
+    return tables.read_table(df.sparkSession, root, df.schema)
+
+
 def official_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _plain_times(quotes.official_gap(quotes.latest_quotes(_valid(spark, sf_dir))))
+    latest = _stored(quotes.latest_quotes(_valid(spark, sf_dir)))
+    return _plain_times(quotes.official_gap(latest))
 
 
 def official_gap_no_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
     others = _valid(spark, sf_dir).filter(F.col("venue") != model.OFFICIAL_VENUE)
-    gap = quotes.official_gap(quotes.latest_quotes(others))
-    return gap.agg(F.count("*").alias("n"))
+    latest = _stored(quotes.latest_quotes(others))
+    return quotes.official_gap(latest).agg(F.count("*").alias("n"))
 
 
 # --- Increments ---------------------------------------------------------------
