@@ -8,10 +8,18 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+# Keys hold timestamps printed as text, so the zone must not vary. Timestamps
+# stored as plain microseconds have statistics, so filters on them skip row groups.
+SETTINGS = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
+}
+
+
 def require_session(spark: SparkSession) -> SparkSession:
-    """Pin the session zone to UTC: keys hold timestamps printed as text."""
-    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    for name, value in SETTINGS.items():
+        if spark.conf.get(name) != value:
+            spark.conf.set(name, value)
     return spark
 
 
