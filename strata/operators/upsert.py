@@ -25,11 +25,11 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFra
     source rows match one target row. Columns of only one side are kept, NULL
     where the other side has none.
 
-    Hot keys: the source is reduced to one row per key, and the target to its
-    distinct keys, before they are shuffled. The sides that must stay whole are
-    the left sides of their joins, where adaptive execution splits hot keys. It
-    does so only if both sides are shuffled for the join itself, hence the
-    grouping by columns and the join by struct.
+    A batch small enough to be broadcast moves no target row. Otherwise hot keys
+    do not make hot tasks: what only needs one row per key is aggregated before
+    its shuffle, and the rest is on the left of its join, where adaptive execution
+    splits hot keys. It does so only next to shuffles made for the join itself,
+    hence the grouping by columns and the joins by struct.
     """
     columns = target.columns + [c for c in source.columns if c not in target.columns]
     key = F.struct(*keys).alias("_key")
@@ -41,7 +41,8 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFra
         .agg(F.count("*").alias("_matches"), F.first(row).alias("_row"))
         .select(key, "_matches", "_row")
     )
-    known = target.select(*keys).distinct().select(key)
+    wanted = source.select(*keys).distinct().select(key)
+    known = old.join(wanted, "_key", "left_semi").select(*keys).distinct().select(key)
     ambiguous = F.raise_error(
         F.concat(F.lit("several source rows match the key "), F.to_json("_key"))
     )

@@ -61,11 +61,14 @@ def stage_records(spark: SparkSession, payloads: DataFrame, stage: str) -> DataF
     return spark.read.schema(checked.schema).parquet(path)
 
 
-def count_sources(records: DataFrame) -> dict[str, dict[str, Any]]:
-    """Counts per source; one row per configured source reaches the driver."""
+def count_sources(records: DataFrame, whole_payloads: bool = True) -> dict[str, dict[str, Any]]:
+    """Counts per source; one row per configured source reaches the driver.
+
+    Where a bad payload will stop the run, the reason of one comes along.
+    """
     counts = {row.source: row.asDict() for row in validate.source_counts(records).collect()}
     for source, seen in counts.items():
-        if seen["bad_payloads"]:
+        if whole_payloads and seen["bad_payloads"]:
             bad = records.filter(F.col("bad_payload") & (F.col("source") == source))
             seen["problem"] = bad.select("reject_reason").first()[0]
     logger.info("records per source: %s", counts)
@@ -214,7 +217,7 @@ def run_pipeline(
         required = landing
         payloads = landed_payloads(spark, landing, whole_payloads, endpoints)
     records = stage_records(spark, payloads, stage)
-    sources = count_sources(records)
+    sources = count_sources(records, whole_payloads)
     validate.expect_valid_per_source(sources, required, whole_payloads)
 
     up_to_date = finish_interrupted(spark, lake) if mode == "incremental" else True

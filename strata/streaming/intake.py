@@ -52,9 +52,9 @@ def stream_pipeline(
             return
         stage = scratch_dir(session, "stage")
         records = stage_records(session, payloads, stage)
-        sources = count_sources(records)
+        sources = count_sources(records, whole_payloads)
         if sources:
-            validate.expect_valid_per_source(sources, whole_payloads=whole_payloads)
+            validate.expect_valid_per_source(sources, (), whole_payloads)
             fresh = validate.valid_records(records)
             months = load_bronze(session, fresh, lake, batch, stage)
             quarantine(records, sources, lake, batch)

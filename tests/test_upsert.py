@@ -130,3 +130,19 @@ def test_a_hot_key_is_split(spark, small_thresholds, hot_target, hot_source):
     final = plan[: plan.index("== Initial Plan ==")]
     assert "NestedLoop" not in final and "Cartesian" not in final
     assert "SortMergeJoin(skew=true)" in final
+
+
+def test_a_small_batch_moves_no_target_row(spark, tmp_path):
+    target_path, source_path = str(tmp_path / "t"), str(tmp_path / "s")
+    spark.range(0, 2000, 1, 4).select(*spread("false")).write.parquet(target_path)
+    spark.range(1990, 2010, 1, 1).select(*spread("false")).write.parquet(source_path)
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(threshold)
+    spark.conf.set(threshold, "20k")
+    try:
+        merged = upsert(spark.read.parquet(target_path), spark.read.parquet(source_path), KEYS)
+        plan = merged._jdf.queryExecution().executedPlan().toString()
+        assert "LeftOuter, BuildRight" in plan and "LeftSemi, BuildRight" in plan
+        assert merged.count() == 2010
+    finally:
+        spark.conf.set(threshold, before)
