@@ -106,7 +106,7 @@ def load_bronze(
         incoming = upsert(stored.filter(quotes.in_months(months)), incoming, model.MERGE_KEYS)
     if months is not None:
         merging = f"{stage}/merged"
-        incoming.write.parquet(merging)
+        tables.overwrite_table(incoming, merging)
     state.save_progress(spark, lake.progress, batch.batch_id, "loading", merging)
     if merging:
         _replace_months(spark, lake, merging)
@@ -116,17 +116,21 @@ def load_bronze(
     return months
 
 
-def _replace_months(spark: SparkSession, lake: Lake, path: str) -> None:
-    merged = spark.read.schema(model.BRONZE_STORED).parquet(path)
+def _replace_months(spark: SparkSession, lake: Lake, merging: str) -> None:
+    merged = tables.read_table(spark, merging, model.BRONZE_STORED)
     tables.overwrite_partitions(merged, lake.bronze, model.BRONZE_LAYOUT)
 
 
 def finish_interrupted(spark: SparkSession, lake: Lake) -> bool:
-    """Finish a merge that died half way; True if Silver and marts are up to date."""
+    """Finish a merge that died half way; True if Silver and marts are up to date.
+
+    Without its staged rows such a merge cannot be told from one not begun, so
+    their loss is an error; a full load starts afresh.
+    """
     last = state.read_progress(spark, lake.progress)
     if last is None:
         return not tables.table_exists(spark, lake.bronze)
-    if last.merging and tables.path_exists(spark, f"{last.merging}/_SUCCESS"):
+    if last.merging:
         _replace_months(spark, lake, last.merging)
         state.save_progress(spark, lake.progress, last.batch_id, "bronze")
     return last.stage == "marts"
