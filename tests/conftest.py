@@ -1,11 +1,9 @@
 from __future__ import annotations
 
-
 import pytest
 from pyspark.sql import SparkSession
 
 
-
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     session = (
