@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import exact_dedup
+from strata.llm import exact_dedup, simhash
 from strata.llm.common import table
 
 
@@ -24,5 +24,9 @@ FROM documents
 WINDOW same AS (PARTITION BY coalesce(text, ''))
 """
 
-QUERIES = {"op1_exact_dedup": op1_exact_dedup}
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, bits=4)
+
+
+QUERIES = {"op1_exact_dedup": op1_exact_dedup, "op10_simhash": op10_simhash}
 ORACLES = {"op1_exact_dedup": OP1_SQL}
