@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import exact_dedup, simhash
+from strata.llm import exact_dedup, length_packing, mixing, simhash
 from strata.llm.common import table
 
 
@@ -24,9 +24,65 @@ FROM documents
 WINDOW same AS (PARTITION BY coalesce(text, ''))
 """
 
+def op5_length_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return length_packing.pack(table(spark, sf_dir, "documents"))
+
+
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.report(table(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "source_size", "target", "taken"
+    )
+
+
+# Sources stop in order of stop over weight; the level is that of the first that does not.
+OP9_SQL = r"""
+WITH docs AS (
+  SELECT doc_id, source,
+         len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size
+  FROM documents
+), sources AS (
+  SELECT source, sum(size)::BIGINT AS source_size,
+         [3, 1, 2][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3] AS weight
+  FROM docs GROUP BY source
+), totals AS (
+  SELECT 1.5::DOUBLE * sum(source_size) AS mix FROM sources
+), ordered AS (
+  SELECT *,
+         coalesce(sum(2 * source_size) OVER (
+           ORDER BY 2 * source_size / weight, source NULLS LAST
+           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS held,
+         sum(weight) OVER (
+           ORDER BY 2 * source_size / weight, source NULLS LAST
+           ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)::BIGINT AS open_weight
+  FROM sources
+), levels AS (
+  SELECT arg_min((mix - held) / open_weight, held) AS level
+  FROM ordered, totals
+  WHERE 2 * source_size > weight * ((mix - held) / open_weight)
+), targets AS (
+  SELECT source, source_size,
+         CASE WHEN 2 * source_size <= weight * level THEN (2 * source_size)::DOUBLE
+              ELSE weight * level END AS target
+  FROM sources, levels
+), rates AS (
+  SELECT *, CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS rate FROM targets
+)
+SELECT doc_id, size, source_size, target,
+       size * (floor(rate)::BIGINT + (
+         (('0x' || substr(md5('17:' || coalesce(doc_id::VARCHAR, 'null')), 1, 13))::BIGINT::DOUBLE
+          / 4503599627370496.0) < rate - floor(rate))::BIGINT) AS taken
+FROM docs JOIN rates ON docs.source IS NOT DISTINCT FROM rates.source
+"""
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, bits=4)
 
 
-QUERIES = {"op1_exact_dedup": op1_exact_dedup, "op10_simhash": op10_simhash}
-ORACLES = {"op1_exact_dedup": OP1_SQL}
+QUERIES = {
+    "op1_exact_dedup": op1_exact_dedup,
+    "op5_length_packing": op5_length_packing,
+    "op9_mixing": op9_mixing,
+    "op10_simhash": op10_simhash,
+}
+ORACLES = {"op1_exact_dedup": OP1_SQL, "op9_mixing": OP9_SQL}
