@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from strata.llm import exact_dedup, length_packing, mixing, simhash
+from strata.llm import exact_dedup, length_packing, mixing, simhash, toxicity
 from strata.llm.common import table
 
 
@@ -24,6 +25,17 @@ FROM documents
 WINDOW same AS (PARTITION BY coalesce(text, ''))
 """
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    network = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.scores(docs, network).select(
+        "doc_id",
+        toxicity.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 def op5_length_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return length_packing.pack(table(spark, sf_dir, "documents"))
 
@@ -81,6 +93,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op4_toxicity": op4_toxicity,
     "op5_length_packing": op5_length_packing,
     "op9_mixing": op9_mixing,
     "op10_simhash": op10_simhash,
