@@ -31,6 +31,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strata.llm.common import chunks
 
@@ -41,6 +42,7 @@ EMBEDDING, STATE, ATTENTION = 8, 8, 8
 DRILL = 2
 #: Scores from here on count as toxic.
 THRESHOLD = 0.3
+PART = 64
 _BATCH = 2048
 _FLOAT = np.float32
 
@@ -215,9 +217,13 @@ def _log_odds(of: np.ndarray, doc: np.ndarray, label: np.ndarray, n: int) -> np.
 
 
 def train(
-    texts: list[str], labels: list[int], prior: float, epochs: int = 10, seed: int = 7
+    texts: list[str], labels: list[int], prior: float, steps: int = 600, seed: int = 7
 ) -> Network:
-    """``prior``: the share of toxic rows among all labelled ones; the sample is balanced."""
+    """``prior``: the share of toxic rows among all labelled ones.
+
+    Toxic documents are repeated in an epoch until they are a third as many as clean ones.
+    There are at least 8 epochs, and about ``steps`` updates in a small sample.
+    """
     rng, network, lexicon = np.random.default_rng(seed), Network(seed), Lexicon()
     label = np.array(labels, np.int64)
     cut = [windows(lexicon.encode(text)) for text in texts]
@@ -241,6 +247,9 @@ def train(
     worst = (np.maximum(word_odds, by_grams))[rows].max(1)
 
     first, second = ({k: np.zeros_like(v) for k, v in network.p.items()} for _ in range(2))
+    repeats = max(1, int((label == 0).sum() / (3 * label.sum())))
+    shown = np.repeat(np.arange(len(cut)), np.where(label == 1, repeats, 1))
+    epochs = max(8, min(60, steps * PART // (2 * len(shown))))
     step = 0
     for epoch in range(epochs):
         if epoch:
@@ -253,11 +262,11 @@ def train(
         clean = random[label == 0]
         drill = rows[clean[rng.permutation(len(clean))[: len(clean) // DRILL]]]
         drill = np.repeat(rng.permuted(drill, axis=1)[:, :1], WINDOW, axis=1)
-        given = np.concatenate([rows[top], rows[clean], drill])
-        wanted = np.concatenate([label, np.zeros(len(clean) + len(drill))]).astype(_FLOAT)
+        given = np.concatenate([rows[top[shown]], rows[clean], drill])
+        wanted = np.concatenate([label[shown], np.zeros(len(clean) + len(drill))]).astype(_FLOAT)
         chosen = rng.permutation(len(given))
         rate = 0.01 * (1 - epoch / epochs) + 0.001
-        for part in np.array_split(chosen, max(1, len(chosen) // 128)):
+        for part in np.array_split(chosen, max(1, len(chosen) // PART)):
             used, ids = np.unique(given[part], return_inverse=True)
             own = (
                 word_of[used],
@@ -280,7 +289,7 @@ def train(
                 second[k] = 0.99 * second[k] + 0.01 * g[k] ** 2
                 scale = np.sqrt(second[k] / (1 - 0.99**step)) + 1e-6
                 value -= (rate * first[k] / (1 - 0.9**step) / scale).astype(_FLOAT)
-    mean = min(max(label.mean(), 1e-3), 1 - 1e-3)
+    mean = min(max(label[shown].mean(), 1e-3), 1 - 1e-3)
     prior = min(max(prior, 1e-3), 1 - 1e-3)
     shift = np.log(prior / (1 - prior)) - np.log(mean / (1 - mean))
     network.p["bias"] += _FLOAT(shift)
@@ -374,14 +383,16 @@ def scorer(network: Network | None, text_at: int) -> Callable:
     return score
 
 
+def _with_score(docs: DataFrame) -> T.StructType:
+    return T.StructType([*docs.schema, T.StructField("score", T.DoubleType())])
+
+
 def scores(
     docs: DataFrame, network: Network | None, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """``id_col, score`` per row; each text is read where it lies, nothing is shuffled."""
     given = docs.select(id_col, F.col(text_col).alias("_text"))
-    scored = given.mapInArrow(
-        scorer(network, 1), given.schema.add("score", "double")
-    )
+    scored = given.mapInArrow(scorer(network, 1), _with_score(given))
     return scored.drop("_text")
 
 
@@ -392,7 +403,7 @@ def clean_documents(
     columns = [F.col(f"`{name}`").alias(f"c{n}") for n, name in enumerate(docs.columns)]
     plain = docs.select(*columns)
     scored = plain.mapInArrow(
-        scorer(network, docs.columns.index(text_col)), plain.schema.add("score", "double")
+        scorer(network, docs.columns.index(text_col)), _with_score(plain)
     )
     kept = scored.filter(F.col("score") < threshold)
     return kept.select(*[F.col(f"c{n}").alias(name) for n, name in enumerate(docs.columns)])
