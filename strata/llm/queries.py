@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import chat, exact_dedup, length_packing, mixing, simhash, toxicity
+from strata.llm import chat, exact_dedup, length_packing, mixing, simhash, toxicity, warc
 from strata.llm.common import table
 
 
@@ -126,6 +126,40 @@ FROM whole
 """
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = warc.archived(table(spark, sf_dir, "pages"), least_bytes=0)
+    return found.select(
+        F.col("metadata.fields")["capture-id"].cast("long").alias("page_id"),
+        "payload_bytes",
+        F.col("digest").alias("payload_digest"),
+        F.col("type").alias("record_type"),
+        F.col("origin")["capture-id"].cast("long").alias("refers_to"),
+    )
+
+
+# Base32: each 5 bytes of the digest are 8 letters of 5 bits.
+OP6_SQL = """
+WITH payloads AS (
+  SELECT page_id, coalesce(html, '') AS payload FROM pages
+), digests AS (
+  SELECT page_id, octet_length(encode(payload)) AS payload_bytes, sha1(payload) AS hex,
+         max(page_id) OVER (PARTITION BY payload) AS stored
+  FROM payloads
+), letters AS (
+  SELECT *, list_transform(range(4), lambda k: ('0x' || substr(hex, 10 * k + 1, 10))::BIGINT) AS five
+  FROM digests
+)
+SELECT page_id, payload_bytes,
+       list_aggregate(
+         list_transform(range(32), lambda n: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           1 + ((five[1 + n // 8] >> (35 - 5 * (n % 8))) & 31)::INT, 1)),
+         'string_agg', '') AS payload_digest,
+       CASE WHEN page_id = stored THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> stored THEN stored END AS refers_to
+FROM letters
+"""
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op4_toxicity": op4_toxicity,
@@ -133,5 +167,6 @@ QUERIES = {
     "op9_mixing": op9_mixing,
     "op10_simhash": op10_simhash,
     "op3_chat_formatting": op3_chat_formatting,
+    "op6_warc": op6_warc,
 }
-ORACLES = {"op1_exact_dedup": OP1_SQL, "op9_mixing": OP9_SQL, "op3_chat_formatting": OP3_SQL}
+ORACLES = {"op1_exact_dedup": OP1_SQL, "op9_mixing": OP9_SQL, "op3_chat_formatting": OP3_SQL, "op6_warc": OP6_SQL}
