@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import chat, exact_dedup, length_packing, mixing, simhash, toxicity, warc
+from strata.llm import chat, exact_dedup, length_packing, mixing, simhash, substring_dedup, toxicity, warc
 from strata.llm.common import table
 
 
@@ -160,6 +160,10 @@ FROM letters
 """
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.remove_repeats(table(spark, sf_dir, "documents"), window=50)
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op4_toxicity": op4_toxicity,
@@ -168,5 +172,6 @@ QUERIES = {
     "op10_simhash": op10_simhash,
     "op3_chat_formatting": op3_chat_formatting,
     "op6_warc": op6_warc,
+    "op7_substring_dedup": op7_substring_dedup,
 }
 ORACLES = {"op1_exact_dedup": OP1_SQL, "op9_mixing": OP9_SQL, "op3_chat_formatting": OP3_SQL, "op6_warc": OP6_SQL}
