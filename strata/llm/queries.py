@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import chat, exact_dedup, length_packing, mixing, simhash, substring_dedup, toxicity, warc
+from strata.llm import chat, exact_dedup, length_packing, mixing, secrets, simhash, substring_dedup, toxicity, warc
 from strata.llm.common import table
 
 
@@ -164,6 +164,29 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.remove_repeats(table(spark, sf_dir, "documents"), window=50)
 
 
+def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = secrets.findings(docs, secrets.fit(docs))
+
+    def joined(spans: Column) -> Column:
+        parts = F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"]))
+        return F.array_join(parts, ",")
+
+    def number(kind: str) -> Column:
+        of_kind = F.filter("findings", lambda s: s["kind"] == kind)
+        return F.size(of_kind).cast("long").alias(f"n_{kind}")
+
+    base = F.filter("findings", lambda s: s["kind"] != "model")
+    return found.select(
+        "doc_id",
+        number("assign"),
+        number("access"),
+        number("hex"),
+        F.sha2(joined(base), 256).alias("base_sha256"),
+        joined(F.col("findings")).alias("spans"),
+    )
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op4_toxicity": op4_toxicity,
@@ -173,5 +196,6 @@ QUERIES = {
     "op3_chat_formatting": op3_chat_formatting,
     "op6_warc": op6_warc,
     "op7_substring_dedup": op7_substring_dedup,
+    "op2_secrets": op2_secrets,
 }
 ORACLES = {"op1_exact_dedup": OP1_SQL, "op9_mixing": OP9_SQL, "op3_chat_formatting": OP3_SQL, "op6_warc": OP6_SQL}
