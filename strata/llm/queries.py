@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import chat, exact_dedup, length_packing, mixing, secrets, simhash, substring_dedup, toxicity, warc
+from strata.llm import chat, exact_dedup, length_packing, minhash, mixing, secrets, simhash, substring_dedup, toxicity, warc
 from strata.llm.common import table
 
 
@@ -187,6 +187,10 @@ def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.report(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op4_toxicity": op4_toxicity,
@@ -197,5 +201,6 @@ QUERIES = {
     "op6_warc": op6_warc,
     "op7_substring_dedup": op7_substring_dedup,
     "op2_secrets": op2_secrets,
+    "op8_minhash": op8_minhash,
 }
 ORACLES = {"op1_exact_dedup": OP1_SQL, "op9_mixing": OP9_SQL, "op3_chat_formatting": OP3_SQL, "op6_warc": OP6_SQL}
