@@ -120,7 +120,7 @@ def with_copies(
     whole = F.floor("_t.rate")
     extra = (drawn(seed, F.col(id_col)) < F.col("_t.rate") - whole).cast("long")
     return joined.select(
-        *[docs[name] for name in docs.columns],
+        *[docs[f"`{name}`"] for name in docs.columns],
         F.struct(
             size.alias("size"),
             F.col("_t.source_size").alias("source_size"),
