@@ -32,6 +32,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strata.llm.common import staged
 from strata.session import scratch_dir
 
 END = "\r\n"
@@ -54,8 +55,8 @@ RECORD = T.StructType(
 )
 
 
-def _record_id(kind: str, id_col: Column, row: Column) -> Column:
-    name = F.concat_ws(":", F.lit(kind), F.coalesce(id_col.cast("string"), F.lit("null")), row)
+def _record_id(kind: str, id_col: Column, rest: Column) -> Column:
+    name = F.concat_ws(":", F.lit(kind), F.coalesce(id_col.cast("string"), F.lit("null")), rest)
     hexed = F.md5(name.cast("binary"))
     parts = [F.substring(hexed, at, n) for at, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))]
     return F.concat(F.lit("<urn:uuid:"), F.concat_ws("-", *parts), F.lit(">"))
@@ -86,6 +87,34 @@ def _one_line(text: Column) -> Column:
     return F.regexp_replace(F.coalesce(text, F.lit("")), "[\r\n]", "")
 
 
+def _numbered(rows: DataFrame) -> DataFrame:
+    """Add ``number``: 0, or what tells rows apart that repeat an id and payload.
+
+    Such rows are written with a number each; one of them has 0.
+    """
+    repeated = rows.groupBy("id", "sha").count().filter("count > 1").select(
+        F.col("id").alias("_id"), F.col("sha").alias("_sha")
+    )
+    repeated = staged(repeated, "warc-repeated")
+    if repeated.isEmpty():
+        return rows.withColumn("number", F.lit(0).cast("long"))
+    same = rows["id"].eqNullSafe(repeated["_id"]) & (rows["sha"] == repeated["_sha"])
+    again = rows.join(repeated, same, "left_semi")
+    again = staged(again.withColumn("number", F.monotonically_increasing_id()), "warc-again")
+    least = again.groupBy(F.col("id").alias("_id"), F.col("sha").alias("_sha")).agg(
+        F.min("number").alias("_least")
+    )
+    same = again["id"].eqNullSafe(least["_id"]) & (again["sha"] == least["_sha"])
+    again = again.join(least, same).withColumn("number", F.col("number") - F.col("_least"))
+    once = rows.join(
+        repeated, rows["id"].eqNullSafe(repeated["_id"]) & (rows["sha"] == repeated["_sha"]),
+        "left_anti",
+    )
+    return once.withColumn("number", F.lit(0).cast("long")).unionByName(
+        again.drop("_id", "_sha", "_least")
+    )
+
+
 def captures(
     pages: DataFrame,
     least_bytes: int = 0,
@@ -98,19 +127,22 @@ def captures(
         F.col(id_col).alias("id"),
         _one_line(F.col(url_col)).alias("url"),
         F.coalesce(html_col, F.lit("")).alias("html"),
-        # Tells rows that repeat an id apart; a scan of the same files numbers them alike.
-        F.monotonically_increasing_id().alias("row"),
     ).withColumn("sha", F.sha2("html", 256))
     large = F.octet_length("html") >= least_bytes
     first = (
         rows.filter(large)
         .groupBy("sha")
-        .agg(F.max(F.struct("id", "row")).alias("first"))
+        .agg(F.max("id").alias("first"))
         .withColumnRenamed("sha", "first_sha")
     )
-    told = rows.join(first, (F.col("sha") == F.col("first_sha")) & large, "left")
-    stored = F.col("first").isNull() | (F.col("first.row") == F.col("row"))
-    own = _record_id("response", F.col("id"), F.col("row").cast("string"))
+    told = _numbered(rows).join(first, (F.col("sha") == F.col("first_sha")) & large, "left")
+    grouped = F.col("first_sha").isNotNull()
+    stored = ~grouped | (F.col("id").eqNullSafe(F.col("first")) & (F.col("number") == 0))
+
+    def record_id(kind: str, id_: Column = F.col("id"), number: Column = F.col("number")) -> Column:
+        return _record_id(kind, id_, F.concat_ws(":", "sha", number))
+
+    own = record_id("response")
     shared = [("WARC-Date", F.lit(_DATE)), ("WARC-Target-URI", F.col("url"))]
     sha1 = F.concat(F.lit("sha1:"), _base32(F.sha1(F.col("html").cast("binary"))))
     answer = F.lit("HTTP/1.1 200 OK" + END + "Content-Type: text/html; charset=utf-8" + CLOSE)
@@ -123,7 +155,7 @@ def captures(
                 "WARC-Refers-To",
                 F.when(
                     ~stored,
-                    _record_id("response", F.col("first.id"), F.col("first.row").cast("string")),
+                    record_id("response", F.col("first"), F.lit(0)),
                 ),
             ),
             (
@@ -141,7 +173,7 @@ def captures(
     request = _record(
         [
             ("WARC-Type", F.lit("request")),
-            ("WARC-Record-ID", _record_id("request", F.col("id"), F.col("row").cast("string"))),
+            ("WARC-Record-ID", record_id("request")),
             ("WARC-Concurrent-To", own),
             *shared,
             ("Content-Type", F.lit("application/http; msgtype=request")),
@@ -151,7 +183,7 @@ def captures(
     metadata = _record(
         [
             ("WARC-Type", F.lit("metadata")),
-            ("WARC-Record-ID", _record_id("metadata", F.col("id"), F.col("row").cast("string"))),
+            ("WARC-Record-ID", record_id("metadata")),
             ("WARC-Concurrent-To", own),
             *shared,
             ("Content-Type", F.lit("application/warc-fields")),
