@@ -50,8 +50,11 @@ def ranked_sources(sizes: DataFrame) -> DataFrame:
         "mix-ranged",
     )
     counts = ranged.groupBy("part").agg(F.count("*").alias("held"))
-    before = counts.alias("x").join(counts.alias("y"), F.expr("y.part < x.part"), "left")
-    offsets = before.groupBy("x.part").agg(F.coalesce(F.sum("y.held"), F.lit(0)).alias("offset"))
+    # One row per range here, so as many as partitions.
+    ahead = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(
+        "part", F.coalesce(F.sum("held").over(ahead), F.lit(0)).alias("offset")
+    )
     within = Window.partitionBy("part").orderBy("late", "source")
     return (
         ranged.withColumn("place", F.row_number().over(within) - 1)

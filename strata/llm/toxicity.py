@@ -25,7 +25,7 @@ from __future__ import annotations
 
 import zlib
 from collections import defaultdict
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -207,15 +207,25 @@ class Network:
         return g, d_x
 
 
-def _log_odds(of: np.ndarray, doc: np.ndarray, label: np.ndarray, n: int) -> np.ndarray:
-    """Of each bucket: how much oftener toxic documents have it; near 0 for rare ones."""
-    in_doc, bucket = np.divmod(np.unique(doc.astype(np.int64) * n + of), n)
-    toxic = np.bincount(bucket, label[in_doc], n) / max(1, label.sum())
-    clean = np.bincount(bucket, 1 - label[in_doc], n) / max(1, (1 - label).sum())
+def _log_odds(found: Iterable[np.ndarray], label: np.ndarray, n: int) -> np.ndarray:
+    """Of each bucket: how much oftener toxic documents have it; near 0 for rare ones.
+
+    ``found`` has the distinct buckets of each document.
+    """
+    seen = np.zeros((2, n))
+    for buckets, one in zip(found, label, strict=True):
+        seen[one, buckets] += 1
+    clean, toxic = seen / np.maximum(1, np.bincount(label, minlength=2))[:, None]
     shrink = 4 / len(label)
     return np.log((toxic + shrink) / (clean + shrink))
 
 
+def _grams_of(words: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Places of the grams of some words, one word after the other."""
+    spans = counts[words]
+    return np.repeat(starts[words] - np.cumsum(spans) + spans, spans) + np.arange(spans.sum())
+
+
 def train(
     texts: list[str], labels: list[int], prior: float, steps: int = 600, seed: int = 7
 ) -> Network:
@@ -231,34 +241,32 @@ def train(
     word_of, gram_of, starts = buckets
     doc_of = np.repeat(np.arange(len(cut)), [len(w) for w in cut])
     rows = np.concatenate(cut)
-    word_odds = _log_odds(rows.ravel(), np.repeat(doc_of, WINDOW), label, len(word_of))
     counts = np.diff(np.append(starts, len(gram_of)))
-    gram_word = np.repeat(np.arange(len(word_of)), counts)
-    pairs = np.unique(np.repeat(doc_of, WINDOW).astype(np.int64) * len(word_of) + rows.ravel())
-    docs, words = np.divmod(pairs, len(word_of))
-    spans = counts[words]
-    at = np.repeat(starts[words] - np.cumsum(spans) + spans, spans) + np.arange(spans.sum())
-    gram_odds = _log_odds(gram_of[at], np.repeat(docs, spans), label, GRAMS)
+    words = [np.unique(own) for own in cut]
+    word_odds = _log_odds(words, label, len(word_of))
+    grams = (np.unique(gram_of[_grams_of(own, starts, counts)]) for own in words)
+    gram_odds = _log_odds(grams, label, GRAMS)
     hashed = np.zeros(WORDS)
     np.add.at(hashed, word_of, np.where(np.abs(word_odds) > 0.5, word_odds, 0))
     network.p["word"][:, 0] += np.clip(hashed, -2, 4) / 2
     network.p["gram"][:, 0] += np.clip(gram_odds, -2, 4) / 2
     by_grams = np.add.reduceat(gram_odds[gram_of], starts) / counts
-    worst = (np.maximum(word_odds, by_grams))[rows].max(1)
+    worst = np.maximum(word_odds, by_grams).astype(_FLOAT)[rows].max(1)
+    firsts = np.cumsum([0, *[len(own) for own in cut[:-1]]])
+    sizes = np.array([len(own) for own in cut])
+    del cut, words
 
     first, second = ({k: np.zeros_like(v) for k, v in network.p.items()} for _ in range(2))
     repeats = max(1, int((label == 0).sum() / (3 * label.sum())))
-    shown = np.repeat(np.arange(len(cut)), np.where(label == 1, repeats, 1))
+    shown = np.repeat(np.arange(len(sizes)), np.where(label == 1, repeats, 1))
     epochs = max(8, min(60, steps * PART // (2 * len(shown))))
     step = 0
     for epoch in range(epochs):
         if epoch:
             worst = network.logits(network.gates(buckets), rows)
         order = np.lexsort((-worst, doc_of))
-        top = order[np.searchsorted(doc_of[order], np.arange(len(cut)))]
-        random = np.array([rng.integers(0, len(w)) for w in cut]) + np.cumsum(
-            [0, *[len(w) for w in cut[:-1]]]
-        )
+        top = order[firsts]
+        random = firsts + rng.integers(0, sizes)
         clean = random[label == 0]
         drill = rows[clean[rng.permutation(len(clean))[: len(clean) // DRILL]]]
         drill = np.repeat(rng.permuted(drill, axis=1)[:, :1], WINDOW, axis=1)
@@ -270,10 +278,7 @@ def train(
             used, ids = np.unique(given[part], return_inverse=True)
             own = (
                 word_of[used],
-                gram_of[
-                    np.repeat(starts[used] - np.cumsum(counts[used]) + counts[used], counts[used])
-                    + np.arange(counts[used].sum())
-                ],
+                gram_of[_grams_of(used, starts, counts)],
                 np.cumsum(counts[used]) - counts[used],
             )
             x = network.inputs(own)
