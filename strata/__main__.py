@@ -8,7 +8,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import SparkSession
 
-from strata.plans.medallion import run_pipeline
+from strata.plans.medallion import Options, run_pipeline
 from strata.streaming.intake import stream_pipeline
 
 
@@ -20,7 +20,16 @@ def parse_args(argv: Sequence[str] | None = None) -> argparse.Namespace:
         "--landing", nargs="+", metavar="SOURCE=PATH", help="landed bodies, one path per source"
     )
     parser.add_argument("--responses", help="landed responses with their envelope, instead")
-    parser.add_argument("--lines", action="store_true", help="bodies hold a record per line")
+    parser.add_argument(
+        "--bodies", action="store_true", help="a file is one body; else a line is one"
+    )
+    parser.add_argument(
+        "--mark-per-source", action="store_true", help="a high-water mark for each source"
+    )
+    parser.add_argument("--nan-is-bad", action="store_true", help="flag quotes with a NaN price")
+    parser.add_argument(
+        "--keep-generations", type=int, help="delete older generations of the tables"
+    )
     parser.add_argument("--checkpoint", help="checkpoint folder of the stream mode")
     args = parser.parse_args(argv)
     if bool(args.landing) == bool(args.responses):
@@ -37,12 +46,23 @@ def parse_args(argv: Sequence[str] | None = None) -> argparse.Namespace:
 def main(argv: Sequence[str] | None = None) -> None:
     args = parse_args(argv)
     spark = SparkSession.builder.appName("strata").getOrCreate()
-    whole = not args.lines
+    options = Options(
+        args.bodies, nan_is_bad=args.nan_is_bad, mark_per_source=args.mark_per_source
+    )
     if args.mode == "stream":
-        counts = stream_pipeline(spark, args.landing, args.lake, args.checkpoint, whole)
+        counts = stream_pipeline(
+            spark, args.landing, args.lake, args.checkpoint, options=options
+        )
     else:
         landing = args.landing or args.responses
-        counts = run_pipeline(spark, args.mode, landing, args.lake, whole)
+        counts = run_pipeline(
+            spark,
+            args.mode,
+            landing,
+            args.lake,
+            options=options,
+            keep_generations=args.keep_generations,
+        )
     print(json.dumps(counts))
 
 

@@ -8,25 +8,35 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+#: White space as JSON has it; Spark's trim takes spaces only.
+WHITE_SPACE = " \t\n\r"
+
+
+def stripped(body: Column) -> Column:
+    return F.btrim(body, F.lit(WHITE_SPACE))
+
+
 def json_elements(body: Column) -> Column:
     """The texts of a JSON array's elements; NULL unless the text is an array.
 
     Only text that opens an array is parsed: a failed parse costs far more than
     a good one, and most bodies may be lone objects.
     """
-    return F.when(F.ltrim(body).startswith("["), F.from_json(body, "array<string>"))
+    return F.when(stripped(body).startswith("["), F.from_json(body, "array<string>"))
 
 
 def is_json(body: Column) -> Column:
     """Whether the whole text is one JSON value.
 
-    Spark's parsers stop after the first value, so ``{} junk`` would pass. As a
-    member of an object with one more member after it, the text must end there.
+    Spark's parsers stop after the first value, so ``{} junk`` would pass. The text is
+    tried as the one element of an array and as a member of an object with a member
+    after it. Text after the value would have to go on as either frame allows: a closing
+    bracket breaks the object, a closing brace or a named member breaks the array.
     """
+    element = F.from_json(F.concat(F.lit("["), body, F.lit("]")), "array<string>")
     framed = F.concat(F.lit('{"value":'), body, F.lit(',"after":0}'))
-    return F.coalesce(
-        F.json_object_keys(framed) == F.array(F.lit("value"), F.lit("after")), F.lit(False)
-    )
+    member = F.json_object_keys(framed) == F.array(F.lit("value"), F.lit("after"))
+    return F.coalesce((F.size(element) == 1) & member, F.lit(False))
 
 
 def absent_keys(record: Column, required: Sequence[str]) -> Column:

@@ -52,10 +52,10 @@ _DATE_PARTS = [
     T.StructField("day", T.IntegerType()),
 ]
 
-# Bronze as stored: also the month of the quote time, which the merge key fixes,
-# so that a merge and the rebuild after it touch only the months of the batch.
-BRONZE_LAYOUT = ("year", "month")
-BRONZE_STORED = T.StructType(BRONZE.fields + _DATE_PARTS[:2])
+# Bronze as stored: also the day of the quote time, which the merge key fixes, so that
+# a merge touches only the days of the batch, and the rebuild after it their months.
+BRONZE_LAYOUT = ("year", "month", "day")
+BRONZE_STORED = T.StructType(BRONZE.fields + _DATE_PARTS)
 
 SILVER_LAYOUT = ("year", "month", "venue")
 SILVER = T.StructType(
@@ -116,6 +116,16 @@ GAP = T.StructType(
     ]
 )
 
+# Rows of Silver per month, all and valid ones, so that no run counts them all.
+COUNTS_LAYOUT = ("year", "month")
+COUNTS = T.StructType(
+    [
+        *_DATE_PARTS[:2],
+        T.StructField("silver", T.LongType()),
+        T.StructField("valid", T.LongType()),
+    ]
+)
+
 # Run state: field names are a fixed format, shared with readers of the state file.
 STATE = T.StructType(
     [

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from strata.functions.jsontext import json_texts
 from strata.model import BRONZE, REQUIRED_FIELDS
 
+MODES = ("full", "incremental")
 OWN_LINEAGE = ("origen_datos", "endpoint")
 
 
@@ -23,6 +24,10 @@ class Batch:
     batch_id: str = field(default_factory=lambda: str(uuid4()))
     ingested_at: datetime = field(default_factory=lambda: datetime.now(timezone.utc))
 
+    def __post_init__(self) -> None:
+        if self.mode not in MODES:
+            raise ValueError(f"unknown mode: {self.mode}")
+
 
 def with_fields(records: DataFrame, raw: str = "raw") -> DataFrame:
     """Add the source's fields as text columns, all from one parse.

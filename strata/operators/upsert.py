@@ -8,15 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def choose_write(mode: str, exists: bool) -> str:
-    """How a batch enters the table: ``overwrite`` or ``merge``."""
-    if mode == "full":
-        return "overwrite"
-    if mode == "incremental":
-        return "merge" if exists else "overwrite"
-    raise ValueError(f"unknown mode: {mode}")
-
-
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Update target rows whose key the source has, insert the source's other rows.
 
@@ -25,28 +16,30 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFra
     source rows match one target row. Columns of only one side are kept, NULL
     where the other side has none.
 
-    A batch small enough to be broadcast moves no target row. Otherwise hot keys
-    do not make hot tasks: what only needs one row per key is aggregated before
-    its shuffle, and the rest is on the left of its join, where adaptive execution
-    splits hot keys. It does so only next to shuffles made for the join itself,
-    hence the grouping by columns and the joins by struct.
+    A batch small enough to be broadcast moves no target row. Otherwise the target is
+    joined to the batch itself, and adaptive execution splits a hot key of either side.
+    The guard is a branch of its own over keys alone, which gives no rows or fails;
+    grouping by columns keeps its aggregates hash aggregates.
     """
     columns = target.columns + [c for c in source.columns if c not in target.columns]
     key = F.struct(*keys).alias("_key")
     old, new = target.select("*", key), source.select("*", key)
 
-    row = F.struct(*source.columns)
-    per_key = (
-        source.groupBy(*keys)
-        .agg(F.count("*").alias("_matches"), F.first(row).alias("_row"))
-        .select(key, "_matches", "_row")
-    )
-    wanted = source.select(*keys).distinct().select(key)
-    known = old.join(wanted, "_key", "left_semi").select(*keys).distinct().select(key)
+    several = source.groupBy(*keys).agg(F.count("*").alias("_n")).filter("_n > 1").select(key, "_n")
     ambiguous = F.raise_error(
         F.concat(F.lit("several source rows match the key "), F.to_json("_key"))
     )
-    hit = F.col("_matches").isNotNull()
+    # An outer join, as the optimizer would move the check before any other.
+    clashes = (
+        old.select("_key")
+        .join(several, "_key", "left")
+        .filter(F.when(F.col("_n") > 1, ambiguous.cast("boolean")).otherwise(F.lit(False)))
+    )
+
+    wanted = source.select(*keys).distinct().select(key)
+    known = old.join(wanted, "_key", "left_semi").select(*keys).distinct().select(key)
+    rows = source.select(key, F.struct(*source.columns).alias("_row"))
+    hit = F.col("_row").isNotNull()
     values = []
     for name in columns:
         if name not in source.columns:
@@ -54,13 +47,11 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFra
         else:
             kept = F.col(name) if name in target.columns else F.lit(None)
             values.append(F.when(hit, F.col("_row")[name]).otherwise(kept).alias(name))
-    updated = (
-        old.join(per_key, "_key", "left")
-        .filter(F.when(F.col("_matches") > 1, ambiguous.cast("boolean")).otherwise(F.lit(True)))
-        .select(*values)
-    )
+    updated = old.join(rows, "_key", "left").select(*values)
     inserted = new.join(known, "_key", "left_anti").drop("_key")
-    return updated.unionByName(inserted, allowMissingColumns=True)
+    merged = updated.unionByName(inserted, allowMissingColumns=True)
+    none = [F.lit(None).cast(field.dataType).alias(field.name) for field in merged.schema]
+    return merged.unionByName(clashes.select(*none))
 
 
 def ambiguous_matches(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping, Sequence
 from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.functions.jsontext import absent_keys, is_json, json_elements
+from strata.functions.jsontext import absent_keys, is_json, json_elements, stripped
 from strata.model import REQUIRED_FIELDS
 
 
@@ -48,7 +48,7 @@ def split_payload(payloads: DataFrame, body: str = "body") -> DataFrame:
     """
     text, elements = F.col(body), F.col("_elements")
     reason = (
-        F.when(text.isNull() | (F.trim(text) == "null"), F.lit("null_payload"))
+        F.when(text.isNull() | (stripped(text) == "null"), F.lit("null_payload"))
         .when(F.size(elements) == 0, F.lit("empty_payload"))
         .when(~is_json(text), F.lit("not_json"))
     )
@@ -98,7 +98,7 @@ def rejected_records(checked: DataFrame) -> DataFrame:
     return checked.filter(F.col("reject_reason").isNotNull())
 
 
-def source_counts(checked: DataFrame, by: str = "source") -> DataFrame:
+def source_counts(checked: DataFrame, by: str | Column = "source") -> DataFrame:
     """Per source: records received, valid and discarded, and bad payloads."""
     bad, reason = F.col("bad_payload"), F.col("reject_reason")
     return checked.groupBy(by).agg(
@@ -106,6 +106,7 @@ def source_counts(checked: DataFrame, by: str = "source") -> DataFrame:
         F.count_if(reason.isNull()).alias("valid"),
         F.count_if(~bad & reason.isNotNull()).alias("discarded"),
         F.count_if(bad).alias("bad_payloads"),
+        F.min(F.when(bad, reason)).alias("problem"),
     )
 
 
@@ -118,8 +119,11 @@ def expect_valid_per_source(
 
     Where a body is one whole response, one bad response spoils the source; where
     each line is a record of its own, a bad line is only discarded. A count of bad
-    payloads comes with a ``problem``, the reason of one of them.
+    payloads comes with a ``problem``, the reason of one of them. What came under no
+    known source is counted under None.
     """
+    if None in counts:
+        raise RejectedInput("records of a source that is not configured")
     for source in sorted({*required, *counts}):
         seen = counts.get(source, {})
         if whole_payloads and seen.get("bad_payloads", 0):

@@ -3,21 +3,23 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping, Sequence
+from dataclasses import dataclass
 from datetime import datetime
+from functools import reduce
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from strata import model
-from strata.functions.times import parse_utc, read_mark
+from strata.functions.times import Mark, parse_utc, read_mark
 from strata.operators import validate
 from strata.operators.bronze import Batch, to_bronze, with_fields
 from strata.operators.increment import newer_than, next_high_water
-from strata.operators.upsert import choose_write, upsert
+from strata.operators.periods import Periods, periods
+from strata.operators.upsert import upsert
 from strata.plans import quotes
-from strata.plans.quotes import Months
 from strata.session import require_session, scratch_dir
 from strata.sources import state, tables
 from strata.sources.landing import landed_payloads, landed_responses
@@ -35,21 +37,37 @@ class Lake:
         self.latest = f"{root}/gold/latest"
         self.daily = f"{root}/gold/daily_metrics"
         self.gap = f"{root}/gold/official_gap"
+        self.counts = f"{root}/metadata/row_counts"
         self.quarantine = f"{root}/quarantine/quotes"
         self.state = f"{root}/metadata/extract_state"
         self.progress = f"{root}/metadata/progress"
 
 
-def read_bronze(spark: SparkSession, lake: Lake, months: Months | None = None) -> DataFrame:
+@dataclass(frozen=True)
+class Options:
+    """What a run may choose beside its input."""
+
+    #: A file is one body; else a line is.
+    whole_payloads: bool = False
+    #: A table (value, tag) in place of the fixed market tags.
+    tags: DataFrame | None = None
+    #: Quotes with a NaN price are flagged as bad.
+    nan_is_bad: bool = False
+    #: A mark per source, so that a slow source loses no late record.
+    mark_per_source: bool = False
+
+
+def read_bronze(spark: SparkSession, lake: Lake, within: Periods | None = None) -> DataFrame:
     stored = tables.read_table(spark, lake.bronze, model.BRONZE_STORED)
-    return stored.filter(quotes.in_months(months)).select(*model.BRONZE.names)
+    return (within.select(stored) if within else stored).select(*model.BRONZE.names)
 
 
-def read_silver(spark: SparkSession, lake: Lake, months: Months | None = None) -> DataFrame:
-    return tables.read_table(spark, lake.silver, model.SILVER).filter(quotes.in_months(months))
+def read_silver(spark: SparkSession, lake: Lake, within: Periods | None = None) -> DataFrame:
+    stored = tables.read_table(spark, lake.silver, model.SILVER)
+    return (within.select(stored) if within else stored).select(*model.SILVER.names)
 
 
-def stage_records(spark: SparkSession, payloads: DataFrame, stage: str) -> DataFrame:
+def stage_records(payloads: DataFrame, stage: str) -> DataFrame:
     """Split, check and parse once; write the result and read it back.
 
     Later steps pass over the batch several times, and a written table survives
@@ -58,33 +76,32 @@ def stage_records(spark: SparkSession, payloads: DataFrame, stage: str) -> DataF
     checked = with_fields(validate.check_records(validate.split_payload(payloads)))
     path = f"{stage}/records"
     checked.write.parquet(path)
-    return spark.read.schema(checked.schema).parquet(path)
+    return payloads.sparkSession.read.schema(checked.schema).parquet(path)
 
 
-def count_sources(records: DataFrame, whole_payloads: bool = True) -> dict[str, dict[str, Any]]:
-    """Counts per source; one row per configured source reaches the driver.
-
-    Where a bad payload will stop the run, the reason of one comes along.
-    """
-    counts = {row.source: row.asDict() for row in validate.source_counts(records).collect()}
-    for source, seen in counts.items():
-        if whole_payloads and seen["bad_payloads"]:
-            bad = records.filter(F.col("bad_payload") & (F.col("source") == source))
-            seen["problem"] = bad.select("reject_reason").first()[0]
+def count_sources(records: DataFrame, known: Iterable[str]) -> dict[str | None, dict[str, Any]]:
+    """Counts per known source; all others, however many, are counted under None."""
+    source = F.when(F.col("source").isin(*known), F.col("source")).alias("source")
+    counts = {row.source: row.asDict() for row in validate.source_counts(records, source).collect()}
     logger.info("records per source: %s", counts)
     return counts
 
 
 def quarantine(
-    records: DataFrame, sources: Mapping[str, Mapping[str, Any]], lake: Lake, batch: Batch
+    records: DataFrame, sources: Mapping[Any, Mapping[str, Any]], lake: Lake, batch: Batch
 ) -> None:
-    """Keep what was rejected, and why, beside the tables."""
+    """Keep what was rejected, whole and with the reason, beside the tables.
+
+    It is written before anything else, and a batch replaces its own folder, so neither
+    a run that stops nor a replay loses or repeats a reject.
+    """
     if any(seen["discarded"] or seen["bad_payloads"] for seen in sources.values()):
         (
             validate.rejected_records(records)
             .select("source", "endpoint", "raw", "reject_reason", "missing")
             .withColumn("batch_id", F.lit(batch.batch_id))
-            .write.mode("append")
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
             .partitionBy("batch_id")
             .parquet(lake.quarantine)
         )
@@ -92,31 +109,37 @@ def quarantine(
 
 def load_bronze(
     spark: SparkSession, records: DataFrame, lake: Lake, batch: Batch, stage: str
-) -> Months | None:
-    """Write the batch; returns the months it touched, None if all were rewritten.
+) -> Periods | None:
+    """Write the batch; returns the days it touched, None if the table is all new.
 
-    A merge is staged whole before it replaces months in place: raw rows cannot be
-    derived again, and the staged copy lets the next run finish an interrupted one.
+    A full load replaces Bronze by all records given. Otherwise the newest record of
+    each key is merged into the days it falls in. The merge is staged whole before it
+    replaces those days in place: raw rows cannot be derived again, and the staged copy
+    lets the next run finish an interrupted one.
     """
-    incoming = quotes.with_months(to_bronze(records, batch))
-    months, merging = None, None
-    if choose_write(batch.mode, tables.table_exists(spark, lake.bronze)) == "merge":
-        months = quotes.months_of(incoming)
-        stored = tables.read_table(spark, lake.bronze, model.BRONZE_STORED)
-        incoming = upsert(stored.filter(quotes.in_months(months)), incoming, model.MERGE_KEYS)
-    if months is not None:
-        merging = f"{stage}/merged"
-        tables.overwrite_table(incoming, merging)
-    state.save_progress(spark, lake.progress, batch.batch_id, "loading", merging)
-    if merging:
-        _replace_months(spark, lake, merging)
-    else:
+    if batch.mode == "full" or not tables.table_exists(spark, lake.bronze):
+        if batch.mode != "full":
+            records = quotes.newest_snapshot(records)
+        state.save_progress(spark, lake.progress, batch.batch_id, "loading")
+        incoming = quotes.with_days(to_bronze(records, batch))
         tables.overwrite_table(incoming, lake.bronze, model.BRONZE_LAYOUT)
+        touched = None
+    else:
+        newest = quotes.newest_snapshot(records)
+        incoming = quotes.with_days(to_bronze(newest, batch))
+        incoming.write.parquet(f"{stage}/incoming")
+        incoming = spark.read.schema(incoming.schema).parquet(f"{stage}/incoming")
+        touched = periods(incoming, model.BRONZE_LAYOUT, f"{stage}/days")
+        stored = touched.select(tables.read_table(spark, lake.bronze, model.BRONZE_STORED))
+        merging = f"{stage}/merged"
+        tables.overwrite_table(upsert(stored, incoming, model.MERGE_KEYS), merging)
+        state.save_progress(spark, lake.progress, batch.batch_id, "loading", merging)
+        _replace_days(spark, lake, merging)
     state.save_progress(spark, lake.progress, batch.batch_id, "bronze")
-    return months
+    return touched
 
 
-def _replace_months(spark: SparkSession, lake: Lake, merging: str) -> None:
+def _replace_days(spark: SparkSession, lake: Lake, merging: str) -> None:
     merged = tables.read_table(spark, merging, model.BRONZE_STORED)
     tables.overwrite_partitions(merged, lake.bronze, model.BRONZE_LAYOUT)
 
@@ -131,114 +154,183 @@ def finish_interrupted(spark: SparkSession, lake: Lake) -> bool:
     if last is None:
         return not tables.table_exists(spark, lake.bronze)
     if last.merging:
-        _replace_months(spark, lake, last.merging)
+        _replace_days(spark, lake, last.merging)
         state.save_progress(spark, lake.progress, last.batch_id, "bronze")
     return last.stage == "marts"
 
 
-def refresh_silver(spark: SparkSession, lake: Lake, months: Months | None) -> None:
+def refresh_silver(
+    spark: SparkSession, lake: Lake, months: Periods | None, options: Options = Options()
+) -> None:
     """Rebuild Silver from Bronze, whole or for some months.
 
     The quote key holds the quote time, so no key spans two months. An empty
     venue would come back as NULL from its folder and is stored as the default.
     """
     venue = F.when(F.col("venue") == "", model.TEXT_DEFAULTS["venue"]).otherwise(F.col("venue"))
-    silver = quotes.build_silver(read_bronze(spark, lake, months)).withColumn("venue", venue)
-    if months is None or not tables.table_exists(spark, lake.silver):
-        tables.overwrite_table(silver, lake.silver, model.SILVER_LAYOUT)
+    bronze = read_bronze(spark, lake, months)
+    silver = quotes.build_silver(bronze, options.tags, options.nan_is_bad)
+    _write_months(silver.withColumn("venue", venue), lake.silver, model.SILVER_LAYOUT, months)
+
+
+def _write_months(
+    df: DataFrame, root: str, layout: Sequence[str], months: Periods | None
+) -> None:
+    """Some months in place, or the whole table anew."""
+    if months and tables.table_exists(df.sparkSession, root):
+        tables.overwrite_partitions(df, root, layout)
     else:
-        tables.overwrite_partitions(silver, lake.silver, model.SILVER_LAYOUT)
+        tables.overwrite_table(df, root, layout)
 
 
-def refresh_marts(spark: SparkSession, lake: Lake, months: Months | None) -> dict[str, int]:
-    """Rebuild the marts from stored Silver and count what was stored.
+def refresh_daily(spark: SparkSession, lake: Lake, months: Periods | None) -> None:
+    """The daily mart of the months, and the row counts of Silver and of it.
 
-    The daily mart is small, so it is rewritten whole; with ``months`` only their
-    share is recomputed. Rewriting also clears a month left without valid rows.
+    Replacing folders leaves a month alone that has no valid row any more; such months
+    are found by their counts, and their folders go one by one.
     """
-    daily = quotes.daily_metrics(quotes.valid_quotes(read_silver(spark, lake, months)))
-    if months is not None and tables.table_exists(spark, lake.daily):
-        kept = tables.read_table(spark, lake.daily, model.DAILY)
-        daily = kept.filter(~quotes.in_months(months)).unionByName(daily)
-    tables.overwrite_table(daily.select(*model.DAILY.names), lake.daily, model.DAILY_LAYOUT)
+    silver = read_silver(spark, lake, months)
+    daily = quotes.daily_metrics(quotes.valid_quotes(silver)).select(*model.DAILY.names)
+    _write_months(daily, lake.daily, model.DAILY_LAYOUT, months)
+
+    month = list(model.COUNTS_LAYOUT)
+    rows = silver.groupBy(*month).agg(
+        F.count("*").alias("silver"), F.count_if("quality_ok").alias("valid")
+    )
+    _write_months(rows, lake.counts, model.COUNTS_LAYOUT, months)
+    if months:
+        path = tables.table_path(spark, lake.daily)
+        counts = tables.read_table(spark, lake.counts, model.COUNTS)
+        for row in months.select(counts).filter("valid = 0").toLocalIterator():
+            tables.drop_path(spark, f"{path}/year={row.year}/month={row.month}")
+
 
-    stored_daily = tables.read_table(spark, lake.daily, model.DAILY)
+def refresh_marts(spark: SparkSession, lake: Lake, months: Periods | None) -> dict[str, int]:
+    """Rebuild the marts from stored Silver; returns what they hold.
+
+    Silver is counted month by month as it is rebuilt, never whole, and the small marts
+    as they are written. Of the daily mart the count needs the footers of its files.
+    """
+    refresh_daily(spark, lake, months)
+    daily = tables.read_table(spark, lake.daily, model.DAILY)
     valid = quotes.valid_quotes(read_silver(spark, lake))
-    tables.overwrite_table(quotes.latest_from_daily(valid, stored_daily), lake.latest)
+    latest_rows, gap_rows = Observation(), Observation()
+    counted = F.count(F.lit(1)).alias("n")
+    latest = quotes.latest_from_daily(valid, daily).observe(latest_rows, counted)
+    tables.overwrite_table(latest, lake.latest)
 
     latest = tables.read_table(spark, lake.latest, model.LATEST)
-    tables.overwrite_table(quotes.official_gap(latest), lake.gap)
+    tables.overwrite_table(quotes.official_gap(latest).observe(gap_rows, counted), lake.gap)
 
+    counts = tables.read_table(spark, lake.counts, model.COUNTS)
     return {
-        "silver": read_silver(spark, lake).count(),
-        "gold_latest": latest.count(),
-        "gold_daily_metrics": stored_daily.count(),
-        "gold_official_gap": tables.read_table(spark, lake.gap, model.GAP).count(),
+        "silver": counts.agg(F.coalesce(F.sum("silver"), F.lit(0))).first()[0],
+        "gold_latest": latest_rows.get["n"],
+        "gold_daily_metrics": daily.count(),
+        "gold_official_gap": gap_rows.get["n"],
     }
 
 
-def refresh_tables(spark: SparkSession, lake: Lake, months: Months | None = None) -> dict[str, int]:
+def refresh_tables(
+    spark: SparkSession, lake: Lake, days: Periods | None = None, options: Options = Options()
+) -> dict[str, int]:
     """Silver and marts from Bronze, then note that they are up to date."""
-    refresh_silver(spark, lake, months)
+    months = days.coarser(model.COUNTS_LAYOUT) if days else None
+    refresh_silver(spark, lake, months, options)
     counts = refresh_marts(spark, lake, months)
     last = state.read_progress(spark, lake.progress)
     state.save_progress(spark, lake.progress, last.batch_id if last else "", "marts")
     return counts
 
 
+def _quoted_at() -> Column:
+    return parse_utc(F.col(model.QUOTE_TIME_FIELD))
+
+
+def _state_root(lake: Lake, source: str | None) -> str:
+    return lake.state if source is None else f"{lake.state}-{source}"
+
+
+def take_new(
+    spark: SparkSession, records: DataFrame, lake: Lake, mode: str, marked: Sequence[str | None]
+) -> tuple[DataFrame, dict[str | None, Mark]]:
+    """The records after their mark, and where each mark moves to.
+
+    ``marked`` is [None] for one mark over all sources, or the sources with one each.
+    """
+    parts, reached = [], {}
+    for source in marked:
+        own = records if source is None else records.filter(F.col("source") == source)
+        mark = None
+        if mode == "incremental":
+            mark = state.load_high_water(spark, _state_root(lake, source))
+        fresh = newer_than(own, _quoted_at(), mark)
+        parts.append(fresh)
+        reached[source] = read_mark(next_high_water(fresh, _quoted_at(), mark))
+    return reduce(DataFrame.unionByName, parts), reached
+
+
 def run_pipeline(
     spark: SparkSession,
     mode: str,
     landing: Mapping[str, str] | str,
     lake_root: str,
-    whole_payloads: bool = True,
+    whole_payloads: bool = False,
     endpoints: Mapping[str, str] = model.ENDPOINTS,
     batch_id: str | None = None,
     ingested_at: datetime | None = None,
+    options: Options | None = None,
+    keep_generations: int | None = None,
 ) -> dict[str, int]:
-    """Load the landed snapshot and return row counts.
+    """Load the landed snapshots and return row counts.
 
     ``landing`` names a path of bodies per source, or one path of responses that
     carry source, status and content type. ``full`` replaces Bronze;
-    ``incremental`` merges the records newer than the stored mark. Input that
-    fails the checks stops the run before any write to the tables. An incremental
-    run without new records leaves them alone, unless an earlier run stopped
-    before the marts were done.
+    ``incremental`` merges the records newer than the stored mark, of each key the
+    newest. What is rejected goes to quarantine first; input that fails the checks
+    then stops the run before any write to the tables. An incremental run without new
+    records leaves them alone, unless an earlier run stopped before the marts were
+    done. ``keep_generations`` deletes older generations of the tables at the end.
     """
-    choose_write(mode, True)  # an unknown mode fails before any work
-    require_session(spark)
-    lake = Lake(lake_root)
     given = {"batch_id": batch_id, "ingested_at": ingested_at}
     batch = Batch(mode, **{name: value for name, value in given.items() if value is not None})
+    options = options or Options(whole_payloads)
+    require_session(spark)
+    lake = Lake(lake_root)
     stage = scratch_dir(spark, "stage")
 
     if isinstance(landing, str):
-        required, whole_payloads = endpoints, True
-        payloads = validate.check_envelope(landed_responses(spark, landing)).select(
-            "source", "endpoint", "body", "reject_reason"
+        known, strict = list(endpoints), True
+        payloads = validate.check_envelope(landed_responses(spark, landing)).drop(
+            "status", "content_type", "warning"
         )
     else:
-        required = landing
-        payloads = landed_payloads(spark, landing, whole_payloads, endpoints)
-    records = stage_records(spark, payloads, stage)
-    sources = count_sources(records, whole_payloads)
-    validate.expect_valid_per_source(sources, required, whole_payloads)
+        known, strict = list(landing), options.whole_payloads
+        payloads = landed_payloads(spark, landing, options.whole_payloads, endpoints)
+    records = stage_records(payloads, stage)
+    sources = count_sources(records, known)
+    quarantine(records, sources, lake, batch)
+    validate.expect_valid_per_source(sources, known, strict)
 
     up_to_date = finish_interrupted(spark, lake) if mode == "incremental" else True
-    quoted_at = parse_utc(F.col(model.QUOTE_TIME_FIELD))
-    mark = state.load_high_water(spark, lake.state) if mode == "incremental" else None
-    fresh = newer_than(validate.valid_records(records), quoted_at, mark)
-    reached = read_mark(next_high_water(fresh, quoted_at, mark))
-
-    months = None
-    if reached.records:
-        months = load_bronze(spark, fresh, lake, batch, stage)
-        quarantine(records, sources, lake, batch)
-    state.save_state(
-        spark, lake.state, reached.high_water, mode, reached.records, batch.ingested_at
-    )
-    counts = {"extracted": reached.records, "bronze_written": reached.records}
-    if reached.records or not up_to_date:
-        counts |= refresh_tables(spark, lake, months if up_to_date else None)
+    marked = known if options.mark_per_source else [None]
+    fresh, reached = take_new(spark, validate.valid_records(records), lake, mode, marked)
+    new = sum(mark.records for mark in reached.values())
+    days = load_bronze(spark, fresh, lake, batch, stage) if new else None
+    for source, mark in reached.items():
+        state.save_state(
+            spark,
+            _state_root(lake, source),
+            mark.high_water,
+            mode,
+            mark.records,
+            batch.ingested_at,
+        )
+    counts = {"extracted": new, "bronze_written": new}
+    if new or not up_to_date:
+        counts |= refresh_tables(spark, lake, days if up_to_date else None, options)
     tables.drop_path(spark, stage)
+    if keep_generations:
+        for root in vars(lake).values():
+            tables.drop_old_generations(spark, root, keep_generations)
     return counts

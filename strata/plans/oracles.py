@@ -134,10 +134,10 @@ lines AS (
 
 PAYLOADS = """
 rendered AS (
-  SELECT event_id, event_id % 8 AS shape,
+  SELECT event_id, event_id % 12 AS shape,
     CASE WHEN event_id % 3 = 0 THEN 'dolares' ELSE 'cotizaciones' END AS source,
     event_type AS casa, concat('n', user_id) AS nombre,
-    CASE WHEN event_id % 8 = 7 THEN NULL ELSE CAST(CAST(floor(value) AS BIGINT) AS VARCHAR) END
+    CASE WHEN event_id % 12 = 7 THEN NULL ELSE CAST(CAST(floor(value) AS BIGINT) AS VARCHAR) END
       AS compra,
     CAST(event_id AS VARCHAR) AS venta,
     concat(strftime(ts, '%Y-%m-%d'), 'T00:00:00.000Z') AS seen
@@ -148,7 +148,7 @@ good AS (
     concat('{"moneda":"USD","casa":"', casa, '","nombre":"', nombre, '","compra":',
       coalesce(compra, 'null'), ',"venta":', venta, ',"fechaActualizacion":"', seen, '"}') AS raw,
     'USD' AS moneda, casa, nombre, compra, venta, seen AS "fechaActualizacion"
-  FROM rendered WHERE shape IN (0, 1, 2, 3, 7)
+  FROM rendered WHERE shape IN (0, 1, 2, 3, 7, 8)
 ),
 bad AS (
   SELECT event_id, source, raw, reject_reason, missing
@@ -159,10 +159,55 @@ bad AS (
         'nombre,compra,venta,fechaActualizacion'),
     (4, NULL, 'empty_payload', NULL),
     (5, 'null', 'null_payload', NULL),
-    (6, 'oops{', 'not_json', NULL)
+    (6, 'oops{', 'not_json', NULL),
+    (9, NULL, 'empty_payload', NULL),
+    (10, 'null' || chr(10), 'null_payload', NULL),
+    (11, '1,"after":2} junk', 'not_json', NULL)
   ) AS odd(shape, raw, reject_reason, missing) USING (shape)
 )"""
 
+RESPONSES = """
+responses AS (
+  SELECT event_id, CASE WHEN event_id % 3 = 0 THEN 'dolares' ELSE 'cotizaciones' END AS source,
+    CASE WHEN event_id % 11 = 0 THEN 503 ELSE 200 END AS status,
+    CASE WHEN event_id % 7 = 0 THEN 'text/html' WHEN event_id % 7 = 1 THEN ''
+      ELSE 'application/json; charset=utf-8' END AS content_type,
+    CASE WHEN event_id % 5 = 0 THEN substr(props, 2)
+      WHEN event_id % 13 = 0 THEN chr(10) || chr(9) || props
+      WHEN event_id % 13 = 1 THEN '1,"after":2} junk'
+      WHEN event_id % 13 = 2 THEN props || chr(13) || chr(10)
+      WHEN event_id % 13 = 3 THEN '1],[2' ELSE props END AS body
+  FROM events
+),
+judged AS (
+  SELECT *,
+    CASE WHEN status <> 200 THEN concat('HTTP ', status, ': ', left(body, 200))
+      WHEN NOT json_valid(body) THEN 'not_json' END AS reject_reason,
+    CASE WHEN status = 200 AND json_valid(body) AND content_type = 'text/html'
+      THEN 'content type text/html' END AS warning
+  FROM responses
+)"""
+
+# The load in full, and an increment on top of one.
+FULL = f"""{LANDED},
+bronze AS (
+  SELECT * REPLACE ('2024-02-01T00:00:00+00:00' AS fecha_ingesta, 'r0' AS batch_id) FROM lines
+),
+{_cleaned('bronze')}, {_latest('silver')}"""
+INCREMENT = f"""{LANDED},
+first_load AS (
+  SELECT * REPLACE ('2024-02-01T00:00:00+00:00' AS fecha_ingesta, 'r0' AS batch_id)
+  FROM lines WHERE seen < '2024-01-21'
+),
+second_load AS (
+  SELECT * REPLACE ('2024-02-02T00:00:00+00:00' AS fecha_ingesta, 'r1' AS batch_id,
+    'incremental' AS modo_extraccion)
+  FROM lines
+  WHERE seen >= '2024-01-11' AND {QUOTED_AT} > (SELECT max({QUOTED_AT}) FROM first_load)
+),
+bronze AS (SELECT * FROM first_load UNION ALL SELECT * FROM second_load),
+{_cleaned('bronze')}, {_latest('silver')}"""
+
 ORACLES: dict[str, str] = {
     "bronze_projection": f"""WITH {QUOTES}
 SELECT {TEXTS}, CAST(json_object({_PAIRS}) AS VARCHAR) AS raw_json,
@@ -218,6 +263,18 @@ GROUP BY ALL HAVING count(*) > 1""",
 SELECT event_id, CASE WHEN day(ts) = 7 THEN value * 2 ELSE value END AS value,
   CAST(day(ts) AS INTEGER) AS day
 FROM events""",
+    "many_months_rebuild": """
+WITH rows AS (
+  SELECT event_id, event_type, value, CAST(2024 - (event_id % 720) // 12 AS INTEGER) AS year,
+    CAST(12 - (event_id % 720) % 12 AS INTEGER) AS month
+  FROM events
+)
+SELECT event_id, event_type, year, month,
+  CASE WHEN bool_or(event_type = 'purchase') OVER (PARTITION BY year, month)
+    THEN value * 2 ELSE value END AS value
+FROM rows""",
+    "partition_files": f"""{CLEAN}
+SELECT year, month, venue, 1::BIGINT AS files, count(*) AS n FROM silver GROUP BY ALL""",
     "split_and_validate": f"""WITH {PAYLOADS},
 outcomes AS (
   SELECT source, NULL AS reject_reason FROM good UNION ALL SELECT source, reject_reason FROM bad
@@ -232,37 +289,49 @@ FROM outcomes GROUP BY 1""",
     "valid_records": f"WITH {PAYLOADS} SELECT event_id, source, raw, {TEXTS} FROM good",
     "rejected_records": f"""WITH {PAYLOADS}
 SELECT event_id, source, raw, reject_reason, missing FROM bad""",
-    "response_envelopes": """
-WITH responses AS (
-  SELECT event_id, CASE WHEN event_id % 11 = 0 THEN 503 ELSE 200 END AS status,
-    CASE WHEN event_id % 7 = 0 THEN 'text/html' WHEN event_id % 7 = 1 THEN ''
-      ELSE 'application/json; charset=utf-8' END AS content_type,
-    CASE WHEN event_id % 5 = 0 THEN substr(props, 2) ELSE props END AS body
-  FROM events
-)
-SELECT event_id,
-  CASE WHEN status <> 200 THEN concat('HTTP ', status, ': ', left(body, 200))
-    WHEN NOT json_valid(body) THEN 'not_json' END AS reject_reason,
-  CASE WHEN status = 200 AND json_valid(body) AND content_type = 'text/html'
-    THEN 'content type text/html' END AS warning
-FROM responses""",
-    "full_refresh": f"""WITH {LANDED},
-bronze AS (
-  SELECT * REPLACE ('2024-02-01T00:00:00+00:00' AS fecha_ingesta, 'r0' AS batch_id) FROM lines
-),
-{_cleaned('bronze')}, {_latest('silver')} {GAP}""",
-    "incremental_refresh": f"""WITH {LANDED},
-first_load AS (
-  SELECT * REPLACE ('2024-02-01T00:00:00+00:00' AS fecha_ingesta, 'r0' AS batch_id)
-  FROM lines WHERE seen < '2024-01-21'
+    "response_envelopes": f"""WITH {RESPONSES}
+SELECT event_id, reject_reason, warning FROM judged""",
+    "responses_from_files": f"""WITH {RESPONSES}
+SELECT source, CAST(status AS INTEGER) AS status, content_type, body, reject_reason, warning
+FROM judged""",
+    "landed_bodies": f"WITH {QUOTES} SELECT origen_datos AS source, {TEXTS} FROM quotes",
+    "full_refresh": f"WITH {FULL} {GAP}",
+    "run_counts": f"""WITH {FULL}
+SELECT 'extracted' AS name, count(*) AS rows FROM lines
+UNION ALL SELECT 'bronze_written', count(*) FROM lines
+UNION ALL SELECT 'silver', count(*) FROM silver
+UNION ALL SELECT 'gold_latest', count(*) FROM latest
+UNION ALL SELECT 'gold_daily_metrics', count(*) FROM ({DAILY})
+UNION ALL SELECT 'gold_official_gap', count(*) FROM ({GAP})""",
+    "empty_increment": f"""WITH {QUOTES}
+SELECT concat(replace(CAST(max({QUOTED_AT}) AS VARCHAR), ' ', 'T'), '+00:00') AS watermark,
+  'fechaActualizacion' AS watermark_field, '2024-02-02T00:00:00+00:00' AS last_run_at,
+  'incremental' AS last_mode, 0::BIGINT AS last_records
+FROM quotes""",
+    "quarantined_records": f"""WITH {PAYLOADS}
+SELECT source, replace(raw, chr(10), ' ') AS raw, reject_reason, missing, batch_id
+FROM bad, (VALUES ('r0'), ('r1')) AS runs(batch_id)""",
+    "incremental_refresh": f"WITH {INCREMENT} {DAILY}",
+    "incremental_silver": f"WITH {INCREMENT} SELECT * FROM silver",
+    "incremental_latest": f"WITH {INCREMENT} SELECT * FROM latest",
+    "incremental_gap": f"WITH {INCREMENT} {GAP}",
+    "stream_repeated_snapshots": f"""WITH {QUOTES},
+polls AS (
+  SELECT * FROM (VALUES (0, '2024-01-01', '2024-01-15'), (1, '2024-01-08', '2024-01-22'),
+    (2, '2024-01-16', '2025')) AS p(poll, since, until)
 ),
-second_load AS (
-  SELECT * REPLACE ('2024-02-02T00:00:00+00:00' AS fecha_ingesta, 'r1' AS batch_id)
-  FROM lines
-  WHERE seen >= '2024-01-11' AND {QUOTED_AT} > (SELECT max({QUOTED_AT}) FROM first_load)
+snapshots AS (
+  SELECT quotes.*, poll FROM quotes JOIN polls ON fecha_ingesta >= since AND fecha_ingesta < until
+  QUALIFY row_number() OVER (PARTITION BY poll, {KEYS}
+    ORDER BY fecha_ingesta DESC, raw_json DESC) = 1
 ),
-bronze AS (SELECT * FROM first_load UNION ALL SELECT * FROM second_load),
-{_cleaned('bronze')} {DAILY}""",
+kept AS (
+  SELECT * FROM snapshots
+  QUALIFY row_number() OVER (PARTITION BY {KEYS} ORDER BY poll DESC) = 1
+)
+SELECT {TEXTS}, CAST(json_object({_PAIRS}) AS VARCHAR) AS raw_json, origen_datos, endpoint,
+  'incremental' AS modo_extraccion
+FROM kept""",
     "stream_available_now": f"""WITH {BATCHES}, {MERGED}
 SELECT {TEXTS}, CAST(json_object({_PAIRS}) AS VARCHAR) AS raw_json, origen_datos, endpoint,
   'incremental' AS modo_extraccion
@@ -277,7 +346,14 @@ SELECT coalesce(t.o_orderkey, s.o_orderkey) AS o_orderkey,
   coalesce(lower(s.o_orderstatus), t.o_orderstatus) AS o_orderstatus, t.o_totalprice,
   s.o_orderpriority
 FROM (SELECT * FROM orders WHERE o_orderkey % 3 <> 0) t
-FULL JOIN (SELECT * FROM orders WHERE o_orderkey % 2 = 0) s ON t.o_orderkey = s.o_orderkey""",
+FULL JOIN (SELECT * FROM orders WHERE o_orderkey % 3 = 0 OR o_orderkey % 2 = 0) s ON t.o_orderkey = s.o_orderkey""",
+    "merge_duplicate_keys": """
+SELECT n.event_id, t.user_id, t.event_type, n.value + 1000 AS value
+FROM events t JOIN (
+  SELECT * FROM events
+  QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id DESC) = 1) n
+  ON t.user_id = n.user_id AND t.event_type = n.event_type
+UNION ALL SELECT event_id, user_id, event_type || ' late', value FROM events""",
     "monthly_lineitem_metrics": """
 SELECT *, max_cents - min_cents AS range_cents FROM (
   SELECT CAST(year(l_shipdate) AS INTEGER) AS year, CAST(month(l_shipdate) AS INTEGER) AS month,

@@ -14,11 +14,13 @@ from strata.operators import clean, marts, validate
 from strata.operators.bronze import Batch, to_bronze, with_fields
 from strata.operators.increment import newer_than, next_high_water
 from strata.operators.rank import latest_per_key
-from strata.operators.upsert import ambiguous_matches, choose_write, upsert
+from strata.operators.periods import periods
+from strata.operators.upsert import ambiguous_matches, upsert
 from strata.plans import medallion, quotes
 from strata.session import require_session, scratch_dir
 from strata.sources import state, tables
 from strata.sources.event_quotes import event_quotes, read_events
+from strata.sources.landing import landed_payloads, landed_responses
 from strata.streaming.intake import stream_pipeline
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -193,7 +195,7 @@ def overwrite_then_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_dir(spark, "bronze")
     loads = zip(("full", "incremental"), _overlapping_batches(spark, sf_dir))
     for mode, batch in loads:
-        if choose_write(mode, tables.table_exists(spark, root)) == "merge":
+        if mode == "incremental" and tables.table_exists(spark, root):
             stored = tables.read_table(spark, root, model.BRONZE)
             batch = upsert(stored, batch, model.MERGE_KEYS)
         tables.overwrite_table(batch, root)
@@ -219,11 +221,43 @@ def partition_rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.read_table(spark, root, rows.schema)
 
 
+def many_months_rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events over 720 months; those with a purchase are recomputed and replaced in place."""
+    root, layout = scratch_dir(spark, "months"), ["year", "month"]
+    events = _table(spark, sf_dir, "events")
+    age = F.col("event_id") % 720
+    rows = events.select(
+        "event_id",
+        "event_type",
+        "value",
+        (2024 - F.floor(age / 12)).cast("int").alias("year"),
+        (12 - age % 12).cast("int").alias("month"),
+    )
+    tables.overwrite_table(rows, root, layout)
+    stored = tables.read_table(spark, root, rows.schema)
+    path = scratch_dir(spark, "touched")
+    touched = periods(stored.filter("event_type = 'purchase'"), layout, path)
+    changed = _stored(touched.select(stored).withColumn("value", F.col("value") * 2))
+    tables.overwrite_partitions(changed.select(*rows.columns), root, layout)
+    return tables.read_table(spark, root, rows.schema)
+
+
+def partition_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many files each folder of a partitioned table got."""
+    root = scratch_dir(spark, "files")
+    built = quotes.build_silver(_quotes(spark, sf_dir))
+    tables.overwrite_table(built, root, model.SILVER_LAYOUT)
+    stored = spark.read.parquet(tables.table_path(spark, root))
+    return stored.groupBy(*model.SILVER_LAYOUT).agg(
+        F.count_distinct(F.col("_metadata.file_path")).alias("files"), F.count("*").alias("n")
+    )
+
+
 # --- Landed payloads ----------------------------------------------------------
 
 
 def _payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One payload per event, of eight shapes by turns, five of them odd."""
+    """One payload per event, of twelve shapes by turns, nine of them odd."""
     rows = _table(spark, sf_dir, "events")
     time_text = F.concat(F.date_format("ts", "yyyy-MM-dd"), F.lit("T00:00:00.000Z"))
     bid = F.floor("value").cast("string")
@@ -237,7 +271,7 @@ def _payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.lit(',"fechaActualizacion":"'), time_text, F.lit('"}'),
         )
 
-    shape = F.col("event_id") % 8
+    shape = F.col("event_id") % 12
     body = (
         F.when(shape == 0, record(bid))
         .when(shape == 1, F.concat(F.lit("["), record(bid), F.lit("]")))
@@ -246,6 +280,10 @@ def _payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(shape == 4, "[]")
         .when(shape == 5, "null")
         .when(shape == 6, "oops{")
+        .when(shape == 8, F.concat(F.lit("\n["), record(bid), F.lit("\t]")))
+        .when(shape == 9, "\t[] ")
+        .when(shape == 10, "null\n")
+        .when(shape == 11, '1,"after":2} junk')
         .otherwise(record(F.lit("null")))
     )
     return rows.select(
@@ -261,7 +299,7 @@ def _checked(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def split_and_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return validate.source_counts(_checked(spark, sf_dir))
+    return validate.source_counts(_checked(spark, sf_dir)).drop("problem")
 
 
 def valid_records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -275,20 +313,70 @@ def rejected_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def response_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Responses made of events: some failed, some mislabelled, some cut off."""
+def _responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Made of events: some failed, some mislabelled, some cut off, some forged."""
     rows = _table(spark, sf_dir, "events")
     event = F.col("event_id")
-    responses = rows.select(
+    body = (
+        F.when(event % 5 == 0, F.expr("substr(props, 2)"))
+        .when(event % 13 == 0, F.concat(F.lit("\n\t"), "props"))
+        .when(event % 13 == 1, '1,"after":2} junk')
+        .when(event % 13 == 2, F.concat("props", F.lit("\r\n")))
+        .when(event % 13 == 3, "1],[2")
+        .otherwise(F.col("props"))
+    )
+    return rows.select(
         "event_id",
+        F.when(event % 3 == 0, "dolares").otherwise("cotizaciones").alias("source"),
+        F.lit("/v1").alias("endpoint"),
         F.when(event % 11 == 0, 503).otherwise(200).alias("status"),
         F.when(event % 7 == 0, "text/html")
         .when(event % 7 == 1, "")
         .otherwise("application/json; charset=utf-8")
         .alias("content_type"),
-        F.when(event % 5 == 0, F.expr("substr(props, 2)")).otherwise(F.col("props")).alias("body"),
+        body.alias("body"),
+    )
+
+
+def response_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    checked = validate.check_envelope(_responses(spark, sf_dir))
+    return checked.select("event_id", "reject_reason", "warning")
+
+
+def responses_from_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same responses, landed as JSON lines and read back."""
+    folder = scratch_dir(spark, "responses")
+    _responses(spark, sf_dir).drop("event_id").write.json(folder)
+    checked = validate.check_envelope(landed_responses(spark, folder))
+    return checked.select("source", "status", "content_type", "body", "reject_reason", "warning")
+
+
+def landed_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole bodies, a file each: arrays of some hundred quotes, with white space around."""
+    folder = scratch_dir(spark, "bodies")
+    rows = _table(spark, sf_dir, "events")
+    record = F.struct(*model.REQUIRED_FIELDS)
+    numbered = event_quotes(rows.withColumn("props", F.col("event_id").cast("string")))
+    bodies = (
+        numbered.withColumn("number", F.col("raw_json").cast("long"))
+        .groupBy("origen_datos", F.floor(F.col("number") / 500).alias("file"))
+        .agg(F.collect_list(record).alias("quotes"))
+        .select(
+            "origen_datos",
+            "file",
+            F.concat(
+                F.lit("\n\t"), F.to_json("quotes", {"ignoreNullFields": "false"}), F.lit("\r\n")
+            ).alias("value"),
+        )
     )
-    return validate.check_envelope(responses).select("event_id", "reject_reason", "warning")
+    landing = {}
+    for source in model.ENDPOINTS:
+        landing[source] = f"{folder}/{source}"
+        own = bodies.filter(F.col("origen_datos") == source)
+        own.select("file", "value").write.partitionBy("file").text(landing[source])
+    split = validate.split_payload(landed_payloads(spark, landing, whole_payloads=True))
+    valid = with_fields(validate.valid_records(validate.check_records(split)))
+    return valid.select("source", *model.REQUIRED_FIELDS)
 
 
 # --- The whole load over landed files -----------------------------------------
@@ -308,16 +396,17 @@ def _landed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quotes as JSON lines; ``props`` in the record tells equal quotes apart."""
     rows = _quotes(spark, sf_dir)
     line = _record_text(F.col("raw_json").alias("props"), F.col("fecha_ingesta").alias("seen"))
-    return rows.select("origen_datos", "fecha_ingesta", line.alias("line"))
+    return rows.select(*model.MERGE_KEYS, "fecha_ingesta", line.alias("line"))
 
 
-def _run(spark: SparkSession, batch: Batch, landing: dict[str, str], lake: str) -> None:
-    medallion.run_pipeline(
+def _run(
+    spark: SparkSession, batch: Batch, landing: dict[str, str], lake: str
+) -> dict[str, int]:
+    return medallion.run_pipeline(
         spark,
         batch.mode,
         landing,
         lake,
-        whole_payloads=False,
         batch_id=batch.batch_id,
         ingested_at=batch.ingested_at,
     )
@@ -331,15 +420,66 @@ def full_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain_times(tables.read_table(spark, lake.gap, model.GAP))
 
 
-def incremental_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A full load, then an overlapping increment; read the stored daily mart."""
+def run_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a full run reports."""
+    folder = scratch_dir(spark, "counts")
+    landing = _land(_landed_lines(spark, sf_dir), f"{folder}/landing")
+    counts = _run(spark, FIRST_LOAD, landing, folder)
+    return spark.createDataFrame(list(counts.items()), "name string, rows long")
+
+
+def empty_increment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same landing twice: the second run finds nothing new and keeps the mark."""
+    folder = scratch_dir(spark, "empty")
+    landing = _land(_landed_lines(spark, sf_dir), f"{folder}/landing")
+    _run(spark, FIRST_LOAD, landing, folder)
+    _run(spark, SECOND_LOAD, landing, folder)
+    return tables.read_table(spark, medallion.Lake(folder).state, model.STATE, fmt="json")
+
+
+def _after_increment(spark: SparkSession, sf_dir: str) -> medallion.Lake:
+    """A full load, then an overlapping increment of one line per key."""
     folder = scratch_dir(spark, "incremental")
     lines = _landed_lines(spark, sf_dir)
     first = lines.filter(F.col("fecha_ingesta") < FIRST_UNTIL)
     second = lines.filter(F.col("fecha_ingesta") >= SECOND_FROM)
+    second = latest_per_key(second, model.MERGE_KEYS, [F.col("line").desc()])
     _run(spark, FIRST_LOAD, _land(first, f"{folder}/landing0"), folder)
     _run(spark, SECOND_LOAD, _land(second, f"{folder}/landing1"), folder)
-    return tables.read_table(spark, medallion.Lake(folder).daily, model.DAILY)
+    return medallion.Lake(folder)
+
+
+def incremental_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The daily mart after an increment."""
+    return tables.read_table(spark, _after_increment(spark, sf_dir).daily, model.DAILY)
+
+
+def incremental_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _plain_times(medallion.read_silver(spark, _after_increment(spark, sf_dir)))
+
+
+def incremental_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    latest = _after_increment(spark, sf_dir).latest
+    return _plain_times(tables.read_table(spark, latest, model.LATEST))
+
+
+def incremental_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    gap = _after_increment(spark, sf_dir).gap
+    return _plain_times(tables.read_table(spark, gap, model.GAP))
+
+
+def quarantined_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quarantine after a full run, an increment with nothing new, and its replay."""
+    folder = scratch_dir(spark, "quarantine")
+    one_line = F.translate("body", "\n", " ")
+    lines = _payloads(spark, sf_dir).select(
+        F.col("source").alias("origen_datos"), one_line.alias("line")
+    )
+    landing = _land(lines, f"{folder}/landing")
+    for batch in (FIRST_LOAD, SECOND_LOAD, SECOND_LOAD):
+        _run(spark, batch, landing, folder)
+    stored = spark.read.parquet(medallion.Lake(folder).quarantine)
+    return stored.select("source", "raw", "reject_reason", "missing", "batch_id")
 
 
 def stream_available_now(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -348,7 +488,30 @@ def stream_available_now(spark: SparkSession, sf_dir: str) -> DataFrame:
     line = F.to_json(F.struct(*model.REQUIRED_FIELDS), {"ignoreNullFields": "false"})
     for batch in _overlapping_batches(spark, sf_dir):
         landing = _land(batch.withColumn("line", line), f"{folder}/landing")
-        stream_pipeline(spark, landing, folder, f"{folder}/checkpoint", whole_payloads=False)
+        stream_pipeline(spark, landing, folder, f"{folder}/checkpoint")
+    bronze = medallion.read_bronze(spark, medallion.Lake(folder))
+    return bronze.drop("fecha_ingesta", "batch_id")
+
+
+#: Three polls whose quotes overlap: ingested from, and before.
+POLLS = (("2024-01-01", "2024-01-15"), ("2024-01-08", "2024-01-22"), ("2024-01-16", "2025"))
+
+
+def stream_repeated_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run after the first poll, and one after two more and an empty body."""
+    folder = scratch_dir(spark, "polls")
+    rows = _quotes(spark, sf_dir)
+    newest = [F.col("fecha_ingesta").desc(), F.col("raw_json").desc()]
+    line = F.to_json(F.struct(*model.REQUIRED_FIELDS), {"ignoreNullFields": "false"})
+    for number, (start, end) in enumerate(POLLS):
+        seen = rows.filter((F.col("fecha_ingesta") >= start) & (F.col("fecha_ingesta") < end))
+        snapshot = latest_per_key(seen, model.MERGE_KEYS, newest).withColumn("line", line)
+        landing = _land(snapshot, f"{folder}/landing")
+        if number == 1:
+            empty = spark.range(1).select(F.lit("[]").alias("line"))
+            empty.write.mode("append").text(landing["dolares"])
+        else:
+            stream_pipeline(spark, landing, folder, f"{folder}/checkpoint")
     bronze = medallion.read_bronze(spark, medallion.Lake(folder))
     return bronze.drop("fecha_ingesta", "batch_id")
 
@@ -369,7 +532,7 @@ def order_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = orders.filter("o_orderkey % 3 <> 0").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice"
     )
-    source = orders.filter("o_orderkey % 2 = 0").select(
+    source = orders.filter("o_orderkey % 3 = 0 OR o_orderkey % 2 = 0").select(
         "o_orderkey",
         "o_custkey",
         F.lower("o_orderstatus").alias("o_orderstatus"),
@@ -378,6 +541,15 @@ def order_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return upsert(target, source, ["o_orderkey"])
 
 
+def merge_duplicate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A target with many rows per key; a source with one for each, and unmatched repeats."""
+    events = _table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value")
+    newest = latest_per_key(events, ["user_id", "event_type"], [F.col("event_id").desc()])
+    late = events.withColumn("event_type", F.concat("event_type", F.lit(" late")))
+    source = newest.withColumn("value", F.col("value") + 1000).unionByName(late)
+    return upsert(events, source, ["user_id", "event_type"])
+
+
 def monthly_lineitem_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     cents = F.round(F.col("l_extendedprice") * 100).cast("long")
     rows = _table(spark, sf_dir, "lineitem").select(
@@ -438,15 +610,27 @@ QUERIES: dict[str, Query] = {
     "overwrite_then_merge": overwrite_then_merge,
     "partitioned_round_trip": partitioned_round_trip,
     "partition_rebuild": partition_rebuild,
+    "many_months_rebuild": many_months_rebuild,
+    "partition_files": partition_files,
     "split_and_validate": split_and_validate,
     "valid_records": valid_records,
     "rejected_records": rejected_records,
     "response_envelopes": response_envelopes,
+    "responses_from_files": responses_from_files,
+    "landed_bodies": landed_bodies,
     "full_refresh": full_refresh,
+    "run_counts": run_counts,
+    "empty_increment": empty_increment,
+    "quarantined_records": quarantined_records,
     "incremental_refresh": incremental_refresh,
+    "incremental_silver": incremental_silver,
+    "incremental_latest": incremental_latest,
+    "incremental_gap": incremental_gap,
     "stream_available_now": stream_available_now,
+    "stream_repeated_snapshots": stream_repeated_snapshots,
     "latest_order_per_customer": latest_order_per_customer,
     "order_upsert": order_upsert,
+    "merge_duplicate_keys": merge_duplicate_keys,
     "monthly_lineitem_metrics": monthly_lineitem_metrics,
     "supplier_gap": supplier_gap,
 }

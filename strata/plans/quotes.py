@@ -6,34 +6,60 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata import model
+from strata.functions.lookup import tags_joined
 from strata.functions.times import parse_utc
 from strata.operators import clean, marts
 from strata.operators.rank import latest_per_key
 
-Months = list[tuple[int, int]]
-MOST_MONTHS = 600
+#: Where records without a readable time are stored: under the sentinel month, dealt
+#: over its days by their merge key, so that a batch rewrites a share of them.
+TIMELESS_DAYS = 28
 
 
-def with_months(bronze: DataFrame) -> DataFrame:
-    """Add the stored layout of Bronze: year and month of the quote time."""
-    quoted_at = F.coalesce(parse_utc(F.col(model.QUOTE_TIME_FIELD)), F.lit(model.NO_QUOTE_TIME))
-    return bronze.withColumns({"year": F.year(quoted_at), "month": F.month(quoted_at)})
+def with_days(bronze: DataFrame) -> DataFrame:
+    """Add the stored layout of Bronze: year, month and day of the quote time."""
+    quoted_at = parse_utc(F.col(model.QUOTE_TIME_FIELD))
+    filled = F.coalesce(quoted_at, F.lit(model.NO_QUOTE_TIME))
+    share = F.pmod(F.xxhash64(*model.MERGE_KEYS), F.lit(TIMELESS_DAYS)).cast("int") + 1
+    return bronze.withColumns(
+        {
+            "year": F.year(filled),
+            "month": F.month(filled),
+            "day": F.when(quoted_at.isNull(), share).otherwise(F.dayofmonth(filled)),
+        }
+    )
 
 
-def flagged_quotes(bronze: DataFrame) -> DataFrame:
-    """Typed, filled, measured, keyed and flagged; not yet deduplicated."""
-    return (
-        clean.typed_quotes(bronze)
-        .transform(clean.fill_defaults)
-        .transform(clean.with_measures)
-        .transform(
-            clean.with_natural_key, "quote_key", ["source", "venue", "currency", "quoted_at"]
-        )
-        .transform(clean.quality_flag, clean.quote_rules())
-    )
+def newest_snapshot(records: DataFrame) -> DataFrame:
+    """One record per merge key: of the file landed last, then by path and raw text.
+
+    A landing folder holds many snapshots, and each repeats quotes that did not change.
+    """
+    newest = [F.col(name).desc_nulls_last() for name in ("landed_at", "landed_as", "raw")]
+    keyed = records.withColumn("origen_datos", F.col("source"))
+    return latest_per_key(keyed, model.MERGE_KEYS, newest).drop("origen_datos")
+
 
+def flagged_quotes(
+    bronze: DataFrame, tags: DataFrame | None = None, nan_is_bad: bool = False
+) -> DataFrame:
+    """Typed, filled, measured, keyed and flagged; not yet deduplicated.
 
-def build_silver(bronze: DataFrame) -> DataFrame:
+    ``tags`` is a table (value, tag) to take the place of the fixed market tags.
+    ``nan_is_bad`` adds the rules on NaN prices, which otherwise spoil averages.
+    """
+    rules = clean.quote_rules() | (clean.nan_rules() if nan_is_bad else {})
+    measured = clean.typed_quotes(bronze).transform(clean.fill_defaults).transform(clean.with_measures)
+    if tags is not None:
+        measured = tags_joined(measured, "venue", tags, model.OTHER_TAG, "market_tags")
+    return measured.transform(
+        clean.with_natural_key, "quote_key", ["source", "venue", "currency", "quoted_at"]
+    ).transform(clean.quality_flag, rules)
+
+
+def build_silver(
+    bronze: DataFrame, tags: DataFrame | None = None, nan_is_bad: bool = False
+) -> DataFrame:
     """One row per quote key, the newest ingested, valid or not.
 
     The key ends in the quote time, so ranking within both is the same; it lets
@@ -44,7 +70,9 @@ def build_silver(bronze: DataFrame) -> DataFrame:
         F.col("batch_id").desc_nulls_last(),
         F.col("raw_json").desc_nulls_last(),
     ]
-    silver = latest_per_key(flagged_quotes(bronze), ["quoted_at", "quote_key"], newest)
+    silver = latest_per_key(
+        flagged_quotes(bronze, tags, nan_is_bad), ["quoted_at", "quote_key"], newest
+    )
     return silver.select(*model.SILVER.names)
 
 
@@ -89,9 +117,8 @@ def latest_from_daily(valid: DataFrame, daily: DataFrame) -> DataFrame:
         ["venue", "currency"],
         [F.col(part).desc() for part in ("year", "month", "day")],
     ).select("year", "month", "day", "venue", "currency")
-    candidates = valid.filter(in_months(months_of(last_day))).join(
-        last_day, last_day.columns, "left_semi"
-    )
+    # The filter on the small side lets Spark prune the scan by what it broadcasts.
+    candidates = valid.join(last_day.filter("year > 0"), last_day.columns, "left_semi")
     return latest_quotes(candidates.select(*valid.columns))
 
 
@@ -122,26 +149,3 @@ def official_gap(latest: DataFrame) -> DataFrame:
         reference_name="official_ask",
         gap_name="official_gap_pct",
     ).select(*model.GAP.names)
-
-
-def months_of(df: DataFrame) -> Months | None:
-    """The distinct (year, month) pairs; None, for all, if they are too many to list.
-
-    The calendar bounds them, but stray dates over thousands of years would make
-    a filter larger than it is worth.
-    """
-    found = df.select("year", "month").distinct().limit(MOST_MONTHS + 1).collect()
-    return sorted((row.year, row.month) for row in found) if len(found) <= MOST_MONTHS else None
-
-
-def in_months(months: Months | None) -> Column:
-    """A filter on the partition columns alone, so it prunes folders."""
-    if months is None:
-        return F.lit(True)
-    by_year: dict[int, list[int]] = {}
-    for year, month in months:
-        by_year.setdefault(year, []).append(month)
-    found = F.lit(False)
-    for year, listed in by_year.items():
-        found = found | ((F.col("year") == year) & F.col("month").isin(listed))
-    return found

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -26,12 +28,15 @@ def require_session(spark: SparkSession) -> SparkSession:
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder name in the shared folder the cluster names for checkpoints.
 
-    Only a local session may go without that setting; executors of a cluster
-    could not see the driver's temporary folder.
+    Only a local session may go without that setting, or name a ``file:`` folder;
+    executors of a cluster could not see it. A temporary folder made for a local
+    session goes when the driver ends.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
+    local = spark.conf.get("spark.master", "local").startswith("local")
+    if not local and (not root or root.startswith("file:")):
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     if not root:
-        if not spark.conf.get("spark.master", "local").startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         root = tempfile.mkdtemp(prefix="strata-")
+        atexit.register(shutil.rmtree, root, ignore_errors=True)
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"

@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.functions.jsontext import stripped
 from strata.model import ENDPOINTS
 
 RESPONSE_SCHEMA = "source string, endpoint string, status int, content_type string, body string"
@@ -16,14 +17,15 @@ RESPONSE_SCHEMA = "source string, endpoint string, status int, content_type stri
 def landed_payloads(
     spark: SparkSession,
     landing: Mapping[str, str],
-    whole_payloads: bool = True,
+    whole_payloads: bool = False,
     endpoints: Mapping[str, str] = ENDPOINTS,
     stream: bool = False,
 ) -> DataFrame:
-    """(source, endpoint, body) from one path per source.
+    """(source, endpoint, body, landed_at, landed_as) from one path per source.
 
-    ``whole_payloads`` reads each file as one response body. Files with a record
-    per line are read by line instead; Spark splits those, so use them for volume.
+    A line is a body, so Spark splits large files. ``whole_payloads`` reads each file
+    as one response body instead: one row, bound by what a task holds. ``landed_at``
+    and ``landed_as`` are the file's time and path.
     """
     reader = spark.readStream if stream else spark.read
     parts = [
@@ -34,13 +36,20 @@ def landed_payloads(
             F.lit(source).alias("source"),
             F.lit(endpoints.get(source)).alias("endpoint"),
             F.col("value").alias("body"),
+            F.col("_metadata.file_modification_time").alias("landed_at"),
+            F.col("_metadata.file_path").alias("landed_as"),
         )
         for source, path in landing.items()
     ]
     payloads = reduce(DataFrame.unionByName, parts)
-    return payloads if whole_payloads else payloads.filter(F.trim("body") != "")
+    return payloads if whole_payloads else payloads.filter(stripped(F.col("body")) != "")
 
 
 def landed_responses(spark: SparkSession, path: str) -> DataFrame:
     """Responses landed with their envelope, one JSON object per line."""
-    return spark.read.schema(RESPONSE_SCHEMA).json(path)
+    rows = spark.read.schema(RESPONSE_SCHEMA).json(path)
+    return rows.select(
+        "*",
+        F.col("_metadata.file_modification_time").alias("landed_at"),
+        F.col("_metadata.file_path").alias("landed_as"),
+    )

@@ -1,20 +1,19 @@
 """Parquet tables in folders: each full write is a new generation.
 
-A table is ``root/gen-<time>``; the newest generation that Spark has marked as
-committed is the table. So a reader, or a job that rewrites the table it reads,
-never sees files vanish, and a write that dies leaves the old table in place.
+A table is ``root/gen-<number>``; the newest generation that Spark has marked as
+committed is the table. So a job may rewrite the table it reads, and a write that dies
+leaves the old table in place. Nothing old is deleted unless asked for. Replacing some
+partitions is done in place, and takes files away from who reads them meanwhile.
 """
 
 from __future__ import annotations
 
-import time
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 MARK_COMMIT = "mapreduce.fileoutputcommitter.marksuccessfuljobs"
-KEPT_GENERATIONS = 2
 
 
 class MissingTable(RuntimeError):
@@ -36,16 +35,23 @@ def drop_path(spark: SparkSession, path: str) -> None:
     fs.delete(target, True)
 
 
-def _generations(spark: SparkSession, root: str) -> list[str]:
-    """Committed generations, oldest first."""
+def _numbered(spark: SparkSession, root: str) -> list[tuple[int, str]]:
+    """All generations by number, committed or not."""
     fs, folder = _file_system(spark, root)
     if not fs.exists(folder):
         return []
-    names = sorted(entry.getPath().getName() for entry in fs.listStatus(folder))
-    return [
-        f"{root}/{name}"
+    names = [entry.getPath().getName() for entry in fs.listStatus(folder)]
+    return sorted(
+        (int(name.removeprefix("gen-")), f"{root}/{name}")
         for name in names
-        if name.startswith("gen-") and path_exists(spark, f"{root}/{name}/_SUCCESS")
+        if name.startswith("gen-")
+    )
+
+
+def _generations(spark: SparkSession, root: str) -> list[str]:
+    """Committed generations, oldest first."""
+    return [
+        path for _, path in _numbered(spark, root) if path_exists(spark, f"{path}/_SUCCESS")
     ]
 
 
@@ -81,12 +87,20 @@ def overwrite_table(
     layout: Sequence[str] = (),
     fmt: str = "parquet",
 ) -> None:
-    """Replace data and schema; the previous generation stays until the next write."""
-    spark = df.sparkSession
-    path = f"{root}/gen-{time.time_ns():020d}"
+    """Replace data and schema by a generation numbered after all that are there.
+
+    Two writers at once would choose the same number; the second then fails.
+    """
+    last = max((number for number, _ in _numbered(df.sparkSession, root)), default=0)
     writer = _laid_out(df, layout).write.format(fmt).option(MARK_COMMIT, "true")
-    writer.partitionBy(*layout).save(path)
-    for old in _generations(spark, root)[:-KEPT_GENERATIONS]:
+    writer.mode("error").partitionBy(*layout).save(f"{root}/gen-{last + 1:020d}")
+
+
+def drop_old_generations(spark: SparkSession, root: str, keep: int) -> None:
+    """Delete all but the newest ``keep`` committed generations; readers of those fail."""
+    if keep < 1:
+        raise ValueError("keep at least one generation")
+    for old in _generations(spark, root)[:-keep]:
         drop_path(spark, old)
 
 

@@ -11,6 +11,7 @@ from strata.operators import validate
 from strata.operators.bronze import Batch
 from strata.plans.medallion import (
     Lake,
+    Options,
     count_sources,
     finish_interrupted,
     load_bronze,
@@ -28,51 +29,52 @@ def stream_pipeline(
     landing: Mapping[str, str],
     lake_root: str,
     checkpoint: str,
-    whole_payloads: bool = True,
+    whole_payloads: bool = False,
     endpoints: Mapping[str, str] = model.ENDPOINTS,
+    options: Options | None = None,
 ) -> dict[str, int]:
-    """Merge all files landed since the last run, then refresh the months touched.
+    """Merge all files landed since the last run, and refresh the months they touch.
 
-    The checkpoint remembers the files read, in place of the high-water mark. A
-    batch replayed after a crash carries the same id and is not applied twice.
+    The checkpoint remembers the files read, in place of the high-water mark. Polls
+    repeat unchanged quotes, so of each key the record landed last counts. A body that
+    cannot be read, or holds nothing, goes to quarantine and the stream goes on. A batch
+    replayed after a crash carries the same id: its rejects are not repeated, and it is
+    not applied twice.
     """
+    options = options or Options(whole_payloads)
     require_session(spark)
     lake = Lake(lake_root)
     up_to_date = finish_interrupted(spark, lake)
-    touched: set[tuple[int, int]] = set()
-    rebuilt_whole = not up_to_date
-    loaded = 0
+    counts = {"extracted": 0, "bronze_written": 0}
 
     def load(payloads: DataFrame, epoch: int) -> None:
-        nonlocal rebuilt_whole, loaded
+        nonlocal up_to_date
         session = payloads.sparkSession
         batch = Batch("incremental", batch_id=f"{checkpoint.rstrip('/')}#{epoch}")
         last = state.read_progress(session, lake.progress)
-        if last and last.batch_id == batch.batch_id and last.stage != "loading":
-            return
+        applied = last and last.batch_id == batch.batch_id and last.stage != "loading"
         stage = scratch_dir(session, "stage")
-        records = stage_records(session, payloads, stage)
-        sources = count_sources(records, whole_payloads)
-        if sources:
-            validate.expect_valid_per_source(sources, (), whole_payloads)
-            fresh = validate.valid_records(records)
-            months = load_bronze(session, fresh, lake, batch, stage)
-            quarantine(records, sources, lake, batch)
-            rebuilt_whole = rebuilt_whole or months is None
-            touched.update(months or ())
-            loaded += sum(seen["valid"] for seen in sources.values())
+        records = stage_records(payloads, stage)
+        sources = count_sources(records, landing)
+        quarantine(records, sources, lake, batch)
+        valid = sum(seen["valid"] for seen in sources.values())
+        if valid and not applied:
+            days = load_bronze(session, validate.valid_records(records), lake, batch, stage)
+            fresh = refresh_tables(session, lake, days if up_to_date else None, options)
+            up_to_date = True
+            counts.update(fresh)
+            counts["extracted"] += valid
+            counts["bronze_written"] += valid
         tables.drop_path(session, stage)
 
     query = (
-        landed_payloads(spark, landing, whole_payloads, endpoints, stream=True)
+        landed_payloads(spark, landing, options.whole_payloads, endpoints, stream=True)
         .writeStream.foreachBatch(load)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
-
-    counts = {"extracted": loaded, "bronze_written": loaded}
-    if loaded or not up_to_date:
-        counts |= refresh_tables(spark, lake, None if rebuilt_whole else sorted(touched))
+    if not up_to_date:
+        counts |= refresh_tables(spark, lake, None, options)
     return counts

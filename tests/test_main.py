@@ -10,10 +10,10 @@ from tests.helpers import land, quote
 
 
 def test_arguments():
-    args = parse_args(["--lake", "l", "--landing", "dolares=a=b", "cotizaciones=c", "--lines"])
+    args = parse_args(["--lake", "l", "--landing", "dolares=a=b", "cotizaciones=c", "--bodies"])
     assert args.mode == "full"
     assert args.landing == {"dolares": "a=b", "cotizaciones": "c"}
-    assert args.lines
+    assert args.bodies
 
 
 @pytest.mark.parametrize(
@@ -35,5 +35,5 @@ def test_bad_arguments(argv):
 def test_run(spark, tmp_path, capsys):
     landing = land(tmp_path / "landing", dolares=[quote()], cotizaciones=[quote(moneda="EUR")])
     paths = [f"{source}={path}" for source, path in landing.items()]
-    main(["--lake", str(tmp_path / "lake"), "--landing", *paths])
+    main(["--lake", str(tmp_path / "lake"), "--bodies", "--landing", *paths])
     assert json.loads(capsys.readouterr().out.splitlines()[-1])["silver"] == 2

@@ -9,11 +9,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as driver
+from strata.plans.oracles import ORACLES
+from strata.plans.queries import QUERIES
 
 from tests.helpers import SF
 
-QUERIES, ORACLES = driver.queries(), driver.oracle_sql()
-
 
 @pytest.fixture(scope="module")
 def duck():
@@ -29,8 +29,10 @@ def multiset(columns, rows):
     return Counter(tuple(repr(row[n]) for n in order) for row in rows)
 
 
-def test_every_query_has_an_oracle():
+def test_every_query_has_an_oracle_and_is_registered():
     assert QUERIES.keys() == ORACLES.keys()
+    assert QUERIES.keys() <= driver.queries().keys()
+    assert ORACLES.keys() <= driver.oracle_sql().keys()
 
 
 @pytest.mark.parametrize("name", QUERIES)

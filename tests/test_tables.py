@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from strata import model
+from strata.operators.periods import periods
 from strata.plans import quotes
 from strata.session import scratch_dir
 from strata.sources import tables
@@ -81,7 +82,8 @@ def test_partition_filters_prune_folders(spark, tmp_path):
         )
     )
     tables.overwrite_table(silver, root, model.SILVER_LAYOUT)
-    stored = tables.read_table(spark, root, model.SILVER).filter(quotes.in_months([(2026, 9)]))
+    stored = tables.read_table(spark, root, model.SILVER)
+    stored = periods(stored.filter("month = 9"), ("year", "month")).select(stored)
     plan = stored._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(year" in plan
     assert [row.month for row in stored.collect()] == [9]
@@ -113,14 +115,29 @@ def test_a_hot_partition_is_written_by_several_tasks(spark, tmp_path):
     assert tables.read_table(spark, str(root), rows.schema).count() == 400_000
 
 
-def test_months(spark):
-    rows = spark.createDataFrame([(2026, 9), (2025, 1), (2026, 9)], "year int, month int")
-    assert quotes.months_of(rows) == [(2025, 1), (2026, 9)]
-    assert rows.filter(quotes.in_months([(2025, 1)])).count() == 1
-    assert rows.filter(quotes.in_months([])).count() == 0
-    assert rows.filter(quotes.in_months(None)).count() == 3
-    many = spark.range(quotes.MOST_MONTHS + 1).selectExpr("int(id) year", "1 month")
-    assert quotes.months_of(many) is None
+def test_periods(spark):
+    rows = spark.createDataFrame(
+        [(2026, 9, 1), (2025, 1, 7), (2026, 9, 1), (2026, 9, 2)], "year int, month int, day int"
+    )
+    days = periods(rows.filter("day < 7"), ("year", "month", "day"))
+    assert (days.first, days.last) == (20260901, 20260902)
+    assert rows_of(days.select(rows)) == [(2026, 9, 1), (2026, 9, 1), (2026, 9, 2)]
+    months = days.coarser(("year", "month"))
+    assert (months.first, months.last) == (20260900, 20260900)
+    assert months.select(rows).count() == 3
+    assert periods(rows.filter("false"), ("year", "month")).select(rows).count() == 0
+
+
+def test_a_clock_set_back_does_not_hide_a_write(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "t")
+    tables.overwrite_table(spark.range(3), root)
+    monkeypatch.setattr("time.time_ns", lambda: 0)
+    tables.overwrite_table(spark.range(5), root)
+    assert tables.read_table(spark, root, spark.range(0).schema).count() == 5
+    assert len(list((tmp_path / "t").glob("gen-*"))) == 2
+    tables.drop_old_generations(spark, root, 1)
+    assert tables.read_table(spark, root, spark.range(0).schema).count() == 5
+    assert len(list((tmp_path / "t").glob("gen-*"))) == 1
 
 
 def test_scratch_is_in_the_shared_folder(spark):

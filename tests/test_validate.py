@@ -13,6 +13,9 @@ from strata.plans.medallion import count_sources
 from tests.helpers import payloads, quote
 
 
+SOURCES = ["dolares", "cotizaciones"]
+
+
 def checked(spark, *rows):
     return validate.check_records(validate.split_payload(payloads(spark, *rows)))
 
@@ -40,6 +43,12 @@ def verdicts(df):
         ("", False),
         ("bad", False),
         (None, False),
+        ("\n\t [1]\r\n", True),
+        ('1,"after":2} junk', False),
+        ('1,"after":0}', False),
+        ("1]", False),
+        ("1}", False),
+        ('{"a":1}],[{"b":2}', False),
     ],
 )
 def test_is_json(spark, text, valid):
@@ -53,12 +62,15 @@ def test_complete_records_are_kept(spark):
 
 
 def test_incomplete_records_are_set_aside_with_the_absent_fields(spark):
-    body = json.dumps([quote(), {"casa": "blue", "moneda": "USD"}])
-    rows = checked(spark, ("dolares", body))
+    partial = {name: 1 for name in ("nombre", "compra", "fechaActualizacion")}
+    rows = checked(spark, ("dolares", json.dumps([partial, quote(), {}])))
     assert validate.valid_records(rows).count() == 1
-    rejected = validate.rejected_records(rows).first()
-    assert rejected.reject_reason == "missing_fields"
-    assert rejected.missing == "nombre,compra,venta,fechaActualizacion"
+    rejected = validate.rejected_records(rows).collect()
+    assert {row.reject_reason for row in rejected} == {"missing_fields"}
+    assert {row.missing for row in rejected} == {
+        "moneda,casa,venta",
+        "moneda,casa,nombre,compra,venta,fechaActualizacion",
+    }
 
 
 def test_explicit_null_counts_as_present(spark):
@@ -80,10 +92,19 @@ def test_elements_that_are_no_objects(spark):
 
 @pytest.mark.parametrize(
     ("body", "reason"),
-    [("[]", "empty_payload"), ("null", "null_payload"), (None, "null_payload"), ("bad", "not_json")],
+    [
+        ("[]", "empty_payload"),
+        ("\t[\n]\r\n", "empty_payload"),
+        ("null", "null_payload"),
+        ("\nnull\n", "null_payload"),
+        (None, "null_payload"),
+        ("bad", "not_json"),
+    ],
 )
 def test_payloads_without_records_keep_their_source(spark, body, reason):
-    counts = count_sources(checked(spark, ("dolares", json.dumps([quote()])), ("cotizaciones", body)))
+    counts = count_sources(
+        checked(spark, ("dolares", json.dumps([quote()])), ("cotizaciones", body)), SOURCES
+    )
     assert counts["cotizaciones"]["bad_payloads"] == 1
     assert counts["cotizaciones"]["problem"] == reason
     assert counts["cotizaciones"]["received"] == 0
@@ -93,26 +114,29 @@ def test_payloads_without_records_keep_their_source(spark, body, reason):
 
 def test_valid_and_discarded_add_up_to_received(spark):
     body = json.dumps([quote(), 1, None, {"casa": "blue"}, quote(casa="blue")])
-    counts = count_sources(checked(spark, ("dolares", body)))["dolares"]
+    counts = count_sources(checked(spark, ("dolares", body)), SOURCES)["dolares"]
     assert (counts["received"], counts["valid"], counts["discarded"]) == (5, 2, 3)
 
 
 def test_source_without_a_valid_record_stops_the_run(spark):
     counts = count_sources(
-        checked(spark, ("dolares", json.dumps([quote()])), ("cotizaciones", '[{"casa": "blue"}]'))
+        checked(spark, ("dolares", json.dumps([quote()])), ("cotizaciones", '[{"casa": "blue"}]')),
+        SOURCES,
     )
     with pytest.raises(validate.RejectedInput, match="cotizaciones: none of 1"):
         validate.expect_valid_per_source(counts)
 
 
 def test_source_that_brought_nothing_stops_the_run(spark):
-    counts = count_sources(checked(spark, ("dolares", json.dumps([quote()]))))
+    counts = count_sources(checked(spark, ("dolares", json.dumps([quote()]))), SOURCES)
     with pytest.raises(validate.RejectedInput, match="cotizaciones"):
         validate.expect_valid_per_source(counts, ["dolares", "cotizaciones"])
 
 
 def test_a_bad_line_spoils_only_itself(spark):
-    counts = count_sources(checked(spark, ("dolares", json.dumps(quote())), ("dolares", "bad")))
+    counts = count_sources(
+        checked(spark, ("dolares", json.dumps(quote())), ("dolares", "bad")), SOURCES
+    )
     validate.expect_valid_per_source(counts, whole_payloads=False)
     with pytest.raises(validate.RejectedInput):
         validate.expect_valid_per_source(counts)
@@ -134,8 +158,8 @@ def test_envelope(spark):
         (200, "text/html", "{}"),
         (200, "application/json", "<html>"),
         (200, "application/json", None),
-        (503, "application/json", "unavailable"),
-        (503, "application/json", long_body),
+        (429, "text/plain", "slow down"),
+        (404, "application/json", long_body),
         (None, "application/json", "[]"),
     ) == [
         (None, None),
@@ -145,8 +169,8 @@ def test_envelope(spark):
         (None, "content type text/html"),
         ("not_json", None),
         ("not_json", None),
-        ("HTTP 503: unavailable", None),
-        ("HTTP 503: " + "x" * 200, None),
+        ("HTTP 429: slow down", None),
+        ("HTTP 404: " + "x" * 200, None),
         ("HTTP : []", None),
     ]
 
