@@ -11,9 +11,11 @@ follows the input, spread over the cluster, never held in one place. Collisions
 representatives shared by different windows only raise an estimate, so every repeated
 window is estimated repeated: none is lost.
 
-Second pass: only windows of runs estimated repeated in all rows of the sketch are taken
-from the texts, and grouped exactly by a 128-bit digest of their words. The least id of a
-group is joined back, and the texts concerned are cut.
+Second pass: only runs estimated repeated in all rows of the sketch are taken from the
+texts and grouped exactly, by a 128-bit digest of their words: first whole runs, which
+takes copied passages together before they move, then the windows of the runs that no
+earlier document holds whole. The least id of a group is joined back, and the texts
+concerned are cut.
 
 Texts that agree in all words are one text for all this: it belongs to the least id, and
 the others, if they have a window at all, lose all their words.
@@ -203,11 +205,20 @@ def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     )
 
 
-def window_digests(texts: DataFrame, window: int) -> DataFrame:
-    """``id, text_key, start, d1, d2`` of each window estimated repeated."""
+def _digests(line: bytes, begin: list[int], end: list[int]) -> tuple[pa.Array, pa.Array]:
+    digest = xxhash.xxh128_digest
+    found = b"".join([digest(line[a:b]) for a, b in zip(begin, end, strict=True)])
+    pair = np.frombuffer(found, "<i8").reshape(-1, 2)
+    return pa.array(pair[:, 0]), pa.array(pair[:, 1])
+
+
+def digests(texts: DataFrame, window: int, whole_runs: bool) -> DataFrame:
+    """``id, text_key, first, last, d1, d2`` of each run, or of each window of the runs.
+
+    A run's digest is over all words that its windows cover; a window is a run of its own.
+    """
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        digest = xxhash.xxh128_digest
         for batch in batches:
             ids, keys = (batch.column(n).to_numpy() for n in (0, 1))
             for row in range(batch.num_rows):
@@ -215,25 +226,35 @@ def window_digests(texts: DataFrame, window: int) -> DataFrame:
                 line = b" ".join(words)
                 ends = np.cumsum([len(word) + 1 for word in words])
                 runs = batch.column(3)[row].as_py()
-                spans = [np.arange(run["first"], run["last"] + 1) for run in runs]
-                at = np.unique(np.concatenate(spans))
-                begin = np.concatenate([[0], ends])[at].tolist()
-                end = (ends[at + window - 1] - 1).tolist()
-                found = b"".join([digest(line[a:b]) for a, b in zip(begin, end, strict=True)])
-                pair = np.frombuffer(found, "<i8").reshape(-1, 2)
+                if whole_runs:
+                    spans = np.unique([(run["first"], run["last"]) for run in runs], axis=0)
+                    first, last = spans[:, 0], spans[:, 1]
+                else:
+                    spans = [np.arange(run["first"], run["last"] + 1) for run in runs]
+                    first = last = np.unique(np.concatenate(spans))
+                begin = np.concatenate([[0], ends])[first].tolist()
+                end = (ends[last + window - 1] - 1).tolist()
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(np.full(len(at), ids[row])),
-                        pa.array(np.full(len(at), keys[row])),
-                        pa.array(at, pa.int32()),
-                        pa.array(pair[:, 0]),
-                        pa.array(pair[:, 1]),
+                        pa.array(np.full(len(first), ids[row])),
+                        pa.array(np.full(len(first), keys[row])),
+                        pa.array(first, pa.int32()),
+                        pa.array(last, pa.int32()),
+                        *_digests(line, begin, end),
                     ],
-                    ["id", "text_key", "start", "d1", "d2"],
+                    ["id", "text_key", "first", "last", "d1", "d2"],
                 )
 
     given = texts.select("id", "text_key", F.col("text").cast("binary").alias("text"), "runs")
-    return given.mapInArrow(compute, "id long, text_key long, start int, d1 long, d2 long")
+    return given.mapInArrow(
+        compute, "id long, text_key long, first int, last int, d1 long, d2 long"
+    )
+
+
+def _least(rows: DataFrame) -> DataFrame:
+    """Digests that several ids have, each with the least of them."""
+    found = rows.groupBy("d1", "d2").agg(F.min("id").alias("least"), F.max("id").alias("most"))
+    return staged(found.filter("least < most").drop("most"), "substring-least")
 
 
 def _cut(window: int):
@@ -242,10 +263,11 @@ def _cut(window: int):
             removed, shas = [], []
             for row in range(batch.num_rows):
                 words = batch.column(2)[row].as_py().encode().split()
-                starts = batch.column(3)[row].values.to_numpy(zero_copy_only=False)
+                runs = batch.column(3)[row].values
+                first, last = (runs.field(n).to_numpy(zero_copy_only=False) for n in (0, 1))
                 edges = np.zeros(len(words) + 1, np.int64)
-                np.add.at(edges, starts, 1)
-                np.add.at(edges, starts + window, -1)
+                np.add.at(edges, first, 1)
+                np.add.at(edges, last + window, -1)
                 kept = [words[k] for k in np.flatnonzero(np.cumsum(edges)[:-1] == 0)]
                 removed.append(len(words) - len(kept))
                 shas.append(hashlib.sha256(b" ".join(kept)).hexdigest())
@@ -287,12 +309,25 @@ def remove_repeats(
     )
     texts = staged(_texts(given, wanted), "substring-texts")
 
-    windows = staged(window_digests(texts, window), "substring-windows")
-    least = windows.groupBy("d1", "d2").agg(F.min("id").alias("least"), F.max("id").alias("most"))
-    least = staged(least.filter("least < most").drop("most"), "substring-least")
-    covered = windows.join(least, ["d1", "d2"]).filter("id > least")
-    starts = covered.groupBy("id", "text_key").agg(F.collect_list("start").alias("starts"))
-    cut = texts.join(starts, ["id", "text_key"]).select("id", "text_key", "text", "starts")
+    # A run whose words an earlier document holds in one piece is covered whole, and its
+    # windows tell the others nothing new: that document has them all.
+    whole = staged(digests(texts, window, whole_runs=True), "substring-whole")
+    whole = whole.join(_least(whole), ["d1", "d2"], "left")
+    whole = staged(whole.select("id", "text_key", "first", "last", "least"), "substring-judged")
+    covered = whole.filter("id > least").select("id", "text_key", "first", "last")
+    own = (
+        whole.filter("least IS NULL OR id = least")
+        .groupBy("id", "text_key")
+        .agg(F.collect_list(F.struct("first", "last")).alias("runs"))
+    )
+    own = staged(texts.drop("runs").join(own, ["id", "text_key"]), "substring-own")
+    windows = digests(own, window, whole_runs=False)
+    windows = windows.join(_least(windows), ["d1", "d2"]).filter("id > least")
+    covered = covered.unionByName(windows.select("id", "text_key", "first", "last"))
+    starts = covered.groupBy("id", "text_key").agg(
+        F.collect_list(F.struct("first", "last")).alias("runs")
+    )
+    cut = texts.drop("runs").join(starts, ["id", "text_key"])
     cut = cut.mapInArrow(_cut(window), "id long, text_key long, n_removed long, cut_sha string")
     # Rows that repeat an id and text were cut alike.
     cut = staged(cut.dropDuplicates(["id", "text_key"]), "substring-cut")
