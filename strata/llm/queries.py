@@ -5,7 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import chat, exact_dedup, length_packing, minhash, mixing, secrets, simhash, substring_dedup, toxicity, warc
+from strata.llm import (
+    chat,
+    exact_dedup,
+    length_packing,
+    minhash,
+    mixing,
+    secrets,
+    simhash,
+    substring_dedup,
+    toxicity,
+    warc,
+)
 from strata.llm.common import table
 
 
@@ -164,6 +175,30 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.remove_repeats(table(spark, sf_dir, "documents"), window=50)
 
 
+OP7_SQL = r"""
+WITH docs AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), starts AS (
+  SELECT doc_id, i, array_to_string(w[i:i + 49], ' ') AS sequence
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM docs)
+), firsts AS (
+  SELECT doc_id, i, min(doc_id) OVER (PARTITION BY sequence) AS first_id FROM starts
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS place FROM firsts WHERE doc_id > first_id
+), words AS (
+  SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS place FROM docs
+), kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY place) AS text, count(*) AS n
+  FROM words ANTI JOIN gone USING (doc_id, place)
+  GROUP BY doc_id
+)
+SELECT docs.doc_id, len(w) AS n_words, len(w) - coalesce(kept.n, 0) AS n_removed,
+       sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM docs LEFT JOIN kept ON docs.doc_id = kept.doc_id
+"""
+
+
 def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = secrets.findings(docs, secrets.fit(docs))
@@ -193,14 +228,20 @@ def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_secrets": op2_secrets,
+    "op3_chat_formatting": op3_chat_formatting,
     "op4_toxicity": op4_toxicity,
     "op5_length_packing": op5_length_packing,
-    "op9_mixing": op9_mixing,
-    "op10_simhash": op10_simhash,
-    "op3_chat_formatting": op3_chat_formatting,
     "op6_warc": op6_warc,
     "op7_substring_dedup": op7_substring_dedup,
-    "op2_secrets": op2_secrets,
     "op8_minhash": op8_minhash,
+    "op9_mixing": op9_mixing,
+    "op10_simhash": op10_simhash,
+}
+ORACLES = {
+    "op1_exact_dedup": OP1_SQL,
+    "op3_chat_formatting": OP3_SQL,
+    "op6_warc": OP6_SQL,
+    "op7_substring_dedup": OP7_SQL,
+    "op9_mixing": OP9_SQL,
 }
-ORACLES = {"op1_exact_dedup": OP1_SQL, "op9_mixing": OP9_SQL, "op3_chat_formatting": OP3_SQL, "op6_warc": OP6_SQL}
