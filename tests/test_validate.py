@@ -177,16 +177,16 @@ def test_envelope(spark):
 
 def test_bronze_projection(spark):
     body = (
-        '{"moneda":"USD","casa":"bolsa","nombre":"Dólar","compra":1450.50,"venta":null,'
-        '"fechaActualizacion":"2026-09-05T20:56:00.000Z","extra":{"a":[1,2]}}'
+        '{"moneda":"USD","casa":"bolsa","nombre":"Añejo","compra":77.25,"venta":null,'
+        '"fechaActualizacion":"2025-11-02T04:05:06.000Z","more":[{"b":null}]}'
     )
     batch = Batch("full", "b9")
     valid = validate.valid_records(checked(spark, ("dolares", f"[{body}]")))
     row = to_bronze(with_fields(valid), batch).first()
-    assert float(row.compra) == 1450.5
+    assert float(row.compra) == 77.25
     assert row.venta is None
     assert json.loads(row.raw_json) == json.loads(body)
-    assert "Dólar" in row.raw_json
+    assert "Añejo" in row.raw_json
     assert (row.origen_datos, row.endpoint) == ("dolares", "/v1/dolares")
     assert (row.modo_extraccion, row.batch_id) == ("full", "b9")
     assert row.fecha_ingesta == batch.ingested_at.isoformat()
