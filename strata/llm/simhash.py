@@ -14,7 +14,8 @@ local component are emitted, not the pairs; components are joined up across buck
 Defined cases: null text counts as empty; a text without words has fingerprint zero
 and is linked as any other; a text of fewer words than a shingle is one shingle; null
 ids count only where a component has no other, and its component is then null; rows
-that repeat an id are documents of their own; an empty table gives an empty result.
+that repeat an id are documents of their own, also where one row of each component is
+kept; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import chunks, staged
+from strata.llm.common import chunks, staged, whole_text
 from strata.llm.components import components
 
 SEED = 42
@@ -264,14 +265,24 @@ def keep_one(
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
-    """``docs`` with one row of each component, that of the least id; columns as given."""
+    """``docs`` with one row of each component, columns as given.
+
+    That of the least id, null ids last; of unlike texts with that id, of the least SHA-256.
+    """
+    marked = docs.withColumn("_sha", F.sha2(whole_text(text_col), 256))
+    named = marked.select(
+        F.struct(F.col(id_col).isNull().alias("late"), F.col(id_col).alias("id"), "_sha").alias("_row"),
+        F.col(text_col).alias("_text"),
+    )
     keep = (
-        near_duplicates(docs, shingle, bits, id_col=id_col, text_col=text_col)
-        .filter(F.col(id_col).eqNullSafe(F.col("component_id")))
-        .select(F.col("component_id").alias("_kept_id"))
+        near_duplicates(named, shingle, bits, id_col="_row", text_col="_text")
+        .filter("_row = component_id")
+        .select(F.col("_row.id").alias("_kept_id"), F.col("_row._sha").alias("_kept_sha"))
     )
     keep = staged(keep, "simhash-kept")
-    kept = docs.join(keep, docs[id_col].eqNullSafe(keep["_kept_id"]), "left_semi")
-    if not keep.groupBy("_kept_id").count().filter("count > 1").isEmpty():
-        kept = kept.dropDuplicates([id_col])
-    return kept
+    same = marked[id_col].eqNullSafe(keep["_kept_id"]) & (marked["_sha"] == keep["_kept_sha"])
+    kept = marked.join(keep, same, "left_semi")
+    repeated = keep.groupBy("_kept_id", "_kept_sha").count().filter("count > 1")
+    if not repeated.isEmpty():
+        kept = kept.dropDuplicates([id_col, "_sha"])
+    return kept.drop("_sha")

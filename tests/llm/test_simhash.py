@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import random
 from collections import Counter
 
 import pytest
@@ -8,7 +9,7 @@ import xxhash
 from strata.llm import simhash
 from strata.llm.components import components
 
-from tests.llm.helpers import SCHEMA, documents, frame, odd_rows, union_find, words
+from tests.llm.helpers import SCHEMA, documents, frame, odd_rows, prose, union_find, words
 
 
 def plain_fingerprint(text, size=4):
@@ -80,6 +81,22 @@ def test_keep_one(spark):
     assert sorted(row.doc_id for row in kept.collect()) == sorted(wanted)
 
 
+def test_keep_one_without_ids_of_their_own(spark):
+    """Unlike texts without an id all stay, and so do unlike texts that share one."""
+    rng = random.Random(3)
+    clean = [prose(rng, 60) for _ in range(8)]
+    rows = [(None, text) for text in clean[:5]] + [(None, clean[0]), (7, clean[0])]
+    rows += [(3, clean[5]), (3, clean[6]), (3, clean[6]), (1, clean[6]), (3, clean[7])]
+    docs = frame(spark, [(*row, "en", "a", None) for row in rows])
+    wanted = [(None, text) for text in clean[1:5]]
+    wanted += [(7, clean[0]), (3, clean[5]), (1, clean[6]), (3, clean[7])]
+    kept = simhash.keep_one(docs).select("doc_id", "text").collect()
+    assert Counter(map(tuple, kept)) == Counter(wanted)
+    spread = [(3, "one two three four"), (3, "ONE two three four"), (None, "one  two three four")]
+    kept = simhash.keep_one(frame(spark, [(*row, None, None, None) for row in spread]))
+    assert [row.doc_id for row in kept.collect()] == [3]
+
+
 def test_empty(spark):
     docs = spark.createDataFrame([], SCHEMA)
     assert simhash.near_duplicates(docs).count() == 0
