@@ -11,9 +11,11 @@ Sources are few beside documents, but nothing depends on it: they stay a table,
 by a range sort with counts per range, and levelled by rounds of one-row sums.
 
 Defined cases: null text has size zero; a null source is a source of its own, sorted
-last; rows that repeat an id are drawn alike; a null id draws as the text "null"; a
-source without words has target zero and takes each of its documents zero times;
-an empty table gives an empty result.
+last; a null id draws as the text "null"; in the report rows that repeat an id are drawn
+alike, as its SQL has it, and so are null ids; in the mix the text's hash is drawn with an
+id, or null, that has several texts, so only rows that repeat id and text are drawn alike;
+a source without words has target zero and takes each of its documents zero times; an
+empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -134,9 +136,28 @@ def with_copies(
     )
 
 
-def mixed(docs: DataFrame, text_col: str = "text", **options) -> DataFrame:
+def told_apart(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Add ``_mix_id``: the id, with the text's SHA-256 where the id has several texts."""
+    text, own = whole_text(text_col), F.col(id_col).cast("string")
+    several = (
+        docs.groupBy(F.col(id_col).alias("_several_id"))
+        .agg(F.min(F.xxhash64(text)).alias("least"), F.max(F.xxhash64(text)).alias("most"))
+        .filter("least < most")
+        .select("_several_id", F.lit(True).alias("_several"))
+    )
+    several = staged(several, "mix-several")
+    if several.isEmpty():
+        return docs.withColumn("_mix_id", own)
+    joined = docs.join(several, docs[id_col].eqNullSafe(several["_several_id"]), "left")
+    by_text = F.concat_ws(":", F.coalesce(own, F.lit("null")), F.sha2(text, 256))
+    named = joined.withColumn("_mix_id", F.when(F.col("_several"), by_text).otherwise(own))
+    return named.drop("_several_id", "_several")
+
+
+def mixed(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", **options) -> DataFrame:
     """The mix itself: each row of ``docs`` as often as it is taken, columns as given."""
-    taken = with_copies(docs, word_count(whole_text(text_col)), **options)
+    named = told_apart(docs, id_col, text_col)
+    taken = with_copies(named, word_count(whole_text(text_col)), id_col="_mix_id", **options)
     return (
         taken.filter("_mix.copies > 0")
         .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_mix.copies"))))

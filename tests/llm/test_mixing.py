@@ -80,6 +80,18 @@ def test_mixed_rows(spark):
     assert found == +copies
 
 
+@pytest.mark.parametrize("shared", ["NULL", "id % 5"])
+def test_texts_of_one_id_are_drawn_apart(spark, shared):
+    docs = spark.range(6000).selectExpr(
+        f"{shared} AS doc_id", "concat('s', id % 3) AS source", "concat('w ', id) AS text"
+    )
+    docs = docs.withColumn("doc_id", F.col("doc_id").cast("long"))
+    target = plain_targets({f"s{n}": 4000 for n in range(3)})
+    assert any(target[s] % 4000 for s in target)
+    for row in mixing.mixed(docs).groupBy("source").agg(F.count("*").alias("n")).collect():
+        assert abs(2 * row.n - target[row.source]) < 0.05 * target[row.source]
+
+
 def test_many_sources_are_ranked_apart(spark):
     sizes = spark.range(300).selectExpr("lpad(id, 4, '0') AS source", "id + 1 AS source_size")
     spark.conf.set("spark.sql.shuffle.partitions", "7")
