@@ -183,26 +183,26 @@ def estimated_repeated(runs: DataFrame) -> DataFrame:
 
 
 def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``id, text_key, text, runs`` of the texts wanted; text_key tells texts of one id apart."""
+    """``id, text_key, text, runs`` of the texts wanted; text_key tells texts of one id apart.
+
+    It is computed beside each document, so that many texts of one id do not meet in the join.
+    """
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            given = batch.column(2).cast(pa.binary()).to_pylist()
-            lines = [b" ".join((text or b"").split()) for text in given]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array([hashlib.sha256(line).hexdigest() for line in lines])],
-                [*batch.schema.names, "sha"],
-            )
+            texts = batch.column(1).cast(pa.binary())
+            for start, end in chunks(texts, _CHUNK):
+                given = texts.slice(start, end - start).to_pylist()
+                lines = [b" ".join((text or b"").split()) for text in given]
+                shas = pa.array([hashlib.sha256(line).hexdigest() for line in lines])
+                yield pa.RecordBatch.from_arrays(
+                    [*batch.slice(start, end - start).columns, shas], ["id", "text", "sha"]
+                )
 
-    found = wanted.join(docs, "id").select("id", "text_key", "text", "runs")
-    schema = (
-        "id long, text_key long, text string, runs array<struct<first:int,last:int>>, sha string"
-    )
-    return (
-        found.mapInArrow(compute, schema)
-        .filter(F.xxhash64("sha") == F.col("text_key"))
-        .drop("sha")
-    )
+    keyed = docs.select("id", "text").mapInArrow(compute, "id long, text string, sha string")
+    keyed = keyed.select("id", F.xxhash64("sha").alias("text_key"), "text")
+    found = wanted.join(keyed, ["id", "text_key"])
+    return found.select("id", "text_key", "text", "runs")
 
 
 def _digests(line: bytes, begin: list[int], end: list[int]) -> tuple[pa.Array, pa.Array]:

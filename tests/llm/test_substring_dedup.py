@@ -61,6 +61,22 @@ def test_passages_that_many_share(spark):
     assert sum(row[2] > 0 for row in wanted) > 100
 
 
+def test_many_texts_without_id(spark):
+    """They do not meet each other when the texts are fetched."""
+    rng = random.Random(4)
+    passage = prose(rng, 60)
+    rows = [(None, f"{prose(rng, 20)} {passage}") for _ in range(40)] + [(1, passage)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert told(substring_dedup.remove_repeats(docs, 50)) == expected(rows, 50)
+    wanted = "id long, text_key long, runs array<struct<first:int,last:int>>"
+    found = substring_dedup._texts(
+        docs.selectExpr("doc_id AS id", "text"), spark.createDataFrame([], wanted)
+    )
+    plan = found._jdf.queryExecution().analyzed().toString()
+    joins = [line for line in plan.splitlines() if "Join Inner" in line]
+    assert len(joins) == 1 and "text_key" in joins[0]
+
+
 def test_query(spark):
     rows = [(row.doc_id, row.text) for row in documents(spark).collect()]
     assert told(QUERIES["op7_substring_dedup"](spark, SF)) == expected(rows, 50)
