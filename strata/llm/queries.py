@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from strata.llm import (
     chat,
     exact_dedup,
+    hard_negatives,
     length_packing,
     minhash,
     mixing,
@@ -226,6 +227,36 @@ def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.report(table(spark, sf_dir, "documents"))
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(vectors.withColumn("label", moved))
+
+
+OP13_SQL = """
+WITH vectors AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.vec_id AS anchor_id, v.vec_id, v.label = a.label AS same,
+         list_inner_product(a.q, v.q)::BIGINT AS score
+  FROM vectors a JOIN vectors v ON a.vec_id % 100 = 0 AND a.vec_id <> v.vec_id
+), positives AS (
+  SELECT * FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT anchor_id, p.vec_id AS positive_id,
+       (row_number() OVER found)::INTEGER AS rank, n.vec_id AS negative_id,
+       p.score AS positive_score, n.score AS negative_score
+FROM positives p JOIN scored n USING (anchor_id)
+WHERE NOT n.same AND 100 * n.score BETWEEN 80 * p.score AND 100 * p.score
+WINDOW found AS (PARTITION BY anchor_id, p.vec_id ORDER BY n.score DESC, n.vec_id)
+QUALIFY row_number() OVER found <= 5
+"""
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_secrets": op2_secrets,
@@ -237,6 +268,7 @@ QUERIES = {
     "op8_minhash": op8_minhash,
     "op9_mixing": op9_mixing,
     "op10_simhash": op10_simhash,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 ORACLES = {
     "op1_exact_dedup": OP1_SQL,
@@ -244,4 +276,5 @@ ORACLES = {
     "op6_warc": OP6_SQL,
     "op7_substring_dedup": OP7_SQL,
     "op9_mixing": OP9_SQL,
+    "op13_hard_negatives": OP13_SQL,
 }
