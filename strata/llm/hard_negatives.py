@@ -43,6 +43,8 @@ from strata.llm.common import staged
 CANDIDATES, ANCHORS = 4096, 64
 #: Dimensions of a group: a byte of a bit plane has one bit of each.
 GROUP = 8
+#: Most tasks that blocks are dealt to.
+MOST_PLACES = 10_000
 #: Rows scored at once, so that their sums stay in a processor's cache.
 _SLICE = 512
 
@@ -210,10 +212,19 @@ def best_rows(
     and ``high`` percent of it. Each block of anchors goes to all places, each block of
     candidates to one, and they meet there.
     """
-    at = F.pmod(F.xxhash64("block"), F.lit(max(1, n_blocks)))
-    places = F.sequence(F.lit(0).cast("long"), F.lit(max(1, n_blocks) - 1).cast("long"))
-    met = blocks.withColumn("place", at).join(
-        anchor_blocks(anchors).withColumn("place", F.explode(places)), "place"
+    # A number of partitions is asked for, as small blocks are much work.
+    n_places = min(max(1, n_blocks), MOST_PLACES)
+    at = F.pmod(F.xxhash64("block"), F.lit(n_places))
+    places = F.sequence(F.lit(0).cast("long"), F.lit(n_places - 1).cast("long"))
+    met = (
+        blocks.withColumn("place", at)
+        .repartition(n_places, "place")
+        .join(
+            anchor_blocks(anchors)
+            .withColumn("place", F.explode(places))
+            .repartition(n_places, "place"),
+            "place",
+        )
     )
 
     def of_pair(pair: dict) -> Iterator[tuple]:

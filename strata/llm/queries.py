@@ -7,11 +7,13 @@ from pyspark.sql import functions as F
 
 from strata.llm import (
     chat,
+    conversation_repair,
     exact_dedup,
     hard_negatives,
     length_packing,
     minhash,
     mixing,
+    quality,
     secrets,
     simhash,
     substring_dedup,
@@ -227,6 +229,203 @@ def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.report(table(spark, sf_dir, "documents"))
 
 
+def damaged(conversations: DataFrame) -> DataFrame:
+    """Rows with faults put in, by the checksum of conversation and turn."""
+    named = [F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")]
+    fault = F.crc32(F.concat_ws(":", *named)) % 20
+    text = F.coalesce("text", F.lit(" "))
+    return (
+        conversations.filter(fault != 0)
+        .select(
+            "conv_id",
+            "turn",
+            F.when(fault == 4, "user").otherwise(F.col("role")).alias("role"),
+            F.when(fault == 1, "")
+            .when(fault == 2, F.regexp_replace(text, "[.!?]", ""))
+            .otherwise(text)
+            .alias("text"),
+            F.explode(F.array_repeat(F.lit(0), F.when(fault == 3, 2).otherwise(1))).alias("copy"),
+        )
+        .drop("copy")
+    )
+
+
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = table(spark, sf_dir, "conversations")
+    repairs = conversation_repair.repair(damaged(given)).withColumnRenamed("conv_id", "id")
+    every = given.select("conv_id").distinct()
+    numbers = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    return every.join(repairs, every["conv_id"].eqNullSafe(repairs["id"]), "left").select(
+        "conv_id",
+        *[F.coalesce(name, F.lit(0).cast("long")).alias(name) for name in numbers],
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+    )
+
+
+# The parse as a shortest way: a state is what the grammar has read last (0 nothing, 1 s,
+# 2 u, 3 a); up to two inserted rows lead from each to others before a row, or at the end.
+OP11_SQL = r"""
+WITH RECURSIVE keyed AS (
+  SELECT *, concat(coalesce(conv_id::VARCHAR, ' '), ':', coalesce(turn::VARCHAR, ' ')) AS key
+  FROM conversations
+), fated AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         xor(4294967295, list_reduce(
+           [4294967295] || list_transform(string_split(key, ''), lambda x: ascii(x)::BIGINT),
+           lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0],
+             lambda x, y: xor(x >> 1, CASE WHEN x % 2 = 1 THEN 3988292384 ELSE 0 END)))) % 20
+           AS fault
+  FROM keyed
+), damaged AS (
+  SELECT conv_id, turn, CASE WHEN fault = 4 THEN 'user' ELSE role END AS role,
+         CASE WHEN fault = 1 THEN '' WHEN fault = 2 THEN regexp_replace(text, '[.!?]', '', 'g')
+              ELSE text END AS text,
+         unnest(CASE WHEN fault = 3 THEN [1, 2] ELSE [1] END) AS copy
+  FROM fated WHERE fault <> 0
+), ordered AS (
+  SELECT *, row_number() OVER in_order AS n,
+         row_number() OVER (PARTITION BY conv_id, role, text
+                            ORDER BY turn NULLS FIRST, copy) AS seen,
+         lag(left(role, 1)) OVER in_order AS before
+  FROM damaged
+  WINDOW in_order AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy)
+), judged AS (
+  SELECT *, left(role, 1) AS initial,
+         CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank'
+              WHEN seen > 1 THEN 'duplicate'
+              WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') THEN 'truncated' END AS fault
+  FROM ordered
+), counted AS (
+  SELECT conv_id, count(*) AS n_rows,
+         coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps,
+         count(*) FILTER (fault = 'blank') AS blank,
+         count(*) FILTER (fault = 'duplicate') AS duplicate,
+         count(*) FILTER (fault = 'truncated') AS truncated,
+         count(*) FILTER (before || initial NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM judged GROUP BY conv_id
+), shifts AS (
+  SELECT * FROM (VALUES (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (2, 'a', 3), (3, 'u', 2))
+    AS t(state, symbol, reached)
+), inserts AS (
+  SELECT * FROM (VALUES (0, 0, ''), (1, 1, ''), (2, 2, ''), (3, 3, ''), (0, 2, 'u'), (1, 2, 'u'),
+    (3, 2, 'u'), (2, 3, 'a'), (0, 3, 'ua'), (1, 3, 'ua')) AS t(state, reached, new)
+), steps AS (
+  SELECT conv_id, 0::BIGINT AS n, 0 AS state, 0::BIGINT AS cost, '' AS audit, '' AS symbols
+  FROM counted
+  UNION ALL
+  SELECT conv_id, n, state, best.cost, best.audit, best.symbols FROM (
+    SELECT s.conv_id, j.n, e.reached AS state, min(struct_pack(
+             cost := s.cost + 5 * len(i.new) + e.price
+                     + CASE WHEN j.fault = 'truncated' AND e.edit <> 'D' THEN 5 ELSE 0 END,
+             audit := s.audit || repeat('I', len(i.new)) || e.edit,
+             symbols := s.symbols || i.new || e.symbol)) AS best
+    FROM steps s
+    JOIN judged j ON s.conv_id IS NOT DISTINCT FROM j.conv_id AND j.n = s.n + 1
+    JOIN inserts i ON i.state = s.state
+    JOIN (
+      SELECT state, reached, symbol, 'K' AS edit, 0 AS price, symbol AS only_for FROM shifts
+      UNION ALL SELECT state, reached, symbol, 'R', 1, NULL FROM shifts WHERE symbol <> 's'
+      UNION ALL SELECT unnest([0, 1, 2, 3]), unnest([0, 1, 2, 3]), '-', 'D', 2, NULL
+    ) e ON e.state = i.reached AND (e.only_for IS NULL OR e.only_for = j.initial)
+      AND (e.edit = 'D' OR coalesce(j.fault, '') NOT IN ('blank', 'duplicate'))
+    GROUP BY s.conv_id, j.n, e.reached)
+), repaired AS (
+  SELECT c.conv_id, min(struct_pack(cost := s.cost + 5 * len(i.new),
+           audit := s.audit || repeat('I', len(i.new)), symbols := s.symbols || i.new)) AS best
+  FROM counted c JOIN steps s ON s.conv_id IS NOT DISTINCT FROM c.conv_id AND s.n = c.n_rows
+  JOIN inserts i ON i.state = s.state AND i.reached IN (0, 3)
+  GROUP BY c.conv_id
+), edits AS (
+  SELECT conv_id, unnest(range(1, len(best.audit) + 1)) AS place, best FROM repaired
+), numbered AS (
+  SELECT conv_id, place, best.audit[place] AS edit, best.symbols[place] AS symbol,
+         count(*) FILTER (best.audit[place] <> 'I') OVER (PARTITION BY conv_id ORDER BY place) AS n
+  FROM edits
+), said AS (
+  SELECT e.conv_id, string_agg(CASE WHEN edit = 'K' THEN j.role WHEN symbol = 'u' THEN 'user'
+           ELSE 'assistant' END || ':' || CASE WHEN edit = 'I' THEN '' ELSE j.text END,
+           chr(10) ORDER BY place) AS lines
+  FROM numbered e LEFT JOIN judged j ON e.conv_id IS NOT DISTINCT FROM j.conv_id AND e.n = j.n
+  WHERE edit <> 'D' GROUP BY e.conv_id
+)
+SELECT o.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank,
+       coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated,
+       coalesce(illegal, 0)::BIGINT AS illegal, coalesce(best.cost, 0)::BIGINT AS cost,
+       coalesce(best.audit, '') AS audit, sha256(coalesce(lines, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o
+LEFT JOIN counted c ON o.conv_id IS NOT DISTINCT FROM c.conv_id
+LEFT JOIN repaired r ON o.conv_id IS NOT DISTINCT FROM r.conv_id
+LEFT JOIN said s ON o.conv_id IS NOT DISTINCT FROM s.conv_id
+"""
+
+
+def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.verdicts(table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        "base_failed",
+        "n_removed",
+        "kept",
+    )
+
+
+OP12_SQL = r"""
+WITH docs AS (
+  SELECT doc_id, source, coalesce(text, '') AS text,
+         min(doc_id) OVER (PARTITION BY source, coalesce(text, '')) AS same,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), starts AS (
+  SELECT doc_id, unnest(range(1, len(w) - 3)) AS i,
+         unnest(list_transform(range(1, len(w) - 3),
+                               lambda k: array_to_string(w[k:k + 4], ' '))) AS five
+  FROM docs WHERE len(w) >= 5
+), repeated AS (
+  SELECT doc_id, i FROM starts QUALIFY count(*) OVER (PARTITION BY doc_id, five) > 1
+), covered AS (
+  SELECT doc_id, count(DISTINCT word) AS n_repeat_words
+  FROM (SELECT doc_id, unnest(range(i, i + 5)) AS word FROM repeated) GROUP BY doc_id
+), split AS (
+  SELECT doc_id, source, same, unnest(string_split(text, chr(10))) AS line FROM docs
+), lines AS (
+  SELECT *, translate(array_to_string(regexp_extract_all(line, '[^\x20\x09-\x0D]+'), ' '),
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789',
+                      'abcdefghijklmnopqrstuvwxyz0000000000') AS normal,
+         len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS words
+  FROM split WHERE regexp_matches(line, '[^\x20\x09-\x0D]')
+), hosts AS (
+  SELECT source, count(DISTINCT same) AS size FROM docs GROUP BY source
+), templates AS (
+  SELECT l.source, normal FROM lines l JOIN hosts h ON l.source IS NOT DISTINCT FROM h.source
+  GROUP BY l.source, normal, size
+  HAVING count(DISTINCT same) > 20 AND count(DISTINCT same) * 100.0 > size * 0.1
+), by_line AS (
+  SELECT doc_id, count(*) - count(DISTINCT line) AS n_dup_lines,
+         coalesce(sum(words) FILTER (t.normal IS NOT NULL), 0)::BIGINT AS n_removed
+  FROM lines l LEFT JOIN templates t
+    ON l.normal = t.normal AND l.source IS NOT DISTINCT FROM t.source
+  GROUP BY doc_id
+), counted AS (
+  SELECT doc_id, len(w) AS n_words,
+         length(regexp_replace(text, '[\x20\x09-\x0D]+', '', 'g')) AS word_chars,
+         length(regexp_replace(text, '[^#*$%&|<>]+', '', 'g')) AS n_symbols,
+         coalesce(n_dup_lines, 0)::BIGINT AS n_dup_lines,
+         coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words,
+         coalesce(n_removed, 0)::BIGINT AS n_removed
+  FROM docs LEFT JOIN by_line USING (doc_id) LEFT JOIN covered USING (doc_id)
+), judged AS (
+  SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM counted
+)
+SELECT *, NOT base_failed AND 100 * n_removed <= 50 * n_words AND n_words - n_removed >= 10 AS kept
+FROM judged
+"""
+
+
 def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
     moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
@@ -268,6 +467,8 @@ QUERIES = {
     "op8_minhash": op8_minhash,
     "op9_mixing": op9_mixing,
     "op10_simhash": op10_simhash,
+    "op11_conversation_repair": op11_conversation_repair,
+    "op12_quality_rules": op12_quality_rules,
     "op13_hard_negatives": op13_hard_negatives,
 }
 ORACLES = {
@@ -276,5 +477,7 @@ ORACLES = {
     "op6_warc": OP6_SQL,
     "op7_substring_dedup": OP7_SQL,
     "op9_mixing": OP9_SQL,
+    "op11_conversation_repair": OP11_SQL,
+    "op12_quality_rules": OP12_SQL,
     "op13_hard_negatives": OP13_SQL,
 }
