@@ -28,7 +28,7 @@ def test_all_are_registered():
     assert ORACLES.keys() <= driver.oracle_sql().keys()
     assert "pipeline" in driver.queries()
     numbers = {name.split("_")[0] for name in QUERIES}
-    assert numbers == {f"op{n}" for n in range(1, 11)}
+    assert numbers == {f"op{n}" for n in range(1, 14)}
 
 
 @pytest.mark.parametrize("name", ORACLES)
