@@ -21,6 +21,10 @@ def date_parts(ts: Column) -> dict[str, Column]:
     return {"year": F.year(ts), "month": F.month(ts), "day": F.dayofmonth(ts)}
 
 
+def from_micros(micros: int) -> datetime:
+    return datetime(1970, 1, 1, tzinfo=timezone.utc) + timedelta(microseconds=micros)
+
+
 class Mark(NamedTuple):
     high_water: datetime | None
     records: int
@@ -32,5 +36,4 @@ def read_mark(row: DataFrame) -> Mark:
     micros, records = row.select(F.unix_micros("high_water"), "records").first()
     if micros is None:
         return Mark(None, records)
-    epoch = datetime(1970, 1, 1, tzinfo=timezone.utc)
-    return Mark(epoch + timedelta(microseconds=micros), records)
+    return Mark(from_micros(micros), records)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 from uuid import uuid4
@@ -29,27 +30,34 @@ class Batch:
             raise ValueError(f"unknown mode: {self.mode}")
 
 
-def with_fields(records: DataFrame, raw: str = "raw") -> DataFrame:
+def with_fields(
+    records: DataFrame, raw: str = "raw", extra_fields: Sequence[str] = ()
+) -> DataFrame:
     """Add the source's fields as text columns, all from one parse.
 
-    A record that did not come with a source or endpoint may name them itself.
+    A record that did not come with a source or endpoint may name them itself. Extra fields
+    are NULL where a record has none.
     """
     own = F.col("_texts")
+    fields = (*REQUIRED_FIELDS, *extra_fields)
     return (
-        records.withColumn("_texts", json_texts(F.col(raw), (*REQUIRED_FIELDS, *OWN_LINEAGE)))
+        records.withColumn("_texts", json_texts(F.col(raw), (*fields, *OWN_LINEAGE)))
         .withColumns(
             {
                 "source": F.coalesce("source", own["origen_datos"]),
                 "endpoint": F.coalesce("endpoint", own["endpoint"]),
-                **{name: own[name] for name in REQUIRED_FIELDS},
+                **{name: own[name] for name in fields},
             }
         )
         .drop("_texts")
     )
 
 
-def to_bronze(fields: DataFrame, batch: Batch, raw: str = "raw") -> DataFrame:
-    """The Bronze contract: text fields, the raw record, and where it came from."""
+def to_bronze(
+    fields: DataFrame, batch: Batch, raw: str = "raw", extra_fields: Sequence[str] = ()
+) -> DataFrame:
+    """The Bronze contract: text fields, the raw record, and where it came from; extra
+    fields, if any, follow."""
     return fields.withColumns(
         {
             "raw_json": F.col(raw),
@@ -58,4 +66,4 @@ def to_bronze(fields: DataFrame, batch: Batch, raw: str = "raw") -> DataFrame:
             "modo_extraccion": F.lit(batch.mode),
             "batch_id": F.lit(batch.batch_id),
         }
-    ).select(*BRONZE.names)
+    ).select(*BRONZE.names, *extra_fields)

@@ -33,6 +33,10 @@ class Periods:
     first: int
     last: int
 
+    @property
+    def none(self) -> bool:
+        return self.first > self.last
+
     def coarser(self, parts: Sequence[str]) -> Periods:
         place = _PLACES[len(parts) - 1]
         rows = self.rows.select(*parts)

@@ -54,6 +54,38 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFra
     return merged.unionByName(clashes.select(*none))
 
 
+def changed_rows(
+    target: DataFrame, source: DataFrame, keys: Sequence[str], values: Sequence[str]
+) -> DataFrame:
+    """The source rows that :func:`upsert` would change the target by.
+
+    A row stays out if the target has its key and all its rows of that key agree with it in
+    ``values``, null-safe, by a digest of 128 bits. A column the target lacks is NULL there.
+    """
+    mine, theirs = F.col("_one"), F.col("_two")
+
+    def digested(df: DataFrame) -> DataFrame:
+        held = [F.col(v) if v in df.columns else F.lit(None).cast("string") for v in values]
+        named = [value.alias(name) for name, value in zip(values, held, strict=True)]
+        text = F.to_json(F.struct(*named), {"ignoreNullFields": "false"})
+        return df.withColumns({"_one": F.xxhash64(text), "_two": F.xxhash64(F.lit("2"), text)})
+
+    same = [F.min(c) == F.max(c) for c in (mine, theirs)]
+    known = (
+        digested(target)
+        .groupBy(*keys)
+        .agg(F.min(mine).alias("_one"), F.min(theirs).alias("_two"), (same[0] & same[1]).alias("_same"))
+        .filter("_same")
+        .select(F.struct(*keys).alias("_key"), "_one", "_two")
+    )
+    return (
+        digested(source)
+        .withColumn("_key", F.struct(*keys))
+        .join(known, ["_key", "_one", "_two"], "left_anti")
+        .select(*source.columns)
+    )
+
+
 def ambiguous_matches(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Report of the keys that make :func:`upsert` fail, with their source row counts."""
     several = (

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping, Sequence
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from strata.functions.jsontext import absent_keys, is_json, json_elements, stripped
@@ -98,16 +98,55 @@ def rejected_records(checked: DataFrame) -> DataFrame:
     return checked.filter(F.col("reject_reason").isNotNull())
 
 
+COUNTS = ("received", "valid", "discarded", "bad_payloads", "problem")
+
+
+def _counts(of: Column) -> list[Column]:
+    """Aggregates over the rows that ``of`` holds for, in the order of COUNTS."""
+    bad, reason = of & F.col("bad_payload"), F.col("reject_reason")
+    record = of & ~F.col("bad_payload")
+    return [
+        F.count_if(record),
+        F.count_if(of & reason.isNull()),
+        F.count_if(record & reason.isNotNull()),
+        F.count_if(bad),
+        F.min(F.when(bad, reason)),
+    ]
+
+
 def source_counts(checked: DataFrame, by: str | Column = "source") -> DataFrame:
     """Per source: records received, valid and discarded, and bad payloads."""
-    bad, reason = F.col("bad_payload"), F.col("reject_reason")
-    return checked.groupBy(by).agg(
-        F.count_if(~bad).alias("received"),
-        F.count_if(reason.isNull()).alias("valid"),
-        F.count_if(~bad & reason.isNotNull()).alias("discarded"),
-        F.count_if(bad).alias("bad_payloads"),
-        F.min(F.when(bad, reason)).alias("problem"),
-    )
+    counts = zip(_counts(F.lit(True)), COUNTS, strict=True)
+    return checked.groupBy(by).agg(*[count.alias(name) for count, name in counts])
+
+
+def observe_sources(
+    checked: DataFrame, seen: Observation, known: Sequence[str], *others: Column
+) -> DataFrame:
+    """Count per known source while the rows pass; :func:`observed_sources` has the result.
+
+    What came under no known source is counted too, in one. ``others`` are further
+    aggregates, observed under their own names.
+    """
+    own = [F.coalesce(F.col("source") == name, F.lit(False)) for name in known]
+    none = ~F.coalesce(F.col("source").isin(*known), F.lit(False))
+    metrics = [
+        count.alias(f"{name}_{n}")
+        for n, of in enumerate([*own, none])
+        for count, name in zip(_counts(of), COUNTS, strict=True)
+    ]
+    return checked.observe(seen, *metrics, *others)
+
+
+def observed_sources(
+    seen: Mapping[str, Any], known: Sequence[str]
+) -> dict[str | None, dict[str, Any]]:
+    """Counts by source; a source without any row is left out, an unknown one is None."""
+    counts = {
+        source: {name: seen[f"{name}_{n}"] for name in COUNTS}
+        for n, source in enumerate([*known, None])
+    }
+    return {s: own for s, own in counts.items() if own["received"] or own["bad_payloads"]}
 
 
 def expect_valid_per_source(

@@ -11,17 +11,17 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strata import model
-from strata.functions.times import Mark, parse_utc, read_mark
+from strata.functions.times import parse_utc, read_mark
 from strata.operators import validate
 from strata.operators.bronze import Batch, to_bronze, with_fields
-from strata.operators.increment import newer_than, next_high_water
-from strata.operators.periods import Periods, periods
-from strata.operators.upsert import upsert
-from strata.plans import quotes
+from strata.operators.increment import keys_at, newer_than, newer_with_ties, next_high_water
+from strata.operators.periods import Periods
+from strata.plans import merging, quotes
 from strata.session import require_session, scratch_dir
-from strata.sources import state, tables
+from strata.sources import file_marks, state, tables
 from strata.sources.landing import landed_payloads, landed_responses
 
 logger = logging.getLogger(__name__)
@@ -41,6 +41,9 @@ class Lake:
         self.quarantine = f"{root}/quarantine/quotes"
         self.state = f"{root}/metadata/extract_state"
         self.progress = f"{root}/metadata/progress"
+        self.files = f"{root}/metadata/files_read"
+        self.columns = f"{root}/metadata/bronze_columns"
+        self.tied = f"{root}/metadata/mark_keys"
 
 
 @dataclass(frozen=True)
@@ -55,6 +58,14 @@ class Options:
     nan_is_bad: bool = False
     #: A mark per source, so that a slow source loses no late record.
     mark_per_source: bool = False
+    #: An increment also takes records of the mark's very time whose keys it has not seen.
+    keep_ties: bool = False
+    #: An increment reads only files landed since the last run.
+    new_files_only: bool = True
+    #: A merge leaves rows alone that agree with the table in all but their lineage.
+    skip_unchanged: bool = True
+    #: Further fields of the source, kept in Bronze as text; the table gains their columns.
+    extra_fields: tuple[str, ...] = ()
 
 
 def read_bronze(spark: SparkSession, lake: Lake, within: Periods | None = None) -> DataFrame:
@@ -62,29 +73,63 @@ def read_bronze(spark: SparkSession, lake: Lake, within: Periods | None = None)
     return (within.select(stored) if within else stored).select(*model.BRONZE.names)
 
 
+def read_bronze_whole(spark: SparkSession, lake: Lake) -> DataFrame:
+    """Bronze with the extra fields that it has gained; NULL in rows from before."""
+    stored = tables.read_table(spark, lake.bronze, bronze_schema(spark, lake))
+    return stored.drop(*model.BRONZE_LAYOUT)
+
+
+def bronze_schema(spark: SparkSession, lake: Lake) -> T.StructType:
+    """The schema of stored Bronze, as noted when a column was gained.
+
+    Without a note the files themselves tell, which reads all their footers; the answer is
+    noted.
+    """
+    names = state.read_columns(spark, lake.columns)
+    if names is None:
+        found = merging.stored_schema(spark, lake.bronze, model.BRONZE_STORED)
+        names = [name for name in found.names if name not in model.BRONZE_STORED.names]
+        state.save_columns(spark, lake.columns, names)
+    return _with_extra(names)
+
+
+def _with_extra(names: Iterable[str]) -> T.StructType:
+    extra = [T.StructField(name, T.StringType()) for name in names]
+    return T.StructType([*model.BRONZE_STORED, *extra])
+
+
 def read_silver(spark: SparkSession, lake: Lake, within: Periods | None = None) -> DataFrame:
     stored = tables.read_table(spark, lake.silver, model.SILVER)
     return (within.select(stored) if within else stored).select(*model.SILVER.names)
 
 
-def stage_records(payloads: DataFrame, stage: str) -> DataFrame:
-    """Split, check and parse once; write the result and read it back.
+def stage_records(
+    payloads: DataFrame, stage: str, known: Sequence[str], options: Options = Options()
+) -> tuple[DataFrame, dict[str | None, dict[str, Any]]]:
+    """Split, check and parse once; write the result, read it back, and count it by source.
 
-    Later steps pass over the batch several times, and a written table survives
-    the loss of an executor.
+    Later steps pass over the batch several times, and a written table survives the loss
+    of an executor. The counts are taken as the rows are written. All rows of a source that
+    is not known, however many, are counted under None.
     """
-    checked = with_fields(validate.check_records(validate.split_payload(payloads)))
-    path = f"{stage}/records"
-    checked.write.parquet(path)
-    return payloads.sparkSession.read.schema(checked.schema).parquet(path)
-
-
-def count_sources(records: DataFrame, known: Iterable[str]) -> dict[str | None, dict[str, Any]]:
-    """Counts per known source; all others, however many, are counted under None."""
-    source = F.when(F.col("source").isin(*known), F.col("source")).alias("source")
-    counts = {row.source: row.asDict() for row in validate.source_counts(records, source).collect()}
-    logger.info("records per source: %s", counts)
-    return counts
+    checked = validate.check_records(validate.split_payload(payloads))
+    checked = with_fields(checked, extra_fields=options.extra_fields)
+    path, seen = f"{stage}/records", Observation()
+    validate.observe_sources(checked, seen, known).write.parquet(path)
+    sources = validate.observed_sources(seen.get, known)
+    logger.info("records per source: %s", sources)
+    return payloads.sparkSession.read.schema(checked.schema).parquet(path), sources
+
+
+REJECT = T.StructType(
+    [
+        T.StructField("digest", T.StringType()),
+        *[T.StructField(n, T.StringType()) for n in ("source", "endpoint", "raw")],
+        *[T.StructField(n, T.StringType()) for n in ("reject_reason", "missing")],
+        T.StructField("times", T.LongType()),
+        T.StructField("batch_id", T.StringType()),
+    ]
+)
 
 
 def quarantine(
@@ -92,56 +137,99 @@ def quarantine(
 ) -> None:
     """Keep what was rejected, whole and with the reason, beside the tables.
 
-    It is written before anything else, and a batch replaces its own folder, so neither
-    a run that stops nor a replay loses or repeats a reject.
+    It is written before anything else, so a run that stops loses no reject. A reject is
+    known by a digest of where it came from, its text and the reason; what is stored already
+    is not stored again, neither by a replay nor by a poll that brings it anew. ``times``
+    tells how often the batch that brought it first held it.
     """
-    if any(seen["discarded"] or seen["bad_payloads"] for seen in sources.values()):
-        (
-            validate.rejected_records(records)
-            .select("source", "endpoint", "raw", "reject_reason", "missing")
-            .withColumn("batch_id", F.lit(batch.batch_id))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("batch_id")
-            .parquet(lake.quarantine)
-        )
+    if not any(seen["discarded"] or seen["bad_payloads"] for seen in sources.values()):
+        return
+    spark = records.sparkSession
+    what = ["source", "endpoint", "raw", "reject_reason", "missing"]
+    text = F.to_json(F.struct(*what), {"ignoreNullFields": "false"})
+    rejects = (
+        validate.rejected_records(records)
+        .groupBy(F.sha2(text, 256).alias("digest"), *what)
+        .agg(F.count("*").alias("times"))
+    )
+    if tables.path_exists(spark, lake.quarantine):
+        stored = spark.read.schema(REJECT).parquet(lake.quarantine).select("digest")
+        rejects = rejects.join(stored, "digest", "left_anti")
+    rejects = rejects.withColumn("batch_id", F.lit(batch.batch_id)).select(*REJECT.names)
+    rejects.write.mode("append").partitionBy("batch_id").parquet(lake.quarantine)
+
+
+@dataclass(frozen=True)
+class Loaded:
+    """What a load did to Bronze."""
+
+    #: The days rewritten; None if the table is all new.
+    days: Periods | None
+    rows: int
+
+    @property
+    def changed(self) -> bool:
+        return self.days is None or not self.days.none
+
+
+#: What a merge compares: all of Bronze but the lineage of the load.
+LINEAGE = ("fecha_ingesta", "modo_extraccion", "batch_id")
+COMPARED = [name for name in model.BRONZE.names if name not in LINEAGE]
 
 
 def load_bronze(
-    spark: SparkSession, records: DataFrame, lake: Lake, batch: Batch, stage: str
-) -> Periods | None:
-    """Write the batch; returns the days it touched, None if the table is all new.
+    spark: SparkSession,
+    records: DataFrame,
+    lake: Lake,
+    batch: Batch,
+    stage: str,
+    options: Options = Options(),
+    rows: int = 0,
+) -> Loaded:
+    """Write the batch, of ``rows`` rows; returns the days it touched.
 
     A full load replaces Bronze by all records given. Otherwise the newest record of
-    each key is merged into the days it falls in. The merge is staged whole before it
-    replaces those days in place: raw rows cannot be derived again, and the staged copy
-    lets the next run finish an interrupted one.
+    each key is merged into the days it falls in, unless the table has it already. The
+    merge is staged whole before it replaces those days in place: raw rows cannot be derived
+    again, and the staged copy lets the next run finish an interrupted one.
     """
+    extra = options.extra_fields
     if batch.mode == "full" or not tables.table_exists(spark, lake.bronze):
         if batch.mode != "full":
             records = quotes.newest_snapshot(records)
         state.save_progress(spark, lake.progress, batch.batch_id, "loading")
-        incoming = quotes.with_days(to_bronze(records, batch))
+        incoming = quotes.with_days(to_bronze(records, batch, extra_fields=extra))
         tables.overwrite_table(incoming, lake.bronze, model.BRONZE_LAYOUT)
-        touched = None
+        state.save_columns(spark, lake.columns, extra)
+        loaded = Loaded(None, rows)
     else:
+        schema = bronze_schema(spark, lake)
         newest = quotes.newest_snapshot(records)
-        incoming = quotes.with_days(to_bronze(newest, batch))
-        incoming.write.parquet(f"{stage}/incoming")
-        incoming = spark.read.schema(incoming.schema).parquet(f"{stage}/incoming")
-        touched = periods(incoming, model.BRONZE_LAYOUT, f"{stage}/days")
-        stored = touched.select(tables.read_table(spark, lake.bronze, model.BRONZE_STORED))
-        merging = f"{stage}/merged"
-        tables.overwrite_table(upsert(stored, incoming, model.MERGE_KEYS), merging)
-        state.save_progress(spark, lake.progress, batch.batch_id, "loading", merging)
-        _replace_days(spark, lake, merging)
-    state.save_progress(spark, lake.progress, batch.batch_id, "bronze")
-    return touched
+        incoming = quotes.with_days(to_bronze(newest, batch, extra_fields=extra))
+        merged = merging.stage_merge(
+            incoming,
+            lake.bronze,
+            schema,
+            model.MERGE_KEYS,
+            model.BRONZE_LAYOUT,
+            stage,
+            [*COMPARED, *extra] if options.skip_unchanged else None,
+        )
+        loaded = Loaded(merged.touched, merged.rows)
+        if loaded.changed:
+            gained = [name for name in extra if name not in schema.names]
+            if gained:
+                names = [*schema.names[len(model.BRONZE_STORED) :], *gained]
+                state.save_columns(spark, lake.columns, names)
+            state.save_progress(spark, lake.progress, batch.batch_id, "loading", merged.path)
+            _replace_days(spark, lake, merged.path)
+    if loaded.changed:
+        state.save_progress(spark, lake.progress, batch.batch_id, "bronze")
+    return loaded
 
 
-def _replace_days(spark: SparkSession, lake: Lake, merging: str) -> None:
-    merged = tables.read_table(spark, merging, model.BRONZE_STORED)
-    tables.overwrite_partitions(merged, lake.bronze, model.BRONZE_LAYOUT)
+def _replace_days(spark: SparkSession, lake: Lake, path: str) -> None:
+    merging.replace_periods(spark, path, lake.bronze, model.BRONZE_LAYOUT)
 
 
 def finish_interrupted(spark: SparkSession, lake: Lake) -> bool:
@@ -247,29 +335,89 @@ def _quoted_at() -> Column:
     return parse_utc(F.col(model.QUOTE_TIME_FIELD))
 
 
-def _state_root(lake: Lake, source: str | None) -> str:
-    return lake.state if source is None else f"{lake.state}-{source}"
+def _root(root: str, source: str | None) -> str:
+    return root if source is None else f"{root}-{source}"
+
+
+@dataclass(frozen=True)
+class Reached:
+    """Where a mark moves to: its time, the batch's records, and the keys of that time."""
+
+    high_water: datetime | None
+    records: int
+    keys: DataFrame | None = None
 
 
 def take_new(
-    spark: SparkSession, records: DataFrame, lake: Lake, mode: str, marked: Sequence[str | None]
-) -> tuple[DataFrame, dict[str | None, Mark]]:
+    spark: SparkSession,
+    records: DataFrame,
+    lake: Lake,
+    mode: str,
+    marked: Sequence[str | None],
+    keep_ties: bool = False,
+) -> tuple[DataFrame, dict[str | None, Reached]]:
     """The records after their mark, and where each mark moves to.
 
     ``marked`` is [None] for one mark over all sources, or the sources with one each.
     """
+    keyed = records.withColumn("origen_datos", F.col("source"))
+    key_schema = T.StructType([model.BRONZE[name] for name in model.MERGE_KEYS])
     parts, reached = [], {}
     for source in marked:
-        own = records if source is None else records.filter(F.col("source") == source)
-        mark = None
+        own = keyed if source is None else keyed.filter(F.col("source") == source)
+        mark, seen = None, None
         if mode == "incremental":
-            mark = state.load_high_water(spark, _state_root(lake, source))
-        fresh = newer_than(own, _quoted_at(), mark)
-        parts.append(fresh)
-        reached[source] = read_mark(next_high_water(fresh, _quoted_at(), mark))
+            mark = state.load_high_water(spark, _root(lake.state, source))
+            tied = _root(lake.tied, source)
+            if keep_ties and mark is not None and tables.table_exists(spark, tied):
+                seen = tables.read_table(spark, tied, key_schema)
+        if seen is None:
+            fresh = newer_than(own, _quoted_at(), mark)
+        else:
+            fresh = newer_with_ties(own, _quoted_at(), mark, model.MERGE_KEYS, seen)
+        parts.append(fresh.drop("origen_datos"))
+        found = read_mark(next_high_water(fresh, _quoted_at(), mark))
+        keys = None
+        if keep_ties and found.high_water is not None:
+            still = seen if found.high_water == mark else None
+            keys = keys_at(fresh, _quoted_at(), found.high_water, model.MERGE_KEYS, still)
+        reached[source] = Reached(found.high_water, found.records, keys)
     return reduce(DataFrame.unionByName, parts), reached
 
 
+def read_landing(
+    spark: SparkSession,
+    landing: Mapping[str, str] | str,
+    lake: Lake,
+    endpoints: Mapping[str, str] = model.ENDPOINTS,
+    whole_payloads: bool = False,
+    new_only: bool = True,
+) -> tuple[DataFrame, set[str]]:
+    """The landed bodies, and the sources of which some were read before.
+
+    With ``new_only`` files that an earlier run has read are left out; of these Spark reads
+    at most those of the very time of the mark, to tell them by name. A lake without Bronze
+    has read nothing.
+    """
+    files = file_marks.read_files(spark, lake.files) if new_only else None
+    if files is None or not tables.table_exists(spark, lake.bronze):
+        files, marks = None, {}
+    else:
+        paths = [landing] if isinstance(landing, str) else list(landing.values())
+        marks = file_marks.file_times(files, paths)
+    if isinstance(landing, str):
+        responses = validate.check_envelope(landed_responses(spark, landing, marks))
+        payloads = responses.drop("status", "content_type", "warning")
+        before = set(endpoints) if marks else set()
+    else:
+        payloads = landed_payloads(spark, landing, whole_payloads, endpoints, marks=marks)
+        before = {source for source, path in landing.items() if path in marks}
+    if marks:
+        name = ["landing", "landed_as"]
+        payloads = payloads.join(files.select(*name), name, "left_anti")
+    return payloads, before
+
+
 def run_pipeline(
     spark: SparkSession,
     mode: str,
@@ -286,11 +434,12 @@ def run_pipeline(
 
     ``landing`` names a path of bodies per source, or one path of responses that
     carry source, status and content type. ``full`` replaces Bronze;
-    ``incremental`` merges the records newer than the stored mark, of each key the
-    newest. What is rejected goes to quarantine first; input that fails the checks
-    then stops the run before any write to the tables. An incremental run without new
-    records leaves them alone, unless an earlier run stopped before the marts were
-    done. ``keep_generations`` deletes older generations of the tables at the end.
+    ``incremental`` reads the files landed since the last run and merges the records newer
+    than the stored mark, of each key the newest. What is rejected goes to quarantine first;
+    input that fails the checks then stops the run before any write to the tables, and its
+    files count as unread. An incremental run without new records leaves the tables alone,
+    unless an earlier run stopped before the marts were done. ``keep_generations`` deletes
+    older generations of the tables at the end.
     """
     given = {"batch_id": batch_id, "ingested_at": ingested_at}
     batch = Batch(mode, **{name: value for name, value in given.items() if value is not None})
@@ -299,36 +448,34 @@ def run_pipeline(
     lake = Lake(lake_root)
     stage = scratch_dir(spark, "stage")
 
-    if isinstance(landing, str):
-        known, strict = list(endpoints), True
-        payloads = validate.check_envelope(landed_responses(spark, landing)).drop(
-            "status", "content_type", "warning"
-        )
-    else:
-        known, strict = list(landing), options.whole_payloads
-        payloads = landed_payloads(spark, landing, options.whole_payloads, endpoints)
-    records = stage_records(payloads, stage)
-    sources = count_sources(records, known)
+    known = list(endpoints) if isinstance(landing, str) else list(landing)
+    strict = isinstance(landing, str) or options.whole_payloads
+    new_only = mode == "incremental" and options.new_files_only
+    payloads, marked_sources = read_landing(
+        spark, landing, lake, endpoints, options.whole_payloads, new_only
+    )
+    required = [source for source in known if source not in marked_sources]
+    records, sources = stage_records(payloads, stage, known, options)
     quarantine(records, sources, lake, batch)
-    validate.expect_valid_per_source(sources, known, strict)
+    validate.expect_valid_per_source(sources, required, strict)
 
     up_to_date = finish_interrupted(spark, lake) if mode == "incremental" else True
     marked = known if options.mark_per_source else [None]
-    fresh, reached = take_new(spark, validate.valid_records(records), lake, mode, marked)
+    valid = validate.valid_records(records)
+    fresh, reached = take_new(spark, valid, lake, mode, marked, options.keep_ties)
     new = sum(mark.records for mark in reached.values())
-    days = load_bronze(spark, fresh, lake, batch, stage) if new else None
+    loaded = load_bronze(spark, fresh, lake, batch, stage, options, new) if new else None
     for source, mark in reached.items():
-        state.save_state(
-            spark,
-            _state_root(lake, source),
-            mark.high_water,
-            mode,
-            mark.records,
-            batch.ingested_at,
-        )
-    counts = {"extracted": new, "bronze_written": new}
-    if new or not up_to_date:
-        counts |= refresh_tables(spark, lake, days if up_to_date else None, options)
+        root = _root(lake.state, source)
+        state.save_state(spark, root, mark.high_water, mode, mark.records, batch.ingested_at)
+        if mark.keys is not None:
+            tables.overwrite_table(mark.keys, _root(lake.tied, source))
+    if sources:
+        file_marks.save_files(records, lake.files)
+    counts = {"extracted": new, "bronze_written": loaded.rows if loaded else 0}
+    if (loaded and loaded.changed) or not up_to_date:
+        days = loaded.days if loaded and up_to_date else None
+        counts |= refresh_tables(spark, lake, days, options)
     tables.drop_path(spark, stage)
     if keep_generations:
         for root in vars(lake).values():

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime, timezone
 
 from pyspark.sql import Row, SparkSession
@@ -15,6 +16,7 @@ from strata.sources.tables import overwrite_table, read_table, table_exists
 PROGRESS = T.StructType(
     [T.StructField(name, T.StringType()) for name in ("batch_id", "stage", "merging")]
 )
+COLUMNS = T.StructType([T.StructField("names", T.ArrayType(T.StringType()))])
 
 
 def _read_row(spark: SparkSession, root: str, schema: T.StructType) -> Row | None:
@@ -65,6 +67,16 @@ def save_state(
     _write_row(spark, root, STATE, (mark, QUOTE_TIME_FIELD, run_at.isoformat(), mode, records))
 
 
+def read_columns(spark: SparkSession, root: str) -> list[str] | None:
+    """The columns a table has gained beyond its contract; None if that was never noted."""
+    row = _read_row(spark, root, COLUMNS)
+    return None if row is None else list(row.names)
+
+
+def save_columns(spark: SparkSession, root: str, names: Sequence[str]) -> None:
+    _write_row(spark, root, COLUMNS, (list(names),))
+
+
 def read_progress(spark: SparkSession, root: str) -> Row | None:
     return _read_row(spark, root, PROGRESS)
 

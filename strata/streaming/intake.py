@@ -12,7 +12,6 @@ from strata.operators.bronze import Batch
 from strata.plans.medallion import (
     Lake,
     Options,
-    count_sources,
     finish_interrupted,
     load_bronze,
     quarantine,
@@ -54,17 +53,18 @@ def stream_pipeline(
         last = state.read_progress(session, lake.progress)
         applied = last and last.batch_id == batch.batch_id and last.stage != "loading"
         stage = scratch_dir(session, "stage")
-        records = stage_records(payloads, stage)
-        sources = count_sources(records, landing)
+        records, sources = stage_records(payloads, stage, list(landing), options)
         quarantine(records, sources, lake, batch)
         valid = sum(seen["valid"] for seen in sources.values())
         if valid and not applied:
-            days = load_bronze(session, validate.valid_records(records), lake, batch, stage)
-            fresh = refresh_tables(session, lake, days if up_to_date else None, options)
-            up_to_date = True
-            counts.update(fresh)
+            fresh = validate.valid_records(records)
+            loaded = load_bronze(session, fresh, lake, batch, stage, options, valid)
+            if loaded.changed or not up_to_date:
+                days = loaded.days if up_to_date else None
+                counts.update(refresh_tables(session, lake, days, options))
+                up_to_date = True
             counts["extracted"] += valid
-            counts["bronze_written"] += valid
+            counts["bronze_written"] += loaded.rows
         tables.drop_path(session, stage)
 
     query = (

@@ -3,12 +3,12 @@ from __future__ import annotations
 import json
 
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from strata.functions.jsontext import is_json
 from strata.operators import validate
 from strata.operators.bronze import Batch, to_bronze, with_fields
-from strata.plans.medallion import count_sources
 
 from tests.helpers import payloads, quote
 
@@ -20,6 +20,14 @@ def checked(spark, *rows):
     return validate.check_records(validate.split_payload(payloads(spark, *rows)))
 
 
+def count_sources(checked, known):
+    """The counts that are observed as the records are written."""
+    seen = Observation()
+    counted = validate.observe_sources(checked, seen, known)
+    counted.write.format("noop").mode("overwrite").save()
+    return validate.observed_sources(seen.get, known)
+
+
 def verdicts(df):
     return sorted((row.raw or "", row.reject_reason or "", row.missing or "") for row in df.collect())
 
