@@ -228,6 +228,10 @@ SELECT concat_ws(',', CASE WHEN bid IS NULL THEN 'no_bid' END,
   CASE WHEN isnan(bid) THEN 'nan_bid' END, CASE WHEN isnan(ask) THEN 'nan_ask' END) AS broken,
   count(*) AS n
 FROM flagged GROUP BY 1""",
+    "tags_from_table": f"""{CLEAN}
+SELECT quote_key, venue, CASE venue WHEN 'blue' THEN 'of click' WHEN 'bolsa' THEN 'of purchase'
+  WHEN 'cripto' THEN 'of signup' ELSE 'otro' END AS market_tags, raw_json
+FROM flagged""",
     "silver": f"{CLEAN} SELECT * FROM silver",
     "latest_quotes": f"{CLEAN}, {_latest('silver')} SELECT * FROM latest",
     "source_union": f"""{CLEAN}
@@ -236,6 +240,16 @@ SELECT currency, source, count(*) AS n, sum(ask) AS sum_ask FROM (
   UNION ALL SELECT * FROM flagged WHERE currency <> 'USD')
 GROUP BY 1, 2""",
     "daily_metrics": f"{CLEAN} {DAILY}",
+    "nan_prices": f"""WITH {QUOTES},
+odd AS (
+  SELECT * REPLACE (CASE WHEN compra LIKE '%.5' THEN 'NaN' ELSE venta END AS venta) FROM quotes
+),
+{_cleaned('odd')},
+counted AS (
+  SELECT * REPLACE (quality_ok AND NOT coalesce(isnan(bid) OR isnan(ask), false) AS quality_ok)
+  FROM silver
+)
+{DAILY.replace("FROM silver", "FROM counted")}""",
     "official_gap": f"{CLEAN}, {_latest('silver')} {GAP}",
     "official_gap_no_reference": f"""{CLEAN},
 others AS (SELECT * FROM silver WHERE venue <> 'oficial'), {_latest('others')}
@@ -246,6 +260,12 @@ SELECT {BRONZE} FROM quotes WHERE {QUOTED_AT} > TIMESTAMP '2024-01-15 00:00:00'"
 SELECT coalesce(max({QUOTED_AT}), TIMESTAMP '2024-01-15 00:00:00') AS high_water,
   count(*) AS records
 FROM quotes WHERE {QUOTED_AT} > TIMESTAMP '2024-01-15 00:00:00'""",
+    "newer_than_with_ties": f"""WITH {QUOTES},
+earlier AS (SELECT * FROM quotes WHERE fecha_ingesta < '2024-01-16T10:30'),
+mark AS (SELECT max({QUOTED_AT}) AS at FROM earlier)
+SELECT {BRONZE} FROM quotes s, mark
+WHERE {QUOTED_AT} > mark."at" OR ({QUOTED_AT} = mark."at" AND NOT EXISTS (
+  SELECT 1 FROM earlier t WHERE {_SAME_KEY}))""",
     "state_round_trip": f"""WITH {QUOTES}
 SELECT concat(replace(CAST(max({QUOTED_AT}) AS VARCHAR), ' ', 'T'), '+00:00') AS watermark,
   'fechaActualizacion' AS watermark_field, '2024-02-01T00:00:00+00:00' AS last_run_at,
@@ -258,6 +278,31 @@ WHERE fecha_ingesta >= '2024-01-11' AND EXISTS (
   SELECT 1 FROM quotes t WHERE t.fecha_ingesta < '2024-01-21' AND {_SAME_KEY})
 GROUP BY ALL HAVING count(*) > 1""",
     "overwrite_then_merge": f"WITH {BATCHES}, {MERGED} SELECT {BRONZE} FROM merged",
+    "merge_changed_only": """
+WITH rows AS (
+  SELECT CAST(year(o_orderdate) AS INTEGER) AS year, CAST(month(o_orderdate) AS INTEGER) AS month,
+    CAST(round(o_totalprice * 100) AS BIGINT) AS cents, o_orderkey % 997 = 0 AS new
+  FROM orders
+)
+SELECT year, month, count(*) AS orders,
+  CAST(sum(cents + CASE WHEN new THEN 1 ELSE 0 END) AS BIGINT) AS cents,
+  count(*) FILTER (new) AS changed, bool_or(new) AS rewritten
+FROM rows GROUP BY 1, 2""",
+    "evolving_merge": """
+WITH rows AS (
+  SELECT event_id, user_id, event_type, value, CAST(year(ts) AS INTEGER) AS year,
+    CAST(month(ts) AS INTEGER) AS month, CAST(day(ts) AS INTEGER) AS day
+  FROM events
+),
+marked AS (
+  SELECT *, event_id % 3 <> 0 AS old,
+    day >= 15 AND (event_id % 3 = 0 OR event_id % 2 = 0) AS new
+  FROM rows
+)
+SELECT event_id, CASE WHEN old THEN user_id END AS user_id,
+  CASE WHEN new THEN upper(event_type) ELSE event_type END AS event_type,
+  CASE WHEN new THEN value END AS value, year, month, day
+FROM marked WHERE old OR new""",
     "partitioned_round_trip": f"{CLEAN} SELECT * FROM silver",
     "partition_rebuild": """
 SELECT event_id, CASE WHEN day(ts) = 7 THEN value * 2 ELSE value END AS value,
@@ -309,12 +354,29 @@ SELECT concat(replace(CAST(max({QUOTED_AT}) AS VARCHAR), ' ', 'T'), '+00:00') AS
   'incremental' AS last_mode, 0::BIGINT AS last_records
 FROM quotes""",
     "quarantined_records": f"""WITH {PAYLOADS}
-SELECT source, replace(raw, chr(10), ' ') AS raw, reject_reason, missing, batch_id
-FROM bad, (VALUES ('r0'), ('r1')) AS runs(batch_id)""",
+SELECT source, replace(raw, chr(10), ' ') AS raw, reject_reason, missing, count(*) AS times,
+  'r0' AS batch_id
+FROM bad GROUP BY ALL""",
     "incremental_refresh": f"WITH {INCREMENT} {DAILY}",
     "incremental_silver": f"WITH {INCREMENT} SELECT * FROM silver",
     "incremental_latest": f"WITH {INCREMENT} SELECT * FROM latest",
     "incremental_gap": f"WITH {INCREMENT} {GAP}",
+    "incremental_new_files": f"""WITH {LANDED}
+SELECT origen_datos AS source, endpoint, raw_json AS body FROM lines WHERE seen >= '2024-01-21'""",
+    "marks_per_source": f"""WITH {LANDED},
+first_load AS (
+  SELECT * REPLACE ('2024-02-01T00:00:00+00:00' AS fecha_ingesta, 'r0' AS batch_id) FROM lines
+  WHERE seen < CASE WHEN origen_datos = 'dolares' THEN '2024-01-21' ELSE '2024-01-11' END
+),
+marks AS (SELECT origen_datos AS source, max({QUOTED_AT}) AS reached FROM first_load GROUP BY 1),
+second_load AS (
+  SELECT * EXCLUDE (source, reached) REPLACE ('2024-02-02T00:00:00+00:00' AS fecha_ingesta,
+    'r1' AS batch_id, 'incremental' AS modo_extraccion)
+  FROM lines JOIN marks ON source = origen_datos AND {QUOTED_AT} > reached
+  WHERE seen >= '2024-01-11'
+),
+bronze AS (SELECT * FROM first_load UNION ALL SELECT * FROM second_load),
+{_cleaned('bronze')} SELECT * FROM silver""",
     "stream_repeated_snapshots": f"""WITH {QUOTES},
 polls AS (
   SELECT * FROM (VALUES (0, '2024-01-01', '2024-01-15'), (1, '2024-01-08', '2024-01-22'),

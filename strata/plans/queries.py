@@ -12,11 +12,11 @@ from strata import model
 from strata.functions.times import parse_utc, read_mark
 from strata.operators import clean, marts, validate
 from strata.operators.bronze import Batch, to_bronze, with_fields
-from strata.operators.increment import newer_than, next_high_water
+from strata.operators.increment import keys_at, newer_than, newer_with_ties, next_high_water
 from strata.operators.rank import latest_per_key
 from strata.operators.periods import periods
 from strata.operators.upsert import ambiguous_matches, upsert
-from strata.plans import medallion, quotes
+from strata.plans import medallion, merging, quotes
 from strata.session import require_session, scratch_dir
 from strata.sources import state, tables
 from strata.sources.event_quotes import event_quotes, read_events
@@ -101,6 +101,23 @@ def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain_times(quotes.build_silver(_quotes(spark, sf_dir)))
 
 
+def tags_from_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Market tags from a table, made of the event types; some venues have none in it."""
+    kinds = _table(spark, sf_dir, "events").select("event_type").distinct()
+    names = {"click": "blue", "purchase": "bolsa", "signup": "cripto"}
+    value = F.coalesce(*[F.when(F.col("event_type") == k, v) for k, v in names.items()])
+    tags = kinds.select(value.alias("value"), F.concat(F.lit("of "), "event_type").alias("tag"))
+    flagged = quotes.flagged_quotes(_quotes(spark, sf_dir), tags.filter("value IS NOT NULL"))
+    return flagged.select("quote_key", "venue", "market_tags", "raw_json")
+
+
+def nan_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily metrics where quotes with a NaN price count as bad."""
+    ask = F.when(F.col("compra").endswith(".5"), "NaN").otherwise(F.col("venta"))
+    rows = _quotes(spark, sf_dir).withColumn("venta", ask)
+    return quotes.daily_metrics(quotes.valid_quotes(quotes.build_silver(rows, nan_is_bad=True)))
+
+
 def _valid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quotes.valid_quotes(quotes.build_silver(_quotes(spark, sf_dir)))
 
@@ -154,6 +171,19 @@ def high_water(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain_times(next_high_water(fresh, _quoted_at(), MARK))
 
 
+#: Between two polls of one hour, in which many quotes share a time.
+BETWEEN_POLLS = "2024-01-16T10:30"
+
+
+def newer_than_with_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All quotes against the mark of an earlier poll, and the keys it saw at that time."""
+    rows = _quotes(spark, sf_dir)
+    earlier = rows.filter(F.col("fecha_ingesta") < BETWEEN_POLLS)
+    mark = read_mark(next_high_water(earlier, _quoted_at(), None)).high_water
+    seen = keys_at(earlier, _quoted_at(), mark, model.MERGE_KEYS)
+    return newer_with_ties(rows, _quoted_at(), mark, model.MERGE_KEYS, seen)
+
+
 def state_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two saves: the second batch has no readable time and keeps the mark."""
     rows = _quotes(spark, sf_dir)
@@ -202,6 +232,68 @@ def overwrite_then_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.read_table(spark, root, model.BRONZE)
 
 
+def _files(spark: SparkSession, root: str) -> DataFrame:
+    path = tables.table_path(spark, root)
+    return spark.read.parquet(path).select(F.col("_metadata.file_path").alias("file")).distinct()
+
+
+def merge_changed_only(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All orders come again, few with a new price: the months, and which were rewritten."""
+    root, layout = scratch_dir(spark, "orders"), ["year", "month"]
+    price = F.round(F.col("o_totalprice") * 100).cast("long")
+    orders = _table(spark, sf_dir, "orders").select(
+        "o_orderkey",
+        "o_orderstatus",
+        price.alias("cents"),
+        F.lit("first").alias("load"),
+        F.year("o_orderdate").alias("year"),
+        F.month("o_orderdate").alias("month"),
+    )
+    tables.overwrite_table(orders, root, layout)
+    before = _stored(_files(spark, root))
+    again = F.when(F.col("o_orderkey") % 997 == 0, F.col("cents") + 1).otherwise(F.col("cents"))
+    batch = orders.withColumns({"cents": again, "load": F.lit("second")})
+    compare = ["o_orderstatus", "cents"]
+    stage = scratch_dir(spark, "merge")
+    merging.merge_into(batch, root, orders.schema, ["o_orderkey"], layout, stage, compare)
+    stored = tables.read_table(spark, root, orders.schema).withColumn(
+        "file", F.col("_metadata.file_path")
+    )
+    kept = before.withColumn("kept", F.lit(True))
+    return (
+        stored.join(kept, "file", "left")
+        .groupBy(*layout)
+        .agg(
+            F.count("*").alias("orders"),
+            F.sum("cents").alias("cents"),
+            F.count_if(F.col("load") == "second").alias("changed"),
+            F.bool_or(F.col("kept").isNull()).alias("rewritten"),
+        )
+    )
+
+
+def evolving_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stored table gains a column in its second batch, which lacks one that it has."""
+    root, layout = scratch_dir(spark, "evolving"), ["year", "month", "day"]
+    events = _table(spark, sf_dir, "events").select(
+        "event_id",
+        "user_id",
+        "event_type",
+        "value",
+        F.year("ts").alias("year"),
+        F.month("ts").alias("month"),
+        F.dayofmonth("ts").alias("day"),
+    )
+    first = events.filter("event_id % 3 <> 0").drop("value")
+    tables.overwrite_table(first, root, layout)
+    second = events.filter("day >= 15 AND (event_id % 3 = 0 OR event_id % 2 = 0)")
+    second = second.drop("user_id").withColumn("event_type", F.upper("event_type"))
+    stage = scratch_dir(spark, "merge")
+    merging.merge_into(second, root, first.schema, ["event_id"], layout, stage)
+    grown = merging.stored_schema(spark, root, first.schema)
+    return tables.read_table(spark, root, grown)
+
+
 def partitioned_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_dir(spark, "silver")
     built = quotes.build_silver(_quotes(spark, sf_dir))
@@ -400,7 +492,11 @@ def _landed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _run(
-    spark: SparkSession, batch: Batch, landing: dict[str, str], lake: str
+    spark: SparkSession,
+    batch: Batch,
+    landing: dict[str, str],
+    lake: str,
+    options: medallion.Options | None = None,
 ) -> dict[str, int]:
     return medallion.run_pipeline(
         spark,
@@ -409,6 +505,7 @@ def _run(
         lake,
         batch_id=batch.batch_id,
         ingested_at=batch.ingested_at,
+        options=options,
     )
 
 
@@ -463,23 +560,52 @@ def incremental_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain_times(tables.read_table(spark, latest, model.LATEST))
 
 
+def incremental_new_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What an increment reads of a landing folder that has grown since a full load."""
+    folder = scratch_dir(spark, "grown")
+    lines = _landed_lines(spark, sf_dir)
+    landing = _land(lines.filter(F.col("fecha_ingesta") < FIRST_UNTIL), f"{folder}/landing")
+    _run(spark, FIRST_LOAD, landing, folder)
+    _land(lines.filter(F.col("fecha_ingesta") >= FIRST_UNTIL), f"{folder}/landing")
+    payloads, _ = medallion.read_landing(spark, landing, medallion.Lake(folder))
+    return payloads.select("source", "endpoint", "body")
+
+
+def marks_per_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver after an increment with a mark per source; one source lags behind."""
+    folder = scratch_dir(spark, "marks")
+    lines = _landed_lines(spark, sf_dir)
+    until = F.when(F.col("origen_datos") == "dolares", FIRST_UNTIL).otherwise(SECOND_FROM)
+    first = lines.filter(F.col("fecha_ingesta") < until)
+    second = latest_per_key(
+        lines.filter(F.col("fecha_ingesta") >= SECOND_FROM),
+        model.MERGE_KEYS,
+        [F.col("line").desc()],
+    )
+    options = medallion.Options(mark_per_source=True)
+    _run(spark, FIRST_LOAD, _land(first, f"{folder}/landing0"), folder, options)
+    _run(spark, SECOND_LOAD, _land(second, f"{folder}/landing1"), folder, options)
+    return _plain_times(medallion.read_silver(spark, medallion.Lake(folder)))
+
+
 def incremental_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
     gap = _after_increment(spark, sf_dir).gap
     return _plain_times(tables.read_table(spark, gap, model.GAP))
 
 
 def quarantined_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Quarantine after a full run, an increment with nothing new, and its replay."""
+    """Quarantine after a full run, a second one over the same files, and its replay."""
     folder = scratch_dir(spark, "quarantine")
     one_line = F.translate("body", "\n", " ")
     lines = _payloads(spark, sf_dir).select(
         F.col("source").alias("origen_datos"), one_line.alias("line")
     )
     landing = _land(lines, f"{folder}/landing")
+    options = medallion.Options(new_files_only=False)
     for batch in (FIRST_LOAD, SECOND_LOAD, SECOND_LOAD):
-        _run(spark, batch, landing, folder)
-    stored = spark.read.parquet(medallion.Lake(folder).quarantine)
-    return stored.select("source", "raw", "reject_reason", "missing", "batch_id")
+        _run(spark, batch, landing, folder, options)
+    stored = spark.read.schema(medallion.REJECT).parquet(medallion.Lake(folder).quarantine)
+    return stored.select("source", "raw", "reject_reason", "missing", "times", "batch_id")
 
 
 def stream_available_now(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -596,18 +722,23 @@ QUERIES: dict[str, Query] = {
     "quote_key": quote_key,
     "quality_summary": quality_summary,
     "quality_rules": quality_rules,
+    "tags_from_table": tags_from_table,
     "silver": silver,
     "latest_quotes": latest_quotes,
     "source_union": source_union,
     "daily_metrics": daily_metrics,
+    "nan_prices": nan_prices,
     "official_gap": official_gap,
     "official_gap_no_reference": official_gap_no_reference,
     "newer_than": newer_quotes,
     "high_water": high_water,
+    "newer_than_with_ties": newer_than_with_ties,
     "state_round_trip": state_round_trip,
     "upsert_quotes": upsert_quotes,
     "upsert_duplicate_matches": upsert_duplicate_matches,
     "overwrite_then_merge": overwrite_then_merge,
+    "evolving_merge": evolving_merge,
+    "merge_changed_only": merge_changed_only,
     "partitioned_round_trip": partitioned_round_trip,
     "partition_rebuild": partition_rebuild,
     "many_months_rebuild": many_months_rebuild,
@@ -626,6 +757,8 @@ QUERIES: dict[str, Query] = {
     "incremental_silver": incremental_silver,
     "incremental_latest": incremental_latest,
     "incremental_gap": incremental_gap,
+    "marks_per_source": marks_per_source,
+    "incremental_new_files": incremental_new_files,
     "stream_available_now": stream_available_now,
     "stream_repeated_snapshots": stream_repeated_snapshots,
     "latest_order_per_customer": latest_order_per_customer,
