@@ -8,10 +8,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+def upsert(
+    target: DataFrame, source: DataFrame, keys: Sequence[str], null_safe: bool = True
+) -> DataFrame:
     """Update target rows whose key the source has, insert the source's other rows.
 
-    Keys compare null-safe, as structs. All target rows of a matched key are
+    Keys compare null-safe, as structs; a single key that is never NULL may do without, and
+    keeps the partitioning that a bucketed table has by it. All target rows of a matched key are
     updated, all unmatched source rows inserted, and the plan fails when several
     source rows match one target row. Columns of only one side are kept, NULL
     where the other side has none.
@@ -22,12 +25,17 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFra
     grouping by columns keeps its aggregates hash aggregates.
     """
     columns = target.columns + [c for c in source.columns if c not in target.columns]
-    key = F.struct(*keys).alias("_key")
+    if not null_safe and len(keys) > 1:
+        raise ValueError("only a single key can do without null-safe comparison")
+    key = (F.struct(*keys) if null_safe else F.col(keys[0])).alias("_key")
     old, new = target.select("*", key), source.select("*", key)
 
     several = source.groupBy(*keys).agg(F.count("*").alias("_n")).filter("_n > 1").select(key, "_n")
     ambiguous = F.raise_error(
-        F.concat(F.lit("several source rows match the key "), F.to_json("_key"))
+        F.concat(
+            F.lit("several source rows match the key "),
+            F.to_json("_key") if null_safe else F.col("_key").cast("string"),
+        )
     )
     # An outer join, as the optimizer would move the check before any other.
     clashes = (

@@ -64,6 +64,9 @@ class Options:
     new_files_only: bool = True
     #: A merge leaves rows alone that agree with the table in all but their lineage.
     skip_unchanged: bool = True
+    #: A stream drops records that repeat what it last saw of their key, by a state store.
+    #: The choice is part of the stream's plan: it holds for the life of a checkpoint.
+    drop_repeats: bool = False
     #: Further fields of the source, kept in Bronze as text; the table gains their columns.
     extra_fields: tuple[str, ...] = ()
 
@@ -103,22 +106,26 @@ def read_silver(spark: SparkSession, lake: Lake, within: Periods | None = None)
     return (within.select(stored) if within else stored).select(*model.SILVER.names)
 
 
+def checked_records(payloads: DataFrame, options: Options = Options()) -> DataFrame:
+    """Landed bodies as records, each with its fields and, if it is rejected, the reason."""
+    checked = validate.check_records(validate.split_payload(payloads))
+    return with_fields(checked, extra_fields=options.extra_fields)
+
+
 def stage_records(
-    payloads: DataFrame, stage: str, known: Sequence[str], options: Options = Options()
+    checked: DataFrame, stage: str, known: Sequence[str]
 ) -> tuple[DataFrame, dict[str | None, dict[str, Any]]]:
-    """Split, check and parse once; write the result, read it back, and count it by source.
+    """Write checked records, read them back, and count them by source.
 
     Later steps pass over the batch several times, and a written table survives the loss
     of an executor. The counts are taken as the rows are written. All rows of a source that
     is not known, however many, are counted under None.
     """
-    checked = validate.check_records(validate.split_payload(payloads))
-    checked = with_fields(checked, extra_fields=options.extra_fields)
     path, seen = f"{stage}/records", Observation()
     validate.observe_sources(checked, seen, known).write.parquet(path)
     sources = validate.observed_sources(seen.get, known)
     logger.info("records per source: %s", sources)
-    return payloads.sparkSession.read.schema(checked.schema).parquet(path), sources
+    return checked.sparkSession.read.schema(checked.schema).parquet(path), sources
 
 
 REJECT = T.StructType(
@@ -455,7 +462,7 @@ def run_pipeline(
         spark, landing, lake, endpoints, options.whole_payloads, new_only
     )
     required = [source for source in known if source not in marked_sources]
-    records, sources = stage_records(payloads, stage, known, options)
+    records, sources = stage_records(checked_records(payloads, options), stage, known)
     quarantine(records, sources, lake, batch)
     validate.expect_valid_per_source(sources, required, strict)
 

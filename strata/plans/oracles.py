@@ -278,6 +278,7 @@ WHERE fecha_ingesta >= '2024-01-11' AND EXISTS (
   SELECT 1 FROM quotes t WHERE t.fecha_ingesta < '2024-01-21' AND {_SAME_KEY})
 GROUP BY ALL HAVING count(*) > 1""",
     "overwrite_then_merge": f"WITH {BATCHES}, {MERGED} SELECT {BRONZE} FROM merged",
+    "bucketed_merge": f"WITH {BATCHES}, {MERGED} SELECT {BRONZE} FROM merged",
     "merge_changed_only": """
 WITH rows AS (
   SELECT CAST(year(o_orderdate) AS INTEGER) AS year, CAST(month(o_orderdate) AS INTEGER) AS month,
@@ -394,6 +395,21 @@ kept AS (
 SELECT {TEXTS}, CAST(json_object({_PAIRS}) AS VARCHAR) AS raw_json, origen_datos, endpoint,
   'incremental' AS modo_extraccion
 FROM kept""",
+    "stream_unchanged_poll": f"""WITH {QUOTES},
+first_poll AS (
+  SELECT * FROM quotes WHERE fecha_ingesta BETWEEN '2024-01-01' AND '2024-01-15' {_NEWEST}
+),
+second_poll AS (
+  SELECT * FROM quotes WHERE fecha_ingesta BETWEEN '2024-01-08' AND '2024-01-22' {_NEWEST}
+),
+taken AS (
+  SELECT (SELECT count(*) FROM first_poll) AS first, (SELECT count(*) FROM second_poll s
+    WHERE NOT EXISTS (SELECT 1 FROM first_poll t WHERE {_SAME_KEY}
+      AND t.nombre IS NOT DISTINCT FROM s.nombre AND t.compra IS NOT DISTINCT FROM s.compra
+      AND t.venta IS NOT DISTINCT FROM s.venta)) AS second
+)
+SELECT 0::INTEGER AS poll, first AS extracted, first AS bronze_written FROM taken
+UNION ALL SELECT 1, second, second FROM taken UNION ALL SELECT 2, 0, 0""",
     "stream_available_now": f"""WITH {BATCHES}, {MERGED}
 SELECT {TEXTS}, CAST(json_object({_PAIRS}) AS VARCHAR) AS raw_json, origen_datos, endpoint,
   'incremental' AS modo_extraccion

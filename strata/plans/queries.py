@@ -18,7 +18,7 @@ from strata.operators.periods import periods
 from strata.operators.upsert import ambiguous_matches, upsert
 from strata.plans import medallion, merging, quotes
 from strata.session import require_session, scratch_dir
-from strata.sources import state, tables
+from strata.sources import bucketed, state, tables
 from strata.sources.event_quotes import event_quotes, read_events
 from strata.sources.landing import landed_payloads, landed_responses
 from strata.streaming.intake import stream_pipeline
@@ -294,6 +294,17 @@ def evolving_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.read_table(spark, root, grown)
 
 
+def bucketed_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """:func:`upsert_quotes` of a table in buckets by the merge key."""
+    first, second = _overlapping_batches(spark, sf_dir)
+    path = scratch_dir(spark, "quotes")
+    name = "quotes_" + path.rsplit("-", 1)[1]
+    bucketed.create(first, name, model.MERGE_KEYS, buckets=8, path=path)
+    after = f"{name}_merged"
+    bucketed.merge(spark, name, second, model.MERGE_KEYS, after, f"{path}-merged")
+    return bucketed.read(spark, after)
+
+
 def partitioned_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_dir(spark, "silver")
     built = quotes.build_silver(_quotes(spark, sf_dir))
@@ -642,6 +653,29 @@ def stream_repeated_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bronze.drop("fecha_ingesta", "batch_id")
 
 
+def _poll(spark: SparkSession, sf_dir: str, start: str, end: str) -> DataFrame:
+    """The newest line per key of what was ingested in a span."""
+    newest = [F.col("fecha_ingesta").desc(), F.col("raw_json").desc()]
+    line = F.to_json(F.struct(*model.REQUIRED_FIELDS), {"ignoreNullFields": "false"})
+    seen = F.col("fecha_ingesta").between(start, end)
+    rows = _quotes(spark, sf_dir).filter(seen)
+    return latest_per_key(rows, model.MERGE_KEYS, newest).withColumn("line", line)
+
+
+def stream_unchanged_poll(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What three runs take and write: a poll, one that overlaps it, and the same again."""
+    folder = scratch_dir(spark, "unchanged")
+    options = medallion.Options(drop_repeats=True)
+    told = []
+    for number, (start, end) in enumerate((POLLS[0], POLLS[1], POLLS[1])):
+        landing = _land(_poll(spark, sf_dir, start, end), f"{folder}/landing")
+        counts = stream_pipeline(
+            spark, landing, folder, f"{folder}/checkpoint", options=options
+        )
+        told.append((number, counts["extracted"], counts["bronze_written"]))
+    return spark.createDataFrame(told, "poll int, extracted long, bronze_written long")
+
+
 # --- The same operators on other tables ---------------------------------------
 
 
@@ -737,6 +771,7 @@ QUERIES: dict[str, Query] = {
     "upsert_quotes": upsert_quotes,
     "upsert_duplicate_matches": upsert_duplicate_matches,
     "overwrite_then_merge": overwrite_then_merge,
+    "bucketed_merge": bucketed_merge,
     "evolving_merge": evolving_merge,
     "merge_changed_only": merge_changed_only,
     "partitioned_round_trip": partitioned_round_trip,
@@ -761,6 +796,7 @@ QUERIES: dict[str, Query] = {
     "incremental_new_files": incremental_new_files,
     "stream_available_now": stream_available_now,
     "stream_repeated_snapshots": stream_repeated_snapshots,
+    "stream_unchanged_poll": stream_unchanged_poll,
     "latest_order_per_customer": latest_order_per_customer,
     "order_upsert": order_upsert,
     "merge_duplicate_keys": merge_duplicate_keys,

@@ -4,14 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from strata import model
 from strata.operators import validate
 from strata.operators.bronze import Batch
 from strata.plans.medallion import (
+    COMPARED,
     Lake,
     Options,
+    checked_records,
     finish_interrupted,
     load_bronze,
     quarantine,
@@ -21,6 +24,26 @@ from strata.plans.medallion import (
 from strata.session import require_session, scratch_dir
 from strata.sources import state, tables
 from strata.sources.landing import landed_payloads
+from strata.streaming.repeats import drop_repeats
+
+
+def changed_records(records: DataFrame, options: Options) -> DataFrame:
+    """Drop the records of a stream that repeat what it last saw of their key.
+
+    A record's key is that of the merge, a reject's its text and the reason.
+    """
+
+    def text(*columns: str) -> Column:
+        return F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})
+
+    keys = [name for name in model.MERGE_KEYS if name != "origen_datos"]
+    reason = F.col("reject_reason")
+    key = F.when(reason.isNull(), text("source", *keys)).otherwise(
+        text("source", "raw", "reject_reason")
+    )
+    fields = [name for name in COMPARED if name in records.columns]
+    value = text(*fields, "endpoint", "raw", *options.extra_fields)
+    return drop_repeats(records, key, value, ["landed_at", "landed_as", "raw"])
 
 
 def stream_pipeline(
@@ -35,7 +58,9 @@ def stream_pipeline(
     """Merge all files landed since the last run, and refresh the months they touch.
 
     The checkpoint remembers the files read, in place of the high-water mark. Polls
-    repeat unchanged quotes, so of each key the record landed last counts. A body that
+    repeat unchanged quotes, so of each key the record landed last counts, and what agrees
+    with the table changes nothing; with ``drop_repeats`` a state store keeps such records
+    out of the batch. A body that
     cannot be read, or holds nothing, goes to quarantine and the stream goes on. A batch
     replayed after a crash carries the same id: its rejects are not repeated, and it is
     not applied twice.
@@ -46,14 +71,14 @@ def stream_pipeline(
     up_to_date = finish_interrupted(spark, lake)
     counts = {"extracted": 0, "bronze_written": 0}
 
-    def load(payloads: DataFrame, epoch: int) -> None:
+    def load(checked: DataFrame, epoch: int) -> None:
         nonlocal up_to_date
-        session = payloads.sparkSession
+        session = checked.sparkSession
         batch = Batch("incremental", batch_id=f"{checkpoint.rstrip('/')}#{epoch}")
         last = state.read_progress(session, lake.progress)
         applied = last and last.batch_id == batch.batch_id and last.stage != "loading"
         stage = scratch_dir(session, "stage")
-        records, sources = stage_records(payloads, stage, list(landing), options)
+        records, sources = stage_records(checked, stage, list(landing))
         quarantine(records, sources, lake, batch)
         valid = sum(seen["valid"] for seen in sources.values())
         if valid and not applied:
@@ -67,9 +92,12 @@ def stream_pipeline(
             counts["bronze_written"] += loaded.rows
         tables.drop_path(session, stage)
 
+    payloads = landed_payloads(spark, landing, options.whole_payloads, endpoints, stream=True)
+    records = checked_records(payloads, options)
+    if options.drop_repeats:
+        records = changed_records(records, options)
     query = (
-        landed_payloads(spark, landing, options.whole_payloads, endpoints, stream=True)
-        .writeStream.foreachBatch(load)
+        records.writeStream.foreachBatch(load)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
