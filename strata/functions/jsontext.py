@@ -25,29 +25,40 @@ def json_elements(body: Column) -> Column:
     return F.when(stripped(body).startswith("["), F.from_json(body, "array<string>"))
 
 
+#: JSON as it is defined; Spark by itself also takes NaN and single quotes.
+_STRICT = {"allowNonNumericNumbers": "false", "allowSingleQuotes": "false"}
+
+
 def is_json(body: Column) -> Column:
-    """Whether the whole text is one JSON value.
+    """Whether the whole text is one JSON value; one parse.
 
-    Spark's parsers stop after the first value, so ``{} junk`` would pass. The text is
-    tried as the one element of an array and as a member of an object with a member
-    after it. Text after the value would have to go on as either frame allows: a closing
-    bracket breaks the object, a closing brace or a named member breaks the array.
+    Spark's parsers stop after the first value, so ``{} junk`` would pass. The text is tried
+    as the first of two elements of an array; the second one is the text's own hash, which
+    text after a first value cannot bring along.
     """
-    element = F.from_json(F.concat(F.lit("["), body, F.lit("]")), "array<string>")
-    framed = F.concat(F.lit('{"value":'), body, F.lit(',"after":0}'))
-    member = F.json_object_keys(framed) == F.array(F.lit("value"), F.lit("after"))
-    return F.coalesce((F.size(element) == 1) & member, F.lit(False))
+    mark = F.xxhash64(body).cast("string")
+    framed = F.concat(F.lit("["), body, F.lit(","), mark, F.lit("]"))
+    parts = F.from_json(framed, "array<string>", _STRICT)
+    return F.coalesce((F.size(parts) == 2) & (F.get(parts, F.lit(1)) == mark), F.lit(False))
+
+
+def json_members(record: Column) -> Column:
+    """The members of a JSON object, as a map of texts; NULL if the text is no object."""
+    return F.from_json(record, "map<string,string>", _STRICT)
 
 
-def absent_keys(record: Column, required: Sequence[str]) -> Column:
-    """Required keys the object lacks; NULL if the text is no object.
+def absent_keys(members: Column, required: Sequence[str]) -> Column:
+    """Required keys that an object's members lack; NULL without an object.
 
     A key holding an explicit null is present.
     """
     wanted = F.array(*[F.lit(name) for name in required])
-    return F.array_except(wanted, F.json_object_keys(record))
+    return F.array_except(wanted, F.map_keys(members))
 
 
-def json_texts(record: Column, fields: Sequence[str]) -> Column:
-    """A struct of the named members as text, from one parse of the record."""
-    return F.from_json(record, ", ".join(f"`{name}` string" for name in fields))
+def member_texts(members: Column, fields: Sequence[str]) -> dict[str, Column]:
+    """The named members as text. Of a name that an object holds twice the last one counts."""
+    keys, values = F.reverse(F.map_keys(members)), F.reverse(F.map_values(members))
+    return {
+        name: F.get(values, (F.array_position(keys, name) - 1).cast("int")) for name in fields
+    }

@@ -10,7 +10,7 @@ from uuid import uuid4
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.functions.jsontext import json_texts
+from strata.functions.jsontext import json_members, member_texts
 from strata.model import BRONZE, REQUIRED_FIELDS
 
 MODES = ("full", "incremental")
@@ -31,26 +31,29 @@ class Batch:
 
 
 def with_fields(
-    records: DataFrame, raw: str = "raw", extra_fields: Sequence[str] = ()
+    records: DataFrame,
+    raw: str = "raw",
+    extra_fields: Sequence[str] = (),
+    members: str | None = None,
 ) -> DataFrame:
     """Add the source's fields as text columns, all from one parse.
 
-    A record that did not come with a source or endpoint may name them itself. Extra fields
-    are NULL where a record has none.
+    A column ``members`` that holds the parsed record saves the parse, and goes. A record
+    that did not come with a source or endpoint may name them itself. Extra fields are NULL
+    where a record has none.
     """
-    own = F.col("_texts")
     fields = (*REQUIRED_FIELDS, *extra_fields)
-    return (
-        records.withColumn("_texts", json_texts(F.col(raw), (*fields, *OWN_LINEAGE)))
-        .withColumns(
-            {
-                "source": F.coalesce("source", own["origen_datos"]),
-                "endpoint": F.coalesce("endpoint", own["endpoint"]),
-                **{name: own[name] for name in fields},
-            }
-        )
-        .drop("_texts")
-    )
+    parsed = members or "_members"
+    if not members:
+        records = records.withColumn(parsed, json_members(F.col(raw)))
+    own = member_texts(F.col(parsed), (*fields, *OWN_LINEAGE))
+    return records.withColumns(
+        {
+            "source": F.coalesce("source", own["origen_datos"]),
+            "endpoint": F.coalesce("endpoint", own["endpoint"]),
+            **{name: own[name] for name in fields},
+        }
+    ).drop(parsed)
 
 
 def to_bronze(

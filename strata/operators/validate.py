@@ -8,7 +8,13 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from strata.functions.jsontext import absent_keys, is_json, json_elements, stripped
+from strata.functions.jsontext import (
+    absent_keys,
+    is_json,
+    json_elements,
+    json_members,
+    stripped,
+)
 from strata.model import REQUIRED_FIELDS
 
 
@@ -63,12 +69,18 @@ def split_payload(payloads: DataFrame, body: str = "body") -> DataFrame:
     )
 
 
-def check_records(records: DataFrame, required: Sequence[str] = REQUIRED_FIELDS) -> DataFrame:
+def check_records(
+    records: DataFrame, required: Sequence[str] = REQUIRED_FIELDS, members: str | None = None
+) -> DataFrame:
     """Judge split payloads: ``reject_reason`` (NULL if valid), ``missing``, the
-    absent keys, and ``bad_payload``, which is not a record but a whole payload."""
-    absent = F.col("_absent")
-    return (
-        records.withColumn("_absent", absent_keys(F.col("raw"), required))
+    absent keys, and ``bad_payload``, which is not a record but a whole payload.
+
+    A column named ``members`` keeps the parsed record for later steps.
+    """
+    absent, parsed = F.col("_absent"), members or "_members"
+    checked = (
+        records.withColumn(parsed, json_members(F.col("raw")))
+        .withColumn("_absent", absent_keys(F.col(parsed), required))
         .withColumn(
             "reject_reason",
             F.coalesce(
@@ -88,6 +100,7 @@ def check_records(records: DataFrame, required: Sequence[str] = REQUIRED_FIELDS)
         )
         .drop("payload_reason", "_absent")
     )
+    return checked if members else checked.drop(parsed)
 
 
 def valid_records(checked: DataFrame) -> DataFrame:

@@ -108,8 +108,8 @@ def read_silver(spark: SparkSession, lake: Lake, within: Periods | None = None)
 
 def checked_records(payloads: DataFrame, options: Options = Options()) -> DataFrame:
     """Landed bodies as records, each with its fields and, if it is rejected, the reason."""
-    checked = validate.check_records(validate.split_payload(payloads))
-    return with_fields(checked, extra_fields=options.extra_fields)
+    checked = validate.check_records(validate.split_payload(payloads), members="members")
+    return with_fields(checked, extra_fields=options.extra_fields, members="members")
 
 
 def stage_records(
