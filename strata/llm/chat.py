@@ -28,6 +28,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -103,6 +104,24 @@ def loss_mask(
     return mask, found
 
 
+#: Bytes of text that are encoded at a time; a longer conversation is encoded alone.
+_CHUNK = 1 << 20
+
+
+def _runs(texts: pa.ListArray, most_bytes: int) -> Iterator[tuple[int, int]]:
+    """Ranges of rows whose lists of texts hold about ``most_bytes``."""
+    sizes = pc.binary_length(texts.flatten()).to_numpy(zero_copy_only=False)
+    held = np.concatenate([[0], np.cumsum(sizes)])
+    counts = pc.list_value_length(texts).to_numpy(zero_copy_only=False)
+    reached = held[np.concatenate([[0], np.cumsum(counts)])]
+    start = 0
+    while start < len(texts):
+        end = int(np.searchsorted(reached, reached[start] + most_bytes, "right")) - 1
+        end = min(max(end, start + 1), len(texts))
+        yield start, end
+        start = end
+
+
 SCHEMA = T.StructType(
     [
         T.StructField("formatted", T.StringType()),
@@ -136,20 +155,32 @@ def formatted(
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = tokenizer(tokenizer_path)
         for batch in batches:
-            for row in range(batch.num_rows):
-                turns = list(zip(batch[1][row].as_py(), batch[2][row].as_py(), strict=True))
-                text, spans = render(turns)
-                encoded = encoder.encode(text, add_special_tokens=False)
-                offsets = np.array(encoded.offsets, np.int64).reshape(-1, 2)
-                mask, loss_spans = loss_mask(offsets, spans, role)
-                yield pa.RecordBatch.from_pydict(
-                    {
-                        "id": batch[0].slice(row, 1),
-                        "formatted": pa.array([text]),
-                        "token_ids": pa.array([encoded.ids], pa.list_(pa.int32())),
-                        "loss": pa.array([mask.tolist()], pa.list_(pa.bool_())),
-                        "loss_spans": pa.array([loss_spans], pa.list_(pa.list_(pa.int32()))),
-                    }
+            for start, end in _runs(batch.column(2), _CHUNK):
+                part = batch.slice(start, end - start)
+                turns = zip(part.column(1).to_pylist(), part.column(2).to_pylist(), strict=True)
+                rendered = [render(list(zip(*own, strict=True))) for own in turns]
+                texts = [text for text, _ in rendered]
+                encoded = encoder.encode_batch(texts, add_special_tokens=False)
+                masks, found = [], []
+                for (_, spans), one in zip(rendered, encoded, strict=True):
+                    offsets = np.array(one.offsets, np.int64).reshape(-1, 2)
+                    mask, loss_spans = loss_mask(offsets, spans, role)
+                    masks.append(mask)
+                    found.append(loss_spans)
+                ends = np.cumsum([0, *map(len, masks)])
+                ids = np.fromiter(
+                    (i for one in encoded for i in one.ids), np.int32, int(ends[-1])
+                )
+                flags = np.concatenate(masks) if masks else np.empty(0, bool)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column(0),
+                        pa.array(texts, pa.string()),
+                        pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids)),
+                        pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flags)),
+                        pa.array(found, pa.list_(pa.list_(pa.int32()))),
+                    ],
+                    ["id", *SCHEMA.names],
                 )
 
     done = whole.mapInArrow(compute, T.StructType([whole.schema["id"], *SCHEMA]))

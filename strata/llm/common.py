@@ -30,6 +30,19 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` has not, for a column that is to go again."""
+    taken = {column.lower() for column in df.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
+def column_of(df: DataFrame, name: str) -> Column:
+    """A column by its exact name, dots and all."""
+    return df["`" + name.replace("`", "``") + "`"]
+
+
 def whole_text(column: str) -> Column:
     """The text, with null counting as empty."""
     return F.coalesce(F.col(column), F.lit(""))

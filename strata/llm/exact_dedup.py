@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from strata.llm.common import staged, whole_text
+from strata.llm.common import free_name, staged, whole_text
 
 #: Depth of the histogram beyond the depth that evenly spread keys would need.
 SLACK = 6
@@ -191,10 +191,11 @@ def keep_one(
         .select(F.col("keep_id").alias("_kept_id"), F.col("text_sha256").alias("_kept_sha"))
     )
     keep = staged(keep, "dedup-kept")
-    marked = docs.withColumn("_sha", F.sha2(whole_text(text_col), 256))
-    same = marked[id_col].eqNullSafe(keep["_kept_id"]) & (marked["_sha"] == keep["_kept_sha"])
+    sha = free_name(docs, "_sha")
+    marked = docs.withColumn(sha, F.sha2(whole_text(text_col), 256))
+    same = marked[id_col].eqNullSafe(keep["_kept_id"]) & (marked[sha] == keep["_kept_sha"])
     kept = marked.join(keep, same, "left_semi")
     repeated = keep.groupBy("_kept_id", "_kept_sha").count().filter("count > 1")
     if not repeated.isEmpty():
-        kept = kept.dropDuplicates([id_col, "_sha"])
-    return kept.drop("_sha")
+        kept = kept.dropDuplicates([id_col, sha])
+    return kept.drop(sha)

@@ -10,12 +10,12 @@ The histogram reaches the driver. It is bounded whatever the corpus: lengths up
 there are at most EXACT + 512 cells per doubling. Boundaries are upper ends of cells.
 
 Batches number the rows of a bucket through, though no task holds a bucket: rows are
-dealt to shares of about ``share_rows`` by a hash of the id, numbered inside a share,
-and moved on by the counts of the shares before. Only the last batch of a bucket is not
+dealt to shares of about ``share_rows`` by a hash of the id and the text, numbered inside a
+share, and moved on by the counts of the shares before. Only the last batch of a bucket is not
 full. A row longer than the budget is a batch by itself; nothing is cut or dropped.
 
 Defined cases: null or empty texts have length zero and go to the first bucket; ties and
-rows that repeat an id are placed one after the other; an empty table gives an empty
+rows that repeat an id are placed in the order of a hash; null ids are dealt by their texts; an empty table gives an empty
 result.
 """
 
@@ -74,7 +74,7 @@ def _through(rows: DataFrame, share_rows: int) -> DataFrame:
     shares = F.greatest(F.lit(1), F.ceil(F.col("n") / share_rows)).cast("long")
     dealt = staged(
         rows.join(F.broadcast(held), "bucket")
-        .withColumn("share", F.pmod(F.xxhash64("id", F.lit(3)), shares))
+        .withColumn("share", F.pmod(F.xxhash64("id", F.lit(3), "text_hash"), shares))
         .drop("n"),
         "pack-dealt",
     )
@@ -83,7 +83,9 @@ def _through(rows: DataFrame, share_rows: int) -> DataFrame:
     offsets = counts.select(
         "bucket", "share", F.coalesce(F.sum("held").over(upto), F.lit(0)).alias("offset")
     )
-    inside = Window.partitionBy("bucket", "share").orderBy(F.xxhash64("id", F.lit(5)), "id")
+    inside = Window.partitionBy("bucket", "share").orderBy(
+        F.xxhash64("id", F.lit(5), "text_hash"), "id", "text_hash"
+    )
     numbered = dealt.withColumn("place", F.row_number().over(inside) - 1)
     return numbered.join(offsets, ["bucket", "share"]).withColumn(
         "place", F.col("place") + F.col("offset")
@@ -106,7 +108,11 @@ def pack(
     """
     length = word_count(whole_text(text_col)) if length is None else length.cast("long")
     sized = staged(
-        docs.select(F.col(id_col).alias("id"), F.coalesce(length, F.lit(0)).alias("n_tokens")),
+        docs.select(
+            F.col(id_col).alias("id"),
+            F.xxhash64(whole_text(text_col)).alias("text_hash"),
+            F.coalesce(length, F.lit(0)).alias("n_tokens"),
+        ),
         "pack-lengths",
     )
     cells = sized.groupBy(cell_end(F.col("n_tokens")).alias("end")).agg(F.count("*").alias("n"))

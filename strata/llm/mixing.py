@@ -10,12 +10,15 @@ from a hash of the seed and its id is below the fraction. So a re-run takes the
 Sources are few beside documents, but nothing depends on it: they stay a table, ranked
 by a range sort with counts per range, and levelled by rounds of one-row sums.
 
+A row is drawn by its id. Where an id, or null, has several rows, each is drawn by the id,
+the hash of its text and its number among equal rows, so that a source whose rows lack ids
+meets its target like others.
+
 Defined cases: null text has size zero; a null source is a source of its own, sorted
-last; a null id draws as the text "null"; in the report rows that repeat an id are drawn
-alike, as its SQL has it, and so are null ids; in the mix the text's hash is drawn with an
-id, or null, that has several texts, so only rows that repeat id and text are drawn alike;
-a source without words has target zero and takes each of its documents zero times; an
-empty table gives an empty result.
+last; a null id counts as the text "null"; equal rows are numbered from 0, and which is
+which does not matter; a source without words has target zero and takes each of its
+documents zero times; columns of any name come back as given; an empty table gives an empty
+result.
 """
 
 from __future__ import annotations
@@ -26,15 +29,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from strata.llm.common import staged, whole_text, word_count
+from strata.llm.common import column_of, staged, whole_text, word_count
 
 #: Leading hex digits of the digest that make the drawn number: 52 bits fit a double.
 _DIGITS = 13
 
 
-def drawn(seed: int, id_col: Column) -> Column:
-    """A number in [0, 1) that depends on the seed and the id only."""
-    text = F.concat(F.lit(f"{seed}:"), F.coalesce(id_col.cast("string"), F.lit("null")))
+def drawn(seed: int, name: Column) -> Column:
+    """A number in [0, 1) that depends on the seed and the row's name only."""
+    text = F.concat(F.lit(f"{seed}:"), name)
     digits = F.conv(F.substring(F.md5(text.cast("binary")), 1, _DIGITS), 16, 10)
     return digits.cast("double") / F.lit(float(16**_DIGITS))
 
@@ -102,83 +105,104 @@ def targets(sizes: DataFrame, weights: Sequence[int], share: float, most: int) -
     return ranked.select("source", "source_size", target.alias("target"))
 
 
-def with_copies(
+def named(rows: DataFrame) -> DataFrame:
+    """Add ``name``, by which a row is drawn, to rows with ``id`` and ``sha``.
+
+    Equal rows are numbered within the partitions that wrote them and moved on by the counts
+    of those before, so that no task holds all.
+    """
+    own = F.coalesce(F.col("id").cast("string"), F.lit("null"))
+    several = rows.groupBy(F.col("id").alias("several_id")).agg(F.count("*").alias("n"))
+    several = staged(several.filter("n > 1").select("several_id"), "mix-several")
+    if several.isEmpty():
+        return rows.withColumn("name", own)
+    shared = F.col("id").eqNullSafe(F.col("several_id"))
+    among = rows.join(several, shared, "left_semi")
+    among = staged(among.withColumn("part", F.spark_partition_id()), "mix-shared")
+    equal = ["id", "sha"]
+    counts = among.groupBy(*equal, "part").agg(F.count("*").alias("held"))
+    before = Window.partitionBy(*equal).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(
+        F.col("id").alias("of"),
+        F.col("sha").alias("of_sha"),
+        F.col("part").alias("of_part"),
+        F.coalesce(F.sum("held").over(before), F.lit(0)).alias("offset"),
+    )
+    same = (
+        F.col("id").eqNullSafe(F.col("of"))
+        & (F.col("sha") == F.col("of_sha"))
+        & (F.col("part") == F.col("of_part"))
+    )
+    inside = Window.partitionBy(*equal, "part").orderBy(F.lit(0))
+    numbered = among.withColumn("place", F.row_number().over(inside) - 1).join(offsets, same)
+    number = (F.col("place") + F.col("offset")).cast("string")
+    apart = numbered.withColumn("name", F.concat_ws(":", own, "sha", number))
+    alone = rows.join(several, shared, "left_anti").withColumn("name", own)
+    return alone.unionByName(apart.select(*alone.columns))
+
+
+def taken_rows(
     docs: DataFrame,
-    size: Column,
+    text_col: str,
+    id_col: str,
+    source_col: str,
     weights: Sequence[int] = (3, 1, 2),
     share: float = 1.5,
     most: int = 2,
     seed: int = 17,
-    id_col: str = "doc_id",
-    source_col: str = "source",
+    whole: bool = False,
 ) -> DataFrame:
-    """``docs`` with ``_mix``: size, source_size, target, rate and copies of each row."""
-    per_source = docs.groupBy(F.col(source_col).alias("source")).agg(
-        F.sum(size).alias("source_size")
+    """Per row: id, size, source_size, target, copies, and ``row``, the whole row if asked."""
+    text = whole_text(text_col)
+    rows = docs.select(
+        F.col(id_col).alias("id"),
+        F.col(source_col).alias("source"),
+        word_count(text).alias("size"),
+        F.sha2(text, 256).alias("sha"),
+        F.struct(*[column_of(docs, c) for c in docs.columns]).alias("row"),
     )
-    wanted = targets(per_source, weights, share, most)
+    if not whole:
+        rows = staged(rows.drop("row"), "mix-sizes")
+    per_source = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    wanted = staged(wanted.withColumn("rate", rate), "mix-targets").select(
-        F.col("source").alias("_mix_source"), F.struct("source_size", "target", "rate").alias("_t")
-    )
-    joined = docs.join(wanted, docs[source_col].eqNullSafe(wanted["_mix_source"]))
-    whole = F.floor("_t.rate")
-    extra = (drawn(seed, F.col(id_col)) < F.col("_t.rate") - whole).cast("long")
+    wanted = targets(per_source, weights, share, most).withColumn("rate", rate)
+    wanted = staged(wanted, "mix-targets").withColumnRenamed("source", "of_source")
+    joined = named(rows).join(wanted, F.col("source").eqNullSafe(F.col("of_source")))
+    floor = F.floor("rate")
+    extra = (drawn(seed, F.col("name")) < F.col("rate") - floor).cast("long")
     return joined.select(
-        *[docs[f"`{name}`"] for name in docs.columns],
-        F.struct(
-            size.alias("size"),
-            F.col("_t.source_size").alias("source_size"),
-            F.col("_t.target").alias("target"),
-            F.col("_t.rate").alias("rate"),
-            (whole + extra).alias("copies"),
-        ).alias("_mix"),
-    )
-
-
-def told_apart(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Add ``_mix_id``: the id, with the text's SHA-256 where the id has several texts."""
-    text, own = whole_text(text_col), F.col(id_col).cast("string")
-    several = (
-        docs.groupBy(F.col(id_col).alias("_several_id"))
-        .agg(F.min(F.xxhash64(text)).alias("least"), F.max(F.xxhash64(text)).alias("most"))
-        .filter("least < most")
-        .select("_several_id", F.lit(True).alias("_several"))
+        "id",
+        "size",
+        "source_size",
+        "target",
+        (floor + extra).alias("copies"),
+        *(["row"] if whole else []),
     )
-    several = staged(several, "mix-several")
-    if several.isEmpty():
-        return docs.withColumn("_mix_id", own)
-    joined = docs.join(several, docs[id_col].eqNullSafe(several["_several_id"]), "left")
-    by_text = F.concat_ws(":", F.coalesce(own, F.lit("null")), F.sha2(text, 256))
-    named = joined.withColumn("_mix_id", F.when(F.col("_several"), by_text).otherwise(own))
-    return named.drop("_several_id", "_several")
 
 
-def mixed(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", **options) -> DataFrame:
+def mixed(
+    docs: DataFrame,
+    text_col: str = "text",
+    id_col: str = "doc_id",
+    source_col: str = "source",
+    **options,
+) -> DataFrame:
     """The mix itself: each row of ``docs`` as often as it is taken, columns as given."""
-    named = told_apart(docs, id_col, text_col)
-    taken = with_copies(named, word_count(whole_text(text_col)), id_col="_mix_id", **options)
-    return (
-        taken.filter("_mix.copies > 0")
-        .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_mix.copies"))))
-        .select(*[F.col(f"`{name}`") for name in docs.columns])
-    )
+    taken = taken_rows(docs, text_col, id_col, source_col, whole=True, **options)
+    copies = F.sequence(F.lit(1).cast("long"), F.col("copies"))
+    repeated = taken.filter("copies > 0").select("row", F.explode(copies).alias("copy"))
+    return repeated.select("row.*")
 
 
-def report(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", **options) -> DataFrame:
+def report(
+    docs: DataFrame,
+    text_col: str = "text",
+    id_col: str = "doc_id",
+    source_col: str = "source",
+    **options,
+) -> DataFrame:
     """Per row: id, size, source_size, target, copies, taken (size times copies)."""
-    narrow = docs.select(
-        F.col(id_col).alias("doc_id"),
-        F.col(options.pop("source_col", "source")).alias("source"),
-        word_count(whole_text(text_col)).alias("size"),
-    )
-    narrow = staged(narrow, "mix-sizes")
-    taken = with_copies(narrow, F.col("size"), **options)
-    return taken.select(
-        F.col("doc_id").alias(id_col),
-        "size",
-        "_mix.source_size",
-        "_mix.target",
-        "_mix.copies",
-        (F.col("size") * F.col("_mix.copies")).alias("taken"),
+    taken = taken_rows(docs, text_col, id_col, source_col, **options)
+    return taken.withColumn("taken", F.col("size") * F.col("copies")).withColumnRenamed(
+        "id", id_col
     )

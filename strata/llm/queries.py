@@ -64,7 +64,11 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 OP9_SQL = r"""
 WITH docs AS (
   SELECT doc_id, source,
-         len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size
+         len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+         coalesce(doc_id::VARCHAR, 'null') || CASE WHEN count(*) OVER (PARTITION BY doc_id) > 1
+           THEN concat(':', sha256(coalesce(text, '')), ':',
+             row_number() OVER (PARTITION BY doc_id, sha256(coalesce(text, ''))) - 1)
+           ELSE '' END AS name
   FROM documents
 ), sources AS (
   SELECT source, sum(size)::BIGINT AS source_size,
@@ -95,7 +99,7 @@ WITH docs AS (
 )
 SELECT doc_id, size, source_size, target,
        size * (floor(rate)::BIGINT + (
-         (('0x' || substr(md5('17:' || coalesce(doc_id::VARCHAR, 'null')), 1, 13))::BIGINT::DOUBLE
+         (('0x' || substr(md5('17:' || name), 1, 13))::BIGINT::DOUBLE
           / 4503599627370496.0) < rate - floor(rate))::BIGINT) AS taken
 FROM docs JOIN rates ON docs.source IS NOT DISTINCT FROM rates.source
 """

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import chunks, staged, whole_text
+from strata.llm.common import chunks, free_name, staged, whole_text
 from strata.llm.components import components
 
 SEED = 42
@@ -269,20 +269,25 @@ def keep_one(
 
     That of the least id, null ids last; of unlike texts with that id, of the least SHA-256.
     """
-    marked = docs.withColumn("_sha", F.sha2(whole_text(text_col), 256))
+    sha = free_name(docs, "_sha")
+    marked = docs.withColumn(sha, F.sha2(whole_text(text_col), 256))
     named = marked.select(
-        F.struct(F.col(id_col).isNull().alias("late"), F.col(id_col).alias("id"), "_sha").alias("_row"),
+        F.struct(
+            F.col(id_col).isNull().alias("late"),
+            F.col(id_col).alias("id"),
+            F.col(sha).alias("sha"),
+        ).alias("_row"),
         F.col(text_col).alias("_text"),
     )
     keep = (
         near_duplicates(named, shingle, bits, id_col="_row", text_col="_text")
         .filter("_row = component_id")
-        .select(F.col("_row.id").alias("_kept_id"), F.col("_row._sha").alias("_kept_sha"))
+        .select(F.col("_row.id").alias("_kept_id"), F.col("_row.sha").alias("_kept_sha"))
     )
     keep = staged(keep, "simhash-kept")
-    same = marked[id_col].eqNullSafe(keep["_kept_id"]) & (marked["_sha"] == keep["_kept_sha"])
+    same = marked[id_col].eqNullSafe(keep["_kept_id"]) & (marked[sha] == keep["_kept_sha"])
     kept = marked.join(keep, same, "left_semi")
     repeated = keep.groupBy("_kept_id", "_kept_sha").count().filter("count > 1")
     if not repeated.isEmpty():
-        kept = kept.dropDuplicates([id_col, "_sha"])
-    return kept.drop("_sha")
+        kept = kept.dropDuplicates([id_col, sha])
+    return kept.drop(sha)

@@ -76,3 +76,14 @@ def test_given_documents_and_own_length(spark):
 
 def test_empty(spark):
     assert length_packing.pack(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_rows_without_an_id_are_dealt_by_their_texts(spark):
+    docs = spark.range(6000).selectExpr(
+        "CASE WHEN id % 3 > 0 THEN id END AS doc_id", "concat('w ', id) AS text"
+    )
+    rows = docs.selectExpr("doc_id AS id", "xxhash64(text) AS text_hash", "0 AS bucket")
+    placed = length_packing._through(rows, share_rows=300)
+    shares = sorted(row["count"] for row in placed.groupBy("share").count().collect())
+    assert len(shares) == 20 and shares[-1] < 2 * shares[10]
+    assert sorted(row.place for row in placed.collect()) == list(range(6000))

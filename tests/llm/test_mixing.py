@@ -28,9 +28,21 @@ def plain_targets(sizes, weights=(3, 1, 2), share=1.5, most=2):
     return target
 
 
-def plain_copies(id_, rate, seed=17):
-    name = f"{seed}:{'null' if id_ is None else id_}"
-    drawn = int(hashlib.md5(name.encode()).hexdigest()[:13], 16) / 16**13
+def plain_names(rows):
+    """By what each (id, text) is drawn: the id, or that, the text and a number."""
+    ids, equal, names = Counter(id_ for id_, _ in rows), Counter(), []
+    for id_, text in rows:
+        name = "null" if id_ is None else str(id_)
+        if ids[id_] > 1:
+            sha = hashlib.sha256((text or "").encode()).hexdigest()
+            name = f"{name}:{sha}:{equal[id_, sha]}"
+            equal[id_, sha] += 1
+        names.append(name)
+    return names
+
+
+def plain_copies(name, rate, seed=17):
+    drawn = int(hashlib.md5(f"{seed}:{name}".encode()).hexdigest()[:13], 16) / 16**13
     return math.floor(rate) + (drawn < rate - math.floor(rate))
 
 
@@ -46,10 +58,11 @@ def test_report(spark, table):
     for row in found:
         assert row.taken == row.copies * row.size <= 2 * row.size
     wanted = Counter()
-    for row in rows:
+    names = plain_names([(row.doc_id, row.text) for row in rows])
+    for row, name in zip(rows, names, strict=True):
         size, own = len(words(row.text)), sizes[row.source]
         rate = target[row.source] / own if own else 0.0
-        copies = plain_copies(row.doc_id, rate)
+        copies = plain_copies(name, rate)
         wanted[row.doc_id, size, own, round(target[row.source], 6), copies * size] += 1
     got = Counter(
         (r.doc_id, r.size, r.source_size, round(r.target, 6), r.taken) for r in found
@@ -81,15 +94,33 @@ def test_mixed_rows(spark):
 
 
 @pytest.mark.parametrize("shared", ["NULL", "id % 5"])
-def test_texts_of_one_id_are_drawn_apart(spark, shared):
-    docs = spark.range(6000).selectExpr(
-        f"{shared} AS doc_id", "concat('s', id % 3) AS source", "concat('w ', id) AS text"
+@pytest.mark.parametrize("text", ["concat('w ', id)", "'one text'", "concat('w ', id % 7)"])
+def test_rows_of_one_id_are_drawn_apart(spark, shared, text):
+    docs = spark.range(0, 6000, 1, 5).selectExpr(
+        f"{shared} AS doc_id", "concat('s', id % 3) AS source", f"{text} AS text"
     )
     docs = docs.withColumn("doc_id", F.col("doc_id").cast("long"))
     target = plain_targets({f"s{n}": 4000 for n in range(3)})
     assert any(target[s] % 4000 for s in target)
     for row in mixing.mixed(docs).groupBy("source").agg(F.count("*").alias("n")).collect():
         assert abs(2 * row.n - target[row.source]) < 0.05 * target[row.source]
+    report = mixing.report(docs.repartition(3))
+    sizes = report.groupBy("target").agg(F.sum("taken").alias("taken")).collect()
+    wanted = Counter()
+    for value in target.values():
+        wanted[value] += value
+    assert all(abs(row.taken - wanted[row.target]) < 0.05 * wanted[row.target] for row in sizes)
+
+
+def test_columns_of_any_name_come_back(spark):
+    docs = frame(spark, odd_rows())
+    for name in ("_mix", "_t", "_copy", "copy", "row", "name", "of_source", "part", "place"):
+        docs = docs.selectExpr("*", f"'x' AS `{name}`")
+    out = mixing.mixed(docs)
+    assert out.columns == docs.columns
+    copies = sum(row.copies for row in mixing.report(docs).collect())
+    assert out.count() == copies
+    assert {tuple(row)[-9:] for row in out.collect()} == {("x",) * 9}
 
 
 def test_many_sources_are_ranked_apart(spark):

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import random
 from collections import Counter
 
 import corpus_pipeline
 from strata.llm.common import staged
 
-from tests.llm.helpers import SCHEMA, SF, documents, words
+from tests.llm.helpers import SCHEMA, SF, documents, prose, words
 from tests.llm.test_mixing import plain_copies, plain_targets
 from tests.llm.test_simhash import expected as simhash_components
 
@@ -58,6 +59,35 @@ def test_run(spark):
     assert set(found.columns) >= {"doc_id", "n_tokens", "bucket_length", "batch", "slot"}
 
 
+def odd_documents(spark):
+    """A third of the rows without an id, shared ids, and names that stages might use."""
+    rng = random.Random(3)
+    rows = []
+    for n in range(90):
+        id_ = None if n % 3 == 0 else n % 20 if n % 3 == 1 else 1000 + n
+        rows.append((id_, prose(rng, 8 + n), "en", ["a", "b", None][n % 3], n))
+    rows += [rows[0], rows[0], rows[1], (7, None, None, "a", None), (None, "", None, "b", None)]
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    for name in ("_sha", "_row", "_kept_id", "_mix", "_copy", "copies", "score", "a.b"):
+        docs = docs.selectExpr("*", f"'x' AS `{name}`")
+    return docs
+
+
+def test_odd_rows_and_names_pass_all_stages(spark):
+    docs = odd_documents(spark)
+    distinct = {row.text or "" for row in docs.collect()}
+    for name, stage in corpus_pipeline.STAGES[1:4]:
+        found = staged(stage(spark, docs, SF), "odd")
+        assert found.columns == docs.columns
+        texts = [row.text or "" for row in found.collect()]
+        if name != "mixing":
+            assert set(texts) == distinct and len(texts) == len(distinct)
+        assert {row._sha for row in found.collect()} == {"x"}
+        docs = found
+    packed = corpus_pipeline.STAGES[4][1](spark, docs, SF)
+    assert packed.count() == docs.count()
+
+
 def test_empty_stages(spark):
     docs = spark.createDataFrame([], SCHEMA)
     for _, stage in corpus_pipeline.STAGES:
