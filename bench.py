@@ -48,16 +48,30 @@ HEADLINE = (
     "merge_duplicate_keys",
     "many_months_rebuild",
     "stream_repeated_snapshots",
+    "merge_changed_only",
+    "evolving_merge",
+    "bucketed_merge",
+    "newer_than_with_ties",
 )
 
+# These run once, unwarmed: whole loads of several runs.
+ONCE = ("incremental_new_files", "quarantined_records", "stream_unchanged_poll")
+
 # These pass over whole texts, some of them after training; each runs once, unwarmed.
 LLM_HEADLINE = (
     "op1_exact_dedup",
+    "op2_secrets",
+    "op3_chat_formatting",
+    "op4_toxicity",
     "op5_length_packing",
+    "op6_warc",
     "op7_substring_dedup",
     "op8_minhash",
     "op9_mixing",
     "op10_simhash",
+    "op11_conversation_repair",
+    "op12_quality_rules",
+    "op13_hard_negatives",
 )
 
 
@@ -85,6 +99,8 @@ def main() -> None:
     for name in HEADLINE:
         times = [timed(QUERIES[name]) for _ in range(RUNS + 1)]
         seconds[name] = round(statistics.median(times[1:]), 3)
+    for name in ONCE:
+        seconds[name] = round(timed(QUERIES[name]), 3)
     for name in LLM_HEADLINE:
         if name in LLM_QUERIES:
             seconds[name] = round(timed(LLM_QUERIES[name]), 3)

@@ -27,6 +27,27 @@ def parse_args(argv: Sequence[str] | None = None) -> argparse.Namespace:
         "--mark-per-source", action="store_true", help="a high-water mark for each source"
     )
     parser.add_argument("--nan-is-bad", action="store_true", help="flag quotes with a NaN price")
+    parser.add_argument(
+        "--keep-ties",
+        action="store_true",
+        help="an increment also takes unseen records of the mark's very time",
+    )
+    parser.add_argument(
+        "--all-files", action="store_true", help="an increment reads old files again"
+    )
+    parser.add_argument(
+        "--rewrite-unchanged",
+        action="store_true",
+        help="a merge also rewrites rows that the table has already",
+    )
+    parser.add_argument(
+        "--drop-repeats",
+        action="store_true",
+        help="a stream drops records that repeat what it last saw of their key",
+    )
+    parser.add_argument(
+        "--extra-fields", nargs="+", default=[], help="further fields that Bronze keeps as text"
+    )
     parser.add_argument(
         "--keep-generations", type=int, help="delete older generations of the tables"
     )
@@ -47,7 +68,14 @@ def main(argv: Sequence[str] | None = None) -> None:
     args = parse_args(argv)
     spark = SparkSession.builder.appName("strata").getOrCreate()
     options = Options(
-        args.bodies, nan_is_bad=args.nan_is_bad, mark_per_source=args.mark_per_source
+        args.bodies,
+        nan_is_bad=args.nan_is_bad,
+        mark_per_source=args.mark_per_source,
+        keep_ties=args.keep_ties,
+        new_files_only=not args.all_files,
+        skip_unchanged=not args.rewrite_unchanged,
+        drop_repeats=args.drop_repeats,
+        extra_fields=tuple(args.extra_fields),
     )
     if args.mode == "stream":
         counts = stream_pipeline(

@@ -13,7 +13,10 @@ def test_arguments():
     args = parse_args(["--lake", "l", "--landing", "dolares=a=b", "cotizaciones=c", "--bodies"])
     assert args.mode == "full"
     assert args.landing == {"dolares": "a=b", "cotizaciones": "c"}
-    assert args.bodies
+    assert args.bodies and not args.keep_ties and args.extra_fields == []
+    more = ["--extra-fields", "a", "b", "--keep-ties", "--drop-repeats", "--all-files"]
+    args = parse_args(["--lake", "l", "--landing", "dolares=a", *more])
+    assert args.extra_fields == ["a", "b"] and args.all_files and args.drop_repeats
 
 
 @pytest.mark.parametrize(
