@@ -4,13 +4,16 @@ A document's key is a 64-bit hash of its text. An index entry stands for one
 distinct text: entries with the same key form a chain, told apart by their bytes.
 Entries live in buckets that own a range of the key space. The directory starts
 with one bucket and is doubled, in thought, until no bucket holds more than
-``capacity`` entries: all depths are counted at once from a fine histogram of the
+``capacity`` keys: all depths are counted at once from a fine histogram of the
 keys, and a bucket is the shallowest prefix that fits.
 
-Everything is DataFrame work. Copies are merged by partial aggregates before they
-move, so a group holding a third of all rows leaves each task as one row. A lookup
-joins small rows (id and key) to one entry per key, which adaptive execution splits
-where a key is hot.
+First copies are merged into a few parts each by partial aggregates, so a group holding
+a third of all rows leaves each task as a few rows. Their keys make the directory, which
+leads every part to its bucket. Owner tasks take ranges of buckets and keys, compare the
+bytes of the texts under a key, merge equal ones and chain the others: there it is decided
+which row stays. A lookup goes the same way, from the key by the directory to a bucket and
+there to the entry; it moves rows of id and key only, and adaptive execution splits a hot
+key. All of it is DataFrame work.
 
 Defined cases: a null text counts as empty; the empty text is a text like any other;
 null ids rank below all others; rows that repeat an id are documents of their own in
@@ -29,6 +32,8 @@ from pyspark.sql.window import Window
 
 from strata.llm.common import free_name, staged, whole_text
 
+#: A text's copies are merged into at most so many parts before they meet.
+PARTS = 8
 #: Depth of the histogram beyond the depth that evenly spread keys would need.
 SLACK = 6
 
@@ -41,7 +46,7 @@ def hashed(text: Column) -> Column:
 class Index:
     """``entries``: bucket, key, chain, text_sha256, keep_id, group_size.
 
-    ``directory``: cell, bucket, local_depth, for cells of ``depth`` leading bits.
+    ``directory``: cell, local_depth, bucket, for cells of ``depth`` leading bits.
     """
 
     entries: DataFrame
@@ -88,33 +93,31 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str, key: Callable) -> DataFr
     )
 
 
-def _entries(keyed: DataFrame) -> DataFrame:
-    """One row per distinct text: grouping by the text itself compares bytes."""
+def _parts(keyed: DataFrame) -> DataFrame:
+    """Copies of a text merged into few rows: the largest id, and how many they are."""
+    part = F.pmod(F.xxhash64("id"), F.lit(PARTS))
     return (
-        keyed.groupBy("key", "text")
-        .agg(F.max("id").alias("keep_id"), F.count("*").alias("group_size"))
-        .select("key", F.sha2("text", 256).alias("text_sha256"), "keep_id", "group_size")
+        keyed.groupBy("key", "text", part.alias("part"))
+        .agg(F.max("id").alias("keep_id"), F.count("*").alias("copies"))
+        .drop("part")
     )
 
 
-def build_index(
-    docs: DataFrame,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    capacity: int = 4096,
-    key: Callable[[Column], Column] = hashed,
-) -> Index:
-    """Group equal texts and write them as an index of buckets in key order."""
-    found = staged(_entries(_keyed(docs, id_col, text_col, key)), "dedup-entries")
-    directory, depth = build_directory(found.select("key"), capacity, found.count())
-    directory = staged(directory, "dedup-directory")
-    owned = (
-        found.withColumn("cell", _cell("key", depth))
-        .join(directory, "cell")
-        .repartitionByRange("bucket", "key")
+def _bucketed(rows: DataFrame, directory: DataFrame, depth: int) -> DataFrame:
+    """Lead rows with a key to their bucket, by the directory."""
+    return rows.withColumn("cell", _cell("key", depth)).join(
+        directory.select("cell", "bucket"), "cell"
+    )
+
+
+def _entries(owned: DataFrame) -> DataFrame:
+    """The chains of each key: grouping by the text itself compares bytes."""
+    merged = owned.groupBy("bucket", "key", "text").agg(
+        F.max("keep_id").alias("keep_id"), F.sum("copies").alias("group_size")
     )
-    in_chain = Window.partitionBy("bucket", "key").orderBy("text_sha256", "keep_id")
-    entries = owned.select(
+    hashed_text = merged.withColumn("text_sha256", F.sha2("text", 256)).drop("text")
+    in_chain = Window.partitionBy("bucket", "key").orderBy("text_sha256")
+    return hashed_text.select(
         "bucket",
         "key",
         F.row_number().over(in_chain).alias("chain"),
@@ -122,7 +125,23 @@ def build_index(
         "keep_id",
         "group_size",
     )
-    return Index(staged(entries, "dedup-index"), directory, depth)
+
+
+def build_index(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    capacity: int = 4096,
+    key: Callable[[Column], Column] = hashed,
+) -> Index:
+    """Write an index of all texts: a directory, and buckets filled by their owners."""
+    parts = staged(_parts(_keyed(docs, id_col, text_col, key)), "dedup-parts")
+    keys = staged(parts.select("key").distinct(), "dedup-keys")
+    directory, depth = build_directory(keys, capacity, keys.count())
+    directory = staged(directory, "dedup-directory")
+    # The range that a task owns holds whole keys, so what follows needs no other exchange.
+    owned = _bucketed(parts, directory, depth).repartitionByRange("bucket", "key")
+    return Index(staged(_entries(owned), "dedup-index"), directory, depth)
 
 
 def lookup(
@@ -134,22 +153,25 @@ def lookup(
 ) -> DataFrame:
     """One row per document: id, keep_id, group_size, text_sha256, bucket, chain.
 
-    A key with one entry needs no text. Only where several texts share a key are the
+    The directory leads each key to its bucket, which holds its entries. A key with one entry needs no text. Only where several texts share a key are the
     texts fetched and compared again; if there are none, that branch is not built.
     """
     keyed = _keyed(docs, id_col, text_col, key)
-    chained = index.entries.filter(F.col("chain") == 2).select("key")
+    at = ["bucket", "key"]
+    chained = index.entries.filter(F.col("chain") == 2).select(*at)
     told = ["id", "keep_id", "group_size", "text_sha256", "bucket", "chain"]
+    led = _bucketed(keyed.select("id", "key"), index.directory, index.depth)
     if chained.isEmpty():
-        return keyed.select("id", "key").join(index.entries, "key").select(told)
-    alone = index.entries.join(chained, "key", "left_anti")
-    plain = keyed.select("id", "key").join(alone, "key").select(told)
-    among = staged(keyed.join(chained, "key", "left_semi"), "dedup-chained")
-    texts = among.select("key", "text").distinct()
+        return led.join(index.entries, at).select(told)
+    alone = index.entries.join(chained, at, "left_anti")
+    plain = led.join(alone, at).select(told)
+    collided = keyed.join(chained.select("key").distinct(), "key", "left_semi")
+    among = staged(_bucketed(collided, index.directory, index.depth), "dedup-chained")
+    texts = among.select(*at, "text").distinct()
     of_text = texts.withColumn("text_sha256", F.sha2("text", 256)).join(
-        index.entries, ["key", "text_sha256"]
+        index.entries, [*at, "text_sha256"]
     )
-    return plain.unionByName(among.join(of_text, ["key", "text"]).select(told))
+    return plain.unionByName(among.join(of_text, [*at, "text"]).select(told))
 
 
 def exact_duplicates(

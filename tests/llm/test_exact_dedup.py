@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 from pyspark.sql import functions as F
 
 from strata.llm import exact_dedup
+from strata.llm.common import staged
 
 from tests.llm.helpers import SCHEMA, frame, odd_rows
 
@@ -56,6 +57,27 @@ def test_directory_splits_overfull_buckets(spark):
     assert all(x[2] < y[1] for x, y in zip(spans, spans[1:], strict=False))
 
 
+def test_the_answer_goes_through_the_directory(spark):
+    """A cell that leads to another bucket loses its documents."""
+    docs = spark.range(300).selectExpr("id AS doc_id", "concat('text ', id % 200) AS text")
+    index = exact_dedup.build_index(docs, capacity=8)
+    assert exact_dedup.lookup(docs, index).count() == 300
+    cell = index.directory.first().cell
+    wrong = F.when(F.col("cell") == cell, F.col("bucket") + 1).otherwise(F.col("bucket"))
+    index.directory = index.directory.withColumn("bucket", wrong)
+    assert exact_dedup.lookup(docs, index).count() < 300
+
+
+def test_owners_need_one_exchange(spark):
+    """What comes after the ranges of buckets and keys is decided inside them."""
+    docs = spark.range(300).selectExpr("id AS doc_id", "concat('text ', id % 200) AS text")
+    keyed = exact_dedup._keyed(docs, "doc_id", "text", exact_dedup.hashed)
+    parts = staged(exact_dedup._parts(keyed), "test")
+    owned = parts.withColumn("bucket", F.col("key") % 4).repartitionByRange("bucket", "key")
+    plan = exact_dedup._entries(owned)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == plan.count("rangepartitioning") == 1
+
+
 def test_keep_one(spark):
     rows = odd_rows()
     docs = frame(spark, rows)
