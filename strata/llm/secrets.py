@@ -1,19 +1,19 @@
 """Secrets in texts: fixed rules, and a character convolutional network over candidates.
 
 The rules find assignments to telling names, access key ids and long hex strings. A
-candidate is any other run of at least ``LEAST`` token characters that holds a digit and
-a letter. The network sees a candidate with the characters around it: characters are
-embedded, convolved, and pooled by maximum over the context before, the candidate and
-the context after. A candidate longer than a frame is seen in overlapping frames and
-scores as the highest.
-
-Training uses labelled findings: what the rules find in a bounded sample of documents
-(``train_docs``, in order of a hash of the id) counts as secret and what they pass over
-does not; made-up keys, and made-up mail addresses, numbers, paths and the like, are set
-into contexts of the sample besides. On a part kept out of training the scores are
-calibrated by a logistic fit, and the threshold is the highest that keeps the wanted
-recall there. Candidates from the threshold up are added to the findings of the rules,
-which all stay.
+candidate is any other run of at least ``LEAST`` token characters, whatever it is made of:
+words, numbers, paths and keys alike go to the network, which alone decides. It sees a
+candidate with the characters around it: characters are embedded, convolved, and pooled by
+maximum over the context before, the candidate and the context after. A candidate longer
+than a frame is seen in overlapping frames and scores as the highest.
+
+Training uses labelled findings: in a bounded sample of documents (``train_docs``, in order
+of a hash of the id) what the rules find is secret, and other runs, at most ``train_runs``,
+are not; made-up keys, and made-up mail addresses, numbers, paths and the like, are set into
+contexts of the sample besides. Every fifth finding, with all its frames, is kept out of
+training. On these the scores are calibrated by a logistic fit, and the threshold is the
+highest that keeps the wanted recall, where a key that is no candidate counts as missed.
+Candidates from the threshold up are added to the findings of the rules, which all stay.
 
 Spans are in code points, end exclusive. Texts are read whole where they lie; nothing is
 shuffled. The network has a few kilobytes.
@@ -47,24 +47,23 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]+")
 #: Parts of the names, in lower case; a text without any has no assignment.
 _NAMES = ("passw", "secret", "token", "api")
-LEAST = 16
+LEAST = 12
 #: Characters of a frame: context, candidate, context.
 CONTEXT, INNER = 24, 48
 FRAME = CONTEXT + INNER + CONTEXT
-EMBEDDING, WIDTH, FILTERS = 8, 5, 16
+EMBEDDING, WIDTH, FILTERS = 8, 5, 24
 _FLOAT = np.float32
 
-_CLASS = np.zeros((3, 128), bool)  # token characters, digits, letters
-for _row, _set in enumerate(
-    (string.ascii_letters + string.digits + "+/_=-", string.digits, string.ascii_letters)
-):
-    _CLASS[_row, [ord(c) for c in _set]] = True
+_TOKEN = np.zeros(128, bool)
+_TOKEN[[ord(c) for c in string.ascii_letters + string.digits + "+/_=-."]] = True
+#: Frames that are scored at a time.
+_FRAMES = 4096
 
 Span = tuple[int, int, int]  # start, place of the kind in KINDS, end
 
 
 def rule_spans(text: str, runs: list[tuple[int, int]]) -> list[Span]:
-    """What the rules find. ``runs``: the runs of at least 16 token characters."""
+    """What the rules find. ``runs``: the runs of at least ``LEAST`` token characters."""
     found: list[Span] = []
     low = text.lower()
     if any(name in low for name in _NAMES):
@@ -79,30 +78,40 @@ def rule_spans(text: str, runs: list[tuple[int, int]]) -> list[Span]:
     return sorted(found)
 
 
-def token_runs(texts: list[str]) -> list[list[tuple[int, int, bool]]]:
-    """Of each text: start and end of its runs, and whether one has a digit and a letter."""
+def token_runs(texts: list[str]) -> list[list[tuple[int, int]]]:
+    """Start and end of the long runs of each text; full stops around a run are not of it."""
     line = "\n".join(texts)
     codes = np.frombuffer(line.encode("utf-32-le", "surrogatepass"), np.uint32)
     small = np.minimum(codes, 127).astype(np.uint8)
-    small[codes > 126] = 0
-    token = np.concatenate([[False], _CLASS[0][small], [False]])
+    token = np.concatenate([[False], _TOKEN[small] & (codes < 127), [False]])
     edges = np.flatnonzero(token[1:] != token[:-1])
     starts, ends = edges[::2], edges[1::2]
     long = ends - starts >= LEAST
     starts, ends = starts[long], ends[long]
-    digits, letters = (
-        np.concatenate([[0], np.cumsum(_CLASS[row][small], dtype=np.int64)]) for row in (1, 2)
-    )
-    mixed = (digits[ends] > digits[starts]) & (letters[ends] > letters[starts])
     begins = np.cumsum([0, *[len(text) + 1 for text in texts]])
     which = np.searchsorted(begins, starts, "right") - 1
-    found: list[list[tuple[int, int, bool]]] = [[] for _ in texts]
-    rows = zip(which.tolist(), starts.tolist(), ends.tolist(), mixed.tolist(), strict=True)
-    for n, start, end, both in rows:
-        found[n].append((start - int(begins[n]), end - int(begins[n]), both))
+    found: list[list[tuple[int, int]]] = [[] for _ in texts]
+    for n, start, end in zip(which.tolist(), starts.tolist(), ends.tolist(), strict=True):
+        run = line[start:end]
+        inner = run.strip(".")
+        if len(inner) >= LEAST:
+            at = start + run.index(inner) - int(begins[n])
+            found[n].append((at, at + len(inner)))
     return found
 
 
+def candidates(runs: list[tuple[int, int]], spans: list[Span]) -> list[tuple[int, int]]:
+    """The runs that meet no span; both are in order of their starts."""
+    kept, at, reached = [], 0, -1
+    for start, end in runs:
+        while at < len(spans) and spans[at][0] < end:
+            reached = max(reached, spans[at][2])
+            at += 1
+        if reached <= start:
+            kept.append((start, end))
+    return kept
+
+
 def frames(text: str, start: int, end: int) -> Iterator[np.ndarray]:
     """Frames of a span: rows of character numbers, of part numbers (0, 1, 2), 3 for none."""
     at = start
@@ -170,14 +179,16 @@ class Network:
             d_bias += d_heard.sum((0, 1))
             d_patches += d_heard @ self.p["filter"].T
         g["filter"], g["filter_bias"] = d_filter, d_bias
-        g["embed"] = np.zeros_like(self.p["embed"])
         d_patches = d_patches.reshape(len(given), FRAME, WIDTH, EMBEDDING)
-        half = WIDTH // 2
+        d_x = np.zeros((len(given), FRAME, EMBEDDING), d_patches.dtype)
         for k in range(WIDTH):
-            shift = k - half
+            shift = k - WIDTH // 2
             to = slice(max(0, shift), FRAME + min(0, shift))
             of = slice(max(0, -shift), FRAME + min(0, -shift))
-            np.add.at(g["embed"], given[:, 0, to].ravel(), d_patches[:, of, k].reshape(-1, EMBEDDING))
+            d_x[:, to] += d_patches[:, of, k]
+        codes, flat = given[:, 0].ravel(), d_x.reshape(-1, EMBEDDING)
+        columns = [np.bincount(codes, flat[:, n], minlength=128) for n in range(EMBEDDING)]
+        g["embed"] = np.stack(columns, axis=1).astype(d_patches.dtype)
         return g
 
 
@@ -188,20 +199,31 @@ class Model:
     offset: float
     threshold: float
 
+    def probability(self, logit: np.ndarray) -> np.ndarray:
+        known = np.isfinite(logit)
+        x = self.slope * np.where(known, logit, 0).astype(np.float64) + self.offset
+        return np.where(known, 1 / (1 + np.exp(-np.clip(x, -700, 700))), 0.0)
+
     def probabilities(self, given: np.ndarray) -> np.ndarray:
-        logit = self.slope * self.network.logits(given).astype(np.float64) + self.offset
-        return 1 / (1 + np.exp(-logit))
+        return self.probability(self.network.logits(given))
 
 
 def calibrate(logit: np.ndarray, label: np.ndarray) -> tuple[float, float]:
-    """Slope and offset of a logistic fit, by Newton steps with a small ridge."""
+    """Slope and offset of a logistic fit, by Newton steps with a small ridge.
+
+    Labels are taken as a little less than sure, the less the more there are of them, so
+    that classes which come apart still get probabilities short of 0 and 1.
+    """
+    positive = label.sum()
+    label = np.where(label == 1, (positive + 1) / (positive + 2), 1 / (len(label) - positive + 2))
     x = np.stack([logit, np.ones_like(logit)], axis=1).astype(np.float64)
     w = np.array([1.0, 0.0])
-    for _ in range(25):
+    for _ in range(100):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
         slope = x.T @ (p - label) + 0.1 * (w - [1.0, 0.0])
         bend = (x * (p * (1 - p))[:, None]).T @ x + 0.1 * np.eye(2)
-        w = w - np.linalg.solve(bend, slope)
+        change = np.linalg.solve(bend, slope)
+        w = w - change / max(1.0, float(np.abs(change).max()) / 0.25)
     return float(w[0]), float(w[1])
 
 
@@ -211,20 +233,41 @@ def recall_threshold(probability: np.ndarray, label: np.ndarray, recall: float)
     return float(positive[int((1 - recall) * len(positive))]) if len(positive) else 1.0
 
 
+#: Frames of one finding, none if it is no candidate, and whether it is a secret.
+Finding = tuple[list[np.ndarray], int]
+
+
+def highest(model: Network, findings: list[Finding]) -> np.ndarray:
+    """The highest logit of each finding's frames; minus infinity without any."""
+    sizes = [len(own) for own, _ in findings]
+    given = [frame for own, _ in findings for frame in own]
+    logits = model.logits(np.stack(given)) if given else np.empty(0)
+    ends = np.cumsum([0, *sizes])
+    best = [logits[a:b].max() if b > a else -np.inf for a, b in zip(ends, ends[1:], strict=False)]
+    return np.array(best, np.float64)
+
+
 def train(
-    findings: list[tuple[np.ndarray, int]], recall: float = 0.95, epochs: int = 12, seed: int = 3
+    findings: list[Finding], recall: float = 0.95, epochs: int = 12, seed: int = 3
 ) -> Model:
-    """From frames and labels; every fifth finding serves calibration and the threshold."""
+    """Every fifth finding serves calibration and the threshold."""
     rng, network = np.random.default_rng(seed), Network(seed)
-    given = np.stack([frame for frame, _ in findings])
-    label = np.array([one for _, one in findings], _FLOAT)
-    order = rng.permutation(len(given))
-    kept, learnt = order[::5], np.delete(order, np.s_[::5])
+    order = rng.permutation(len(findings))
+    kept = [findings[n] for n in order[::5]]
+    learnt = [
+        (frame, label)
+        for n in np.delete(order, np.s_[::5])
+        for frame in findings[n][0]
+        for label in [findings[n][1]]
+    ]
+    given = np.stack([frame for frame, _ in learnt])
+    label = np.array([one for _, one in learnt], _FLOAT)
+    places = np.arange(len(given))
     first, second = ({k: np.zeros_like(v) for k, v in network.p.items()} for _ in range(2))
     step = 0
     for _ in range(epochs):
-        rng.shuffle(learnt)
-        for part in np.array_split(learnt, max(1, len(learnt) // 64)):
+        rng.shuffle(places)
+        for part in np.array_split(places, max(1, len(places) // 64)):
             g = network.gradients(given[part], label[part])
             step += 1
             for k, value in network.p.items():
@@ -232,9 +275,11 @@ def train(
                 second[k] = 0.99 * second[k] + 0.01 * g[k] ** 2
                 scale = np.sqrt(second[k] / (1 - 0.99**step)) + 1e-6
                 value -= (0.005 * first[k] / (1 - 0.9**step) / scale).astype(_FLOAT)
-    slope, offset = calibrate(network.logits(given[kept]), label[kept])
+    logit, truth = highest(network, kept), np.array([one for _, one in kept])
+    seen = np.isfinite(logit)
+    slope, offset = calibrate(logit[seen], truth[seen])
     model = Model(network, slope, offset, 1.0)
-    model.threshold = recall_threshold(model.probabilities(given[kept]), label[kept], recall)
+    model.threshold = recall_threshold(model.probability(logit), truth, recall)
     return model
 
 
@@ -249,7 +294,14 @@ def made_up(rng: random.Random, secret: bool) -> str:
         return rng.choice(
             [
                 lambda: some(string.hexdigits.lower()[:16], 20, 64),
-                lambda: some(alnum, 20, 44),
+                lambda: some(alnum, 12, 44),
+                lambda: some(alnum, 12, 20),
+                lambda: some(string.ascii_letters, 20, 40),
+                lambda: some(string.ascii_lowercase, 20, 40),
+                lambda: some(string.ascii_lowercase, 20, 26),
+                lambda: "-".join(some(string.digits, 8, 12) for _ in range(2)) + "-" + some(alnum, 16, 32),
+                lambda: some(alnum + "_-", 20, 44),
+                lambda: ".".join(some(alnum + "_-", 12, 40) for _ in range(3)),
                 lambda: some(alnum + "+/", 40, 88) + rng.choice(["", "=", "=="]),
                 lambda: some(string.ascii_lowercase, 2, 4) + "_" + some(alnum, 24, 40),
                 lambda: some(string.ascii_uppercase, 4, 4)
@@ -271,16 +323,18 @@ def made_up(rng: random.Random, secret: bool) -> str:
     )()
 
 
-def labelled_findings(texts: list[str], made: int, seed: int = 3) -> list[tuple[np.ndarray, int]]:
-    """Frames and labels: from the texts by the rules, and ``made`` of each class set in."""
-    rng, found = random.Random(seed), []
+def labelled_findings(
+    texts: list[str], made: int, seed: int = 3, train_runs: int = 6000
+) -> list[Finding]:
+    """From the texts by the rules, and ``made`` of each class set into them."""
+    rng, found, passed = random.Random(seed), [], []
     for text, runs in zip(texts, token_runs(texts), strict=True):
-        spans = rule_spans(text, [run[:2] for run in runs])
-        for start, _, end in spans:
-            found += [(frame, 1) for frame in frames(text, start, end)]
-        for start, end, mixed in runs:
-            if mixed and not any(a < end and start < b for a, _, b in spans):
-                found += [(frame, 0) for frame in frames(text, start, end)]
+        spans = rule_spans(text, runs)
+        found += [(list(frames(text, start, end)), 1) for start, _, end in spans]
+        passed += [(text, run) for run in candidates(runs, spans)]
+    if len(passed) > train_runs:
+        passed = rng.sample(passed, train_runs)
+    found += [(list(frames(text, *run)), 0) for text, run in passed]
     places = [text for text in texts if text] or [" "]
     for n in range(2 * made):
         text, secret = rng.choice(places), n % 2 == 0
@@ -289,16 +343,23 @@ def labelled_findings(texts: list[str], made: int, seed: int = 3) -> list[tuple[
         given = made_up(rng, secret)
         line = text[max(0, at - 40) : at] + given + " " + text[at : at + 40]
         begin = min(40, at)
-        found += [(frame, int(secret)) for frame in frames(line, begin, begin + len(given))]
+        found.append((candidate_frames(line, begin, begin + len(given)), int(secret)))
     return found
 
 
+def candidate_frames(text: str, start: int, end: int) -> list[np.ndarray]:
+    """Frames of all runs that meet a span; none if the network would not see it."""
+    runs = [run for run in token_runs([text])[0] if run[0] < end and start < run[1]]
+    return [frame for run in runs for frame in frames(text, *run)]
+
+
 def fit(
     docs: DataFrame,
     train_docs: int = 1500,
     train_chars: int = 20_000,
-    made: int = 1500,
-    recall: float = 0.95,
+    train_runs: int = 6000,
+    made: int = 2500,
+    recall: float = 0.98,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> Model:
@@ -313,31 +374,39 @@ def fit(
         .limit(train_docs)
         .collect()
     )
-    return train(labelled_findings([row["_text"] for row in rows], made), recall)
+    texts = [row["_text"] for row in rows]
+    return train(labelled_findings(texts, made, train_runs=train_runs), recall)
 
 
 def scan(texts: list[str], model: Model) -> list[list[tuple[Span, float]]]:
-    """All findings of each text by start and kind, with their probability."""
-    found, given, where = [], [], []
+    """All findings of each text by start and kind, with their probability.
+
+    Frames are made and scored some thousands at a time, however many a text has.
+    """
+    found: list[list[tuple[Span, float]]] = [[] for _ in texts]
+    best: dict[tuple[int, Span], float] = {}
+    given, where = [], []
+
+    def score() -> None:
+        if given:
+            probability = model.probabilities(np.stack(given)).tolist()
+            for key, value in zip(where, probability, strict=True):
+                best[key] = max(best.get(key, 0.0), value)
+        given.clear()
+        where.clear()
+
     for n, (text, runs) in enumerate(zip(texts, token_runs(texts), strict=True)):
-        spans = rule_spans(text, [run[:2] for run in runs])
-        mine = list(spans)
-        for start, end, mixed in runs:
-            if mixed and not any(a < end and start < b for a, _, b in spans):
-                mine.append((start, 3, end))
-        for span in mine:
-            own = list(frames(text, span[0], span[2]))
-            given += own
-            where.append((n, span, len(own)))
-        found.append([])
-    if given:
-        probability = model.probabilities(np.stack(given))
-        at = 0
-        for n, span, size in where:
-            highest = float(probability[at : at + size].max())
-            at += size
-            if span[1] < 3 or highest >= model.threshold:
-                found[n].append((span, highest))
+        spans = rule_spans(text, runs)
+        for span in [*spans, *[(a, 3, b) for a, b in candidates(runs, spans)]]:
+            for frame in frames(text, span[0], span[2]):
+                given.append(frame)
+                where.append((n, span))
+                if len(given) >= _FRAMES:
+                    score()
+    score()
+    for (n, span), probability in best.items():
+        if span[1] < 3 or probability >= model.threshold:
+            found[n].append((span, probability))
     return [sorted(spans) for spans in found]
 
 
