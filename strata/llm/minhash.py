@@ -19,7 +19,8 @@ spanning star of each local component is emitted, not the pairs.
 Defined cases: a null text counts as empty; a text of fewer words than a shingle is one
 shingle, a text without words has none, a fingerprint of largest values, and is like
 others without words; null ids come after all others; rows that repeat an id follow each
-other in a fixed order and are one node of the classes; the only document is its own
+other in a fixed order; classes are of texts, so unlike texts that share an id, or have
+none, are apart, and a class without any id has none; the only document is its own
 successor; an empty table gives an empty result.
 """
 
@@ -310,20 +311,26 @@ def near_duplicates(
 ) -> DataFrame:
     """``id, text_sha256, class_id`` of each distinct id and text.
 
-    ``class_id`` is the least id that links of Jaccard similarity reach.
+    ``class_id`` is the least id that links of Jaccard similarity reach; NO_ID if none has one.
     """
     prints = staged(fingerprints(docs, id_col, text_col), "prints") if prints is None else prints
     texts = prints.select("id", "text_sha256", "signature")
-    owners = staged(
-        texts.groupBy("text_sha256", "signature").agg(F.min("id").alias("node")), "minhash-owners"
-    )
+    # A node is a distinct text, numbered as it is written; its least id is told beside it.
+    owners = texts.groupBy("text_sha256", "signature").agg(F.min("id").alias("least_id"))
+    owners = owners.withColumn("node", F.monotonically_increasing_id())
+    owners = staged(owners, "minhash-owners")
     hit = staged(_hit_buckets(owners, bucket_rows), "minhash-hit")
-    wanted = staged(hit.select("node").distinct(), "minhash-wanted")
+    named = owners.select("node", "text_sha256", "least_id")
+    wanted = staged(hit.select("node").distinct().join(named, "node"), "minhash-wanted")
+    text = F.coalesce(text_col, F.lit("")).cast("binary")
     given = docs.select(
-        F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("node"),
-        F.coalesce(text_col, F.lit("")).cast("binary").alias("text"),
+        F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("least_id"),
+        F.unhex(F.sha2(text, 256)).alias("text_sha256"),
+        text.alias("text"),
     )
-    fetched = staged(given.join(wanted, "node"), "minhash-texts")
+    fetched = given.join(wanted, ["least_id", "text_sha256"]).select("node", "text")
+    # Rows that repeat id and text, or a text without id, are fetched more than once.
+    fetched = staged(fetched, "minhash-texts").dropDuplicates(["node"])
     keys = ["band", "value", "i", "j"]
     met = hit.join(fetched, "node").repartition(*keys).sortWithinPartitions(*keys)
 
@@ -349,10 +356,14 @@ def near_duplicates(
 
     edges = met.select(*keys, "node", "text").mapInArrow(compare, "a long, b long")
     roots = components(edges)
-    classes = owners.join(roots, "node", "left").select(
-        "text_sha256", F.coalesce("root", "node").alias("class_id")
+    rooted = staged(
+        named.join(roots, "node", "left").select(
+            "text_sha256", "least_id", F.coalesce("root", "node").alias("root")
+        ),
+        "minhash-rooted",
     )
-    classes = staged(classes, "minhash-classes")
+    least = rooted.groupBy("root").agg(F.min("least_id").alias("class_id"))
+    classes = staged(rooted.join(least, "root").select("text_sha256", "class_id"), "minhash-classes")
     return texts.select("id", "text_sha256").distinct().join(classes, "text_sha256")
 
 

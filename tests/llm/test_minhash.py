@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 from collections import defaultdict
 
 import numpy as np
@@ -9,7 +10,7 @@ import pytest
 from strata.llm import minhash
 from strata.llm.queries import QUERIES
 
-from tests.llm.helpers import SCHEMA, SF, documents, frame, odd_rows, union_find, words
+from tests.llm.helpers import SCHEMA, SF, documents, frame, odd_rows, prose, union_find, words
 
 
 def shingles(text):
@@ -96,5 +97,29 @@ def test_tiles_lose_no_link(spark):
     }
 
 
+def test_texts_without_ids_of_their_own_stay_apart(spark):
+    """A third of the rows without an id, some ids shared by unlike texts."""
+    rng = random.Random(6)
+    base = [prose(rng, 60) for _ in range(40)]
+    rows = [(n, text) for n, text in enumerate(base)]
+    rows += [(None, base[n] + " more") for n in range(0, 40, 4)]  # near copies of some
+    rows += [(None, prose(rng, 60)) for _ in range(20)]  # like none
+    rows += [(3, prose(rng, 60)), (3, prose(rng, 60)), (5, base[9] + " end")]
+    rows += [(None, base[0] + " more")] * 3
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = minhash.near_duplicates(docs).collect()
+    distinct = sorted({text for _, text in rows})
+    root, least = classes(distinct), defaultdict(lambda: minhash.NO_ID)
+    place = {text: root[n] for n, text in enumerate(distinct)}
+    for id_, text in rows:
+        if id_ is not None:
+            least[place[text]] = min(least[place[text]], id_)
+    wanted = {hashlib.sha256(t.encode()).digest(): least[place[t]] for t in distinct}
+    assert {bytes(row.text_sha256): row.class_id for row in found} == wanted
+    report = minhash.report(docs).collect()
+    assert len(report) == len(rows)
+    assert sum(row.class_id is None for row in report) == 20
+
+
 def test_empty(spark):
     assert minhash.report(spark.createDataFrame([], SCHEMA)).count() == 0
