@@ -32,9 +32,9 @@ def bronze(spark: SparkSession, *rows: dict) -> DataFrame:
         "nombre": "oficial",
         "compra": "10",
         "venta": "12",
-        "fechaActualizacion": "2026-09-05T07:15:00.000Z",
+        "fechaActualizacion": "2028-09-05T07:15:00.000Z",
         "raw_json": "{}",
-        "fecha_ingesta": "2026-09-06T00:00:00+00:00",
+        "fecha_ingesta": "2028-09-06T00:00:00+00:00",
         "origen_datos": "dolares",
         "endpoint": "/v1/dolares",
         "modo_extraccion": "full",

@@ -50,7 +50,7 @@ def test_unreadable_time_is_the_sentinel_and_flagged(spark, text):
 def test_measures(spark):
     row = silver_row(spark, compra="10", venta="12")
     assert (row.spread, row.mid, row.spread_pct) == (2.0, 11.0, 20.0)
-    assert (row.year, row.month, row.day) == (2026, 9, 5)
+    assert (row.year, row.month, row.day) == (2028, 9, 5)
     assert row.market_tags == "regulado,banco,bcra"
     assert row.quality_ok is True
 
@@ -88,7 +88,7 @@ def test_flag_is_never_null(spark):
 
 
 def test_null_key_parts_are_skipped(spark):
-    assert silver_row(spark, origen_datos=None).quote_key == "oficial|USD|2026-09-05 07:15:00"
+    assert silver_row(spark, origen_datos=None).quote_key == "oficial|USD|2028-09-05 07:15:00"
 
 
 def test_tag_lookup(spark):
@@ -100,8 +100,8 @@ def test_tag_lookup(spark):
 def test_newest_ingest_wins_even_if_invalid(spark):
     rows = bronze(
         spark,
-        {"fecha_ingesta": "2026-09-06T00:00:00+00:00"},
-        {"fecha_ingesta": "2026-09-07T00:00:00+00:00", "compra": "n/d", "casa": " Oficial"},
+        {"fecha_ingesta": "2028-09-06T00:00:00+00:00"},
+        {"fecha_ingesta": "2028-09-07T00:00:00+00:00", "compra": "n/d", "casa": " Oficial"},
         {"fecha_ingesta": None},
     )
     silver = quotes.build_silver(rows)

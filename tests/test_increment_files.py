@@ -23,7 +23,7 @@ run_pipeline = partial(medallion.run_pipeline, whole_payloads=True)
 
 
 def day(n, **fields):
-    return quote(fechaActualizacion=f"2026-09-{n:02}T10:00:00.000Z", **fields)
+    return quote(fechaActualizacion=f"2028-09-{n:02}T10:00:00.000Z", **fields)
 
 
 def aged(folder, name, seconds):
@@ -132,17 +132,17 @@ def test_landed_responses_are_read_once_too(spark, tmp_path):
     assert run_pipeline(spark, "incremental", str(folder), root)["extracted"] == 2
 
 
-MARK = datetime(2026, 9, 5, 10, tzinfo=timezone.utc)
+MARK = datetime(2028, 9, 5, 10, tzinfo=timezone.utc)
 
 
 def test_ties_of_the_mark(spark):
     rows = spark.createDataFrame(
         [
-            ("a", None, "2026-09-05T10:00:00Z"),
-            ("b", "x", "2026-09-05T10:00:00Z"),
-            ("b", None, "2026-09-05T07:00:00-03:00"),
-            ("a", None, "2026-09-05T10:00:01Z"),
-            ("c", "x", "2026-09-05T09:59:59Z"),
+            ("a", None, "2028-09-05T10:00:00Z"),
+            ("b", "x", "2028-09-05T10:00:00Z"),
+            ("b", None, "2028-09-05T07:00:00-03:00"),
+            ("a", None, "2028-09-05T10:00:01Z"),
+            ("c", "x", "2028-09-05T09:59:59Z"),
             ("d", "x", "garbage"),
             ("d", "x", None),
         ],
@@ -154,9 +154,9 @@ def test_ties_of_the_mark(spark):
     assert found.columns == rows.columns
     # A key seen at the mark's time is new again at a later time.
     assert sorted((r.k, r.l or "", r.t) for r in found.collect()) == [
-        ("a", "", "2026-09-05T10:00:01Z"),
-        ("b", "", "2026-09-05T07:00:00-03:00"),
-        ("b", "x", "2026-09-05T10:00:00Z"),
+        ("a", "", "2028-09-05T10:00:01Z"),
+        ("b", "", "2028-09-05T07:00:00-03:00"),
+        ("b", "x", "2028-09-05T10:00:00Z"),
     ]
     assert newer_with_ties(rows, ts, None, keys, seen).count() == 7
     at = keys_at(rows, ts, MARK, keys, seen)

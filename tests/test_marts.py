@@ -53,14 +53,14 @@ def test_latest_takes_quote_time_then_ingest_time(spark):
     latest = quotes.latest_quotes(
         valid(
             spark,
-            {"fechaActualizacion": "2026-09-05T10:00:00Z", "venta": "20"},
-            {"fechaActualizacion": "2026-09-06T10:00:00Z", "venta": "30", "moneda": "eur"},
+            {"fechaActualizacion": "2028-09-05T10:00:00Z", "venta": "20"},
+            {"fechaActualizacion": "2028-09-06T10:00:00Z", "venta": "30", "moneda": "eur"},
             {
-                "fechaActualizacion": "2026-09-06T10:00:00Z",
+                "fechaActualizacion": "2028-09-06T10:00:00Z",
                 "venta": "40",
                 "moneda": "eur",
                 "origen_datos": "cotizaciones",
-                "fecha_ingesta": "2026-09-07T00:00:00Z",
+                "fecha_ingesta": "2028-09-07T00:00:00Z",
             },
         )
     )
@@ -104,16 +104,16 @@ def test_daily_metrics(spark):
     daily = quotes.daily_metrics(
         valid(
             spark,
-            {"fechaActualizacion": "2026-09-05T10:00:00Z", "compra": "10", "venta": "12"},
-            {"fechaActualizacion": "2026-09-05T11:00:00Z", "compra": "20", "venta": "26"},
-            {"fechaActualizacion": "2026-09-05T12:00:00Z", "compra": "n/d", "venta": "99"},
-            {"fechaActualizacion": "2026-09-06T12:00:00Z", "compra": "1", "venta": "1"},
+            {"fechaActualizacion": "2028-09-05T10:00:00Z", "compra": "10", "venta": "12"},
+            {"fechaActualizacion": "2028-09-05T11:00:00Z", "compra": "20", "venta": "26"},
+            {"fechaActualizacion": "2028-09-05T12:00:00Z", "compra": "n/d", "venta": "99"},
+            {"fechaActualizacion": "2028-09-06T12:00:00Z", "compra": "1", "venta": "1"},
         )
     )
     assert daily.columns == model.DAILY.names
     assert rows_of(daily) == [
-        (2026, 9, 5, "oficial", "USD", "dolares", 2, 15.0, 12.0, 26.0, 19.0, 4.0, 14.0),
-        (2026, 9, 6, "oficial", "USD", "dolares", 1, 1.0, 1.0, 1.0, 1.0, 0.0, 0.0),
+        (2028, 9, 5, "oficial", "USD", "dolares", 2, 15.0, 12.0, 26.0, 19.0, 4.0, 14.0),
+        (2028, 9, 6, "oficial", "USD", "dolares", 1, 1.0, 1.0, 1.0, 1.0, 0.0, 0.0),
     ]
 
 

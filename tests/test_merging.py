@@ -27,7 +27,7 @@ def frame(spark, *rows, schema=SCHEMA):
 
 
 def day(n, **fields):
-    return quote(fechaActualizacion=f"2026-09-{n:02}T10:00:00.000Z", **fields)
+    return quote(fechaActualizacion=f"2028-09-{n:02}T10:00:00.000Z", **fields)
 
 
 def test_changed_rows(spark):

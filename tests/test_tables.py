@@ -77,8 +77,8 @@ def test_partition_filters_prune_folders(spark, tmp_path):
     silver = quotes.build_silver(
         bronze(
             spark,
-            {"fechaActualizacion": "2026-08-05T10:00:00Z"},
-            {"fechaActualizacion": "2026-09-05T10:00:00Z"},
+            {"fechaActualizacion": "2028-08-05T10:00:00Z"},
+            {"fechaActualizacion": "2028-09-05T10:00:00Z"},
         )
     )
     tables.overwrite_table(silver, root, model.SILVER_LAYOUT)
@@ -117,13 +117,13 @@ def test_a_hot_partition_is_written_by_several_tasks(spark, tmp_path):
 
 def test_periods(spark):
     rows = spark.createDataFrame(
-        [(2026, 9, 1), (2025, 1, 7), (2026, 9, 1), (2026, 9, 2)], "year int, month int, day int"
+        [(2028, 9, 1), (2025, 1, 7), (2028, 9, 1), (2028, 9, 2)], "year int, month int, day int"
     )
     days = periods(rows.filter("day < 7"), ("year", "month", "day"))
-    assert (days.first, days.last) == (20260901, 20260902)
-    assert rows_of(days.select(rows)) == [(2026, 9, 1), (2026, 9, 1), (2026, 9, 2)]
+    assert (days.first, days.last) == (20280901, 20280902)
+    assert rows_of(days.select(rows)) == [(2028, 9, 1), (2028, 9, 1), (2028, 9, 2)]
     months = days.coarser(("year", "month"))
-    assert (months.first, months.last) == (20260900, 20260900)
+    assert (months.first, months.last) == (20280900, 20280900)
     assert months.select(rows).count() == 3
     assert periods(rows.filter("false"), ("year", "month")).select(rows).count() == 0
 
