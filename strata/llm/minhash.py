@@ -329,8 +329,10 @@ def near_duplicates(
         text.alias("text"),
     )
     fetched = given.join(wanted, ["least_id", "text_sha256"]).select("node", "text")
+    fetched = staged(fetched, "minhash-texts")
     # Rows that repeat id and text, or a text without id, are fetched more than once.
-    fetched = staged(fetched, "minhash-texts").dropDuplicates(["node"])
+    if fetched.count() > wanted.count():
+        fetched = fetched.dropDuplicates(["node"])
     keys = ["band", "value", "i", "j"]
     met = hit.join(fetched, "node").repartition(*keys).sortWithinPartitions(*keys)
 
