@@ -37,15 +37,18 @@ def upsert(
             F.to_json("_key") if null_safe else F.col("_key").cast("string"),
         )
     )
+    # Keys alone meet here, not beside their columns, and only those that both sides have are
+    # checked: a task sorts what adaptive execution joins by its compressed size.
+    plain = [F.col("_key")[k] if null_safe else F.col("_key") for k in keys]
+    plain = [value.alias(k) for value, k in zip(plain, keys, strict=True)]
+    wanted = source.select(*keys).distinct().select(key)
+    met = old.select("_key").join(wanted, "_key", "left_semi")
+    known = met.select(*plain).distinct().select(key)
     # An outer join, as the optimizer would move the check before any other.
-    clashes = (
-        old.select("_key")
-        .join(several, "_key", "left")
-        .filter(F.when(F.col("_n") > 1, ambiguous.cast("boolean")).otherwise(F.lit(False)))
+    clashes = known.join(several, "_key", "left").filter(
+        F.when(F.col("_n") > 1, ambiguous.cast("boolean")).otherwise(F.lit(False))
     )
 
-    wanted = source.select(*keys).distinct().select(key)
-    known = old.join(wanted, "_key", "left_semi").select(*keys).distinct().select(key)
     rows = source.select(key, F.struct(*source.columns).alias("_row"))
     hit = F.col("_row").isNotNull()
     values = []

@@ -146,3 +146,17 @@ def test_a_small_batch_moves_no_target_row(spark, tmp_path):
         assert merged.count() == 2010
     finally:
         spark.conf.set(threshold, before)
+
+
+def test_the_guard_moves_keys_and_not_the_target(spark, small_thresholds, tmp_path):
+    """Many target rows per key: two joins read them, the guard only the keys that met."""
+    target_path, source_path = str(tmp_path / "t"), str(tmp_path / "s")
+    many = spark.range(0, 20_000, 1, 8).selectExpr("string(id % 50) a", "'x' b", "id v")
+    many.write.parquet(target_path)
+    few = spark.range(0, 100, 1, 2).selectExpr("string(id) a", "'x' b", "-id v")
+    few.unionByName(few.filter("id >= 50")).write.parquet(source_path)
+    merged = upsert(spark.read.parquet(target_path), spark.read.parquet(source_path), KEYS)
+    assert len(merged.collect()) == 20_000 + 100
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    final = plan[: plan.index("== Initial Plan ==")]
+    assert sum("FileScan" in line and target_path in line for line in final.splitlines()) == 2
