@@ -13,8 +13,9 @@ the driver; they are taken from a sample of about twenty ids each.
 :func:`near_duplicates` joins on bands of the fingerprint. Equal texts are one node. Of
 bands that hold the same nodes one is kept, and a bucket of more than ``bucket_rows``
 nodes is dealt over tiles in which each pair of its chunks meets. The texts of nodes that
-share a band are fetched, and inside a bucket the exact Jaccard similarity decides; only a
-spanning star of each local component is emitted, not the pairs.
+share a band are fetched: a broadcast bitmap of fixed size drops most other rows before
+they move, and a join on id and digest the rest. Inside a bucket the exact Jaccard
+similarity decides; only a spanning star of each local component is emitted, not the pairs.
 
 Defined cases: a null text counts as empty; a text of fewer words than a shingle is one
 shingle, a text without words has none, a fingerprint of largest values, and is like
@@ -45,6 +46,8 @@ BANDS, BAND_ROWS = 16, 4
 PER_RANGE = 20
 #: Stands for a null id: after all others.
 NO_ID = (1 << 63) - 1
+#: Bits of the bitmap of wanted texts, in words of 64: at most 262,144 rows are broadcast.
+MARKS = 1 << 24
 _CHUNK = 1 << 20
 
 _RNG = np.random.default_rng(64)
@@ -301,6 +304,33 @@ def _stars(nodes: np.ndarray, texts: list[bytes], threshold: float, powers: Powe
     return stars
 
 
+def _pressed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The last column compressed."""
+    press = zstandard.ZstdCompressor(level=3)
+    for batch in batches:
+        *others, texts = batch.columns
+        pressed = pa.array([press.compress(text) for text in texts.to_pylist()], pa.binary())
+        yield pa.RecordBatch.from_arrays([*others, pressed], batch.schema.names)
+
+
+def _texts_of(given: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``node, text`` (compressed) of the rows whose ``least_id, text_sha256`` are wanted."""
+    keys = ["least_id", "text_sha256"]
+    mark = F.pmod(F.xxhash64(*keys), F.lit(MARKS))
+    word, bit = F.shiftright(mark, 6), F.expr("shiftleft(1L, cast(mark & 63 AS int))")
+    marked = wanted.withColumn("mark", mark).select(word.alias("word"), bit.alias("bit"))
+    marks = F.broadcast(marked.groupBy("word").agg(F.bit_or("bit").alias("bits")))
+    maybe = (
+        given.withColumn("mark", mark)
+        .withColumn("word", word)
+        .join(marks, "word")
+        .filter(F.col("bits").bitwiseAND(bit) != 0)
+        .select(*keys, "text")
+    )
+    pressed = maybe.mapInArrow(_pressed, "least_id long, text_sha256 binary, text binary")
+    return pressed.join(wanted, keys).select("node", "text")
+
+
 def near_duplicates(
     docs: DataFrame,
     prints: DataFrame | None = None,
@@ -328,8 +358,7 @@ def near_duplicates(
         F.unhex(F.sha2(text, 256)).alias("text_sha256"),
         text.alias("text"),
     )
-    fetched = given.join(wanted, ["least_id", "text_sha256"]).select("node", "text")
-    fetched = staged(fetched, "minhash-texts")
+    fetched = staged(_texts_of(given, wanted), "minhash-texts")
     # Rows that repeat id and text, or a text without id, are fetched more than once.
     if fetched.count() > wanted.count():
         fetched = fetched.dropDuplicates(["node"])
@@ -337,7 +366,7 @@ def near_duplicates(
     met = hit.join(fetched, "node").repartition(*keys).sortWithinPartitions(*keys)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        powers = Powers()
+        powers, open_ = Powers(), zstandard.ZstdDecompressor()
         bucket, nodes, held = None, [], []
 
         def stars() -> Iterator[pa.RecordBatch]:
@@ -353,7 +382,7 @@ def near_duplicates(
                     yield from stars()
                     bucket, nodes, held = own, [], []
                 nodes.append(batch.column(4)[row].as_py())
-                held.append(batch.column(5)[row].as_py())
+                held.append(open_.decompress(batch.column(5)[row].as_py()))
         yield from stars()
 
     edges = met.select(*keys, "node", "text").mapInArrow(compare, "a long, b long")

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import re
 from collections import defaultdict
 
 import numpy as np
@@ -121,5 +122,35 @@ def test_texts_without_ids_of_their_own_stay_apart(spark):
     assert sum(row.class_id is None for row in report) == 20
 
 
+def test_only_texts_of_shared_bands_are_shuffled(spark, monkeypatch):
+    """Few near copies among many texts that are like none; no side is small enough to broadcast."""
+    rng = random.Random(9)
+    rows = [(n, prose(rng, 60)) for n in range(300)]
+    rows += [(1000 + n, rows[n][1] + " more") for n in range(10)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    plans, staged = [], minhash.staged
+
+    def noted(df, label):
+        if label == "minhash-texts":
+            df.collect()
+            mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+            plans.append(df._jdf.queryExecution().explainString(mode))
+        return staged(df, label)
+
+    monkeypatch.setattr(minhash, "staged", noted)
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(threshold)
+    spark.conf.set(threshold, "-1")
+    try:
+        found = {row.id: row.class_id for row in minhash.near_duplicates(docs).collect()}
+    finally:
+        spark.conf.set(threshold, before)
+    assert found == {id_: id_ % 1000 for id_, _ in rows}
+    (plan,) = plans
+    final = plan[: plan.index("== Initial Plan ==")]
+    shuffled = re.findall(r"ShuffleQueryStage.*rowCount=([\dE.+]+)", final)
+    assert shuffled and max(map(float, shuffled)) < 100
+
+
 def test_empty(spark):
     assert minhash.report(spark.createDataFrame([], SCHEMA)).count() == 0
